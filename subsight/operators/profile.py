@@ -1,44 +1,84 @@
 """Column profile of a table (Q32): rows, NULLs, NULL %, distinct values,
-min and max per column, in one pass.
+min and max per column.
 
-One aggregate computes every statistic of every column; the one-row result
-is then unpivoted into one row per column. ``distinct="approx"`` uses
-HyperLogLog++ (``approx_count_distinct``, bounded memory, no extra
-shuffle); ``"exact"`` uses ``count_distinct`` (Catalyst expands each row
-once per column, so the shuffle grows with the column count).
+Two aggregates, each one pass over the input:
+
+* a global aggregate (no grouping key) of row count, non-NULL count, min
+  and max of every column: one row out, unpivoted into one row per column;
+* distinct counts. ``"exact"`` unpivots every row into (column, value)
+  pairs, de-duplicates them (map-side first, so a value held by a third of
+  the rows collapses before the shuffle) and counts pairs per column: one
+  hash shuffle of the distinct pairs, instead of Catalyst's per-column
+  expansion of ``count(DISTINCT a), count(DISTINCT b), ...`` into a sort
+  aggregate. ``"approx"`` uses HyperLogLog++ (``approx_count_distinct``)
+  inside the first aggregate: bounded memory, no shuffle of values; the
+  choice for very wide or very large tables.
+
+Integral, date and time values are compared as 64-bit numbers (no text
+formatting in the hot path); other atomic values as their text form, which
+is one-to-one (floating -0.0 is folded into 0.0 first, as Spark's grouping
+does).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    ByteType,
+    DateType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    MapType,
+    ShortType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from subsight.functions import percent
 
 
+def _atomic(field) -> bool:
+    return not isinstance(field.dataType, (StructType, ArrayType, MapType))
+
+
+def _as_key(field) -> tuple[Column, Column]:
+    """(number, text) key of a value; exactly one is set for non-NULLs."""
+    c = F.col(f"`{field.name}`")
+    t = field.dataType
+    none_num, none_txt = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    if isinstance(t, (LongType, IntegerType, ShortType, ByteType, BooleanType)):
+        return c.cast("bigint"), none_txt
+    if isinstance(t, DateType):
+        return F.unix_date(c).cast("bigint"), none_txt
+    if isinstance(t, (TimestampType, TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")), none_txt
+    if isinstance(t, (DoubleType, FloatType)):
+        return none_num, (c + F.lit(0.0)).cast("string")
+    return none_num, c.cast("string")
+
+
 def table_profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.05) -> DataFrame:
     if distinct not in ("exact", "approx", "none"):
         raise ValueError("distinct must be exact, approx or none")
     fields = list(df.schema.fields)
+
     aggs = [F.count(F.lit(1)).alias("rows")]
     for i, f in enumerate(fields):
         c = F.col(f"`{f.name}`")
-        atomic = not isinstance(f.dataType, (StructType, ArrayType, MapType))
         aggs.append(F.count(c).alias(f"nn{i}"))
-        if atomic:
-            aggs.append(F.min(c).cast("string").alias(f"lo{i}"))
-            aggs.append(F.max(c).cast("string").alias(f"hi{i}"))
-        else:
-            aggs.append(F.lit(None).cast("string").alias(f"lo{i}"))
-            aggs.append(F.lit(None).cast("string").alias(f"hi{i}"))
-        if distinct == "exact" and atomic:
-            aggs.append(F.count_distinct(c).alias(f"nd{i}"))
-        elif distinct == "approx" and atomic:
+        lo = F.min(c).cast("string") if _atomic(f) else F.lit(None).cast("string")
+        hi = F.max(c).cast("string") if _atomic(f) else F.lit(None).cast("string")
+        aggs += [lo.alias(f"lo{i}"), hi.alias(f"hi{i}")]
+        if distinct == "approx" and _atomic(f):
             aggs.append(F.approx_count_distinct(c, rsd).alias(f"nd{i}"))
         else:
             aggs.append(F.lit(None).cast("bigint").alias(f"nd{i}"))
-    wide = df.agg(*aggs)
     per_column = F.array(*[
         F.struct(
             F.lit(f.name).alias("column_name"),
@@ -51,13 +91,29 @@ def table_profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.05) ->
         )
         for i, f in enumerate(fields)
     ])
-    return (
-        wide.select("rows", F.inline(per_column))
-        .select(
-            "column_name", "position", "data_type",
-            F.col("rows").alias("row_count"),
-            (F.col("rows") - F.col("non_null")).alias("null_count"),
-            percent(F.col("rows") - F.col("non_null"), F.col("rows")).alias("null_pct"),
-            "distinct_count", "min_value", "max_value",
+    stats = df.agg(*aggs).select("rows", F.inline(per_column))
+
+    if distinct == "exact":
+        pairs = F.array(*[
+            F.struct(F.lit(i + 1).alias("position"), num.alias("num"), txt.alias("txt"))
+            for i, f in enumerate(fields) if _atomic(f)
+            for num, txt in [_as_key(f)]
+        ])
+        counts = (
+            df.select(F.inline(pairs))
+            .filter(F.col("num").isNotNull() | F.col("txt").isNotNull())
+            .distinct()
+            .groupBy("position").agg(F.count(F.lit(1)).alias("exact_distinct"))
         )
+        stats = (stats.join(counts, on="position", how="left")
+                 .withColumn("distinct_count",
+                             F.when(F.col("non_null") == 0, F.lit(0).cast("bigint"))
+                              .otherwise(F.col("exact_distinct"))))
+
+    return stats.select(
+        "column_name", "position", "data_type",
+        F.col("rows").alias("row_count"),
+        (F.col("rows") - F.col("non_null")).alias("null_count"),
+        percent(F.col("rows") - F.col("non_null"), F.col("rows")).alias("null_pct"),
+        "distinct_count", "min_value", "max_value",
     )
