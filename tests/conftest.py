@@ -1,0 +1,54 @@
+import os
+import sys
+import tempfile
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parents[1]
+sys.path.insert(0, str(ROOT))
+
+SF_SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from subsight.plans.session import checkpoint_dir, local_session
+
+    scratch = tempfile.mkdtemp(prefix="subsight-tests-")
+    os.environ.setdefault("SUBSIGHT_DRIVER_MEMORY", "4g")
+    s = local_session("*", app="subsight-tests", warehouse=os.path.join(scratch, "warehouse"),
+                      shuffle_partitions=8)
+    checkpoint_dir(s)
+    yield s
+    s.stop()
+
+
+@pytest.fixture()
+def frames(spark):
+    """Build DataFrames from rows with the model's bronze schemas."""
+    from subsight import model as M
+
+    def make(kind, rows):
+        schema = {"members": M.MEMBERS_SCHEMA, "articles": M.ARTICLES_SCHEMA,
+                  "logs": M.READING_LOGS_SCHEMA, "subs": M.SUBSCRIPTIONS_SCHEMA,
+                  "usage": M.USAGE_SCHEMA, "prices": M.LIST_PRICES_SCHEMA}[kind]
+        return spark.createDataFrame(rows, schema)
+
+    return make
+
+
+def member(mid, age=35, plan="free", name=None):
+    return (mid, name or f"m{mid}", age, "F", "P", "O", plan, "2020-01-01", f"m{mid}@x")
+
+
+def log(lid, mid, aid, etype, time="2025-01-15 10:00:00"):
+    return (lid, mid, aid, etype, time, "web", 60, 50)
+
+
+def article(aid, category="tech", premium=0):
+    return (aid, f"a{aid}", category, "2024-01-01", premium)
+
+
+def sub(sid, mid, status="active", start="2024-01-01", end="", plan="paid"):
+    return (sid, mid, plan, start, end, status)
