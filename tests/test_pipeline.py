@@ -65,3 +65,22 @@ def test_glossary(spark):
     g = metadata.glossary_frame(spark).collect()
     assert len(g) == 6
     assert {r.term for r in g} >= {"サイレント離脱", "読了率", "転換率"}
+
+
+def test_sql_forms_equal_dataframe_forms(spark):
+    """The SQL-text queries over stored tables equal the DataFrame queries."""
+    from subsight.plans import sql
+    from subsight.plans.registry import QUERIES, TEST_PARAMS
+    from subsight.sources.bronze import write_table
+
+    config = LakeConfig(schema="sql_forms")
+    raw = Lake.from_testdata(spark, SF_SMALL)
+    pipeline.ingest_bronze(spark, config, raw)
+    write_table(raw["usage"], config, "usage")
+    write_table(raw["list_prices"], config, "list_prices")
+    stored = Lake.from_catalog(spark, config)
+    for name in sql.TEXTS:
+        got = sql.run(spark, config, name, days=TEST_PARAMS["usage_days"], user=TEST_PARAMS["user"])
+        want = QUERIES[name](stored)
+        assert got.columns == want.columns, name
+        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()], name
