@@ -10,7 +10,7 @@ def count_where(cond: Column) -> Column:
     """``SUM(CASE WHEN cond THEN 1 ELSE 0 END)``: bigint, 0 on no match.
 
     Kept as a sum (not ``count_if``) so that the type and the NULL handling
-    equal the reference's formula."""
+    equal the source formula."""
     return F.sum(F.when(cond, 1).otherwise(0))
 
 

@@ -1,7 +1,7 @@
 """Data model: bronze schemas, value domains and labels.
 
 Bronze tables keep dates and times as text; silver parses them. Ids are
-``bigint`` (the reference declares ``int``; ``int`` would cap the number of
+``bigint`` (the source notebooks declare ``int``; ``int`` would cap the number of
 log rows at scale).
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql.types import (
 )
 
 # ---------------------------------------------------------------------------
-# These must equal the reference's values for equal results.
+# These must equal the source notebooks' values for equal results.
 # ---------------------------------------------------------------------------
 
 # Age bands: upper bounds (exclusive) and labels; the last label catches

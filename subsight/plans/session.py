@@ -35,15 +35,22 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a local temporary
-    folder is set only when none is configured (tests, local runs)."""
+    """The shared checkpoint folder the cluster names (``spark.checkpoint.dir``).
+
+    A local temporary folder is set only for a local master with no folder
+    configured (tests, local runs); on a cluster a missing setting is an
+    error, since a machine-local folder does not survive a lost executor.
+    """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
+        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         spark.sparkContext.setCheckpointDir(conf_dir)
         return spark.sparkContext.getCheckpointDir() or conf_dir
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     local = tempfile.mkdtemp(prefix="subsight-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local
