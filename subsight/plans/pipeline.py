@@ -21,15 +21,24 @@ from subsight.sources.bronze import register_bronze, write_table
 from subsight.sources.catalog import LakeConfig, read_table, use_schema
 
 
-def ingest_bronze(spark: SparkSession, config: LakeConfig, inputs: Lake) -> dict[str, int]:
+def ingest_bronze(spark: SparkSession, config: LakeConfig, inputs: Lake,
+                  max_records_per_file: int | None = None) -> dict[str, int]:
     """Store the four raw inputs of ``inputs`` as ``bronze_*`` tables."""
     use_schema(spark, config)
     return {
-        f"bronze_{name}": register_bronze(inputs[f"bronze_{name}"], config, name)
+        f"bronze_{name}": register_bronze(inputs[f"bronze_{name}"], config, name, max_records_per_file)
         for name in ("members", "articles", "reading_logs", "subscriptions")
     }
 
 
+def ingest_billing(spark: SparkSession, config: LakeConfig, inputs: Lake,
+                   max_records_per_file: int | None = None) -> dict[str, int]:
+    """Store the billing inputs (``usage``, ``list_prices``) of ``inputs``."""
+    use_schema(spark, config)
+    return {name: write_table(inputs[name], config, name, max_records_per_file)
+            for name in ("usage", "list_prices")}
+
+
 def run_silver(spark: SparkSession, config: LakeConfig, inputs: Lake | None = None) -> dict[str, int]:
     """Bronze -> silver. ``inputs`` defaults to the stored bronze tables."""
     use_schema(spark, config)

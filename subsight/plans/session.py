@@ -1,9 +1,10 @@
 """Session settings the plans rely on.
 
-``configure`` sets only what the queries depend on for *correct* results
-(the session time zone, H11) or what is unset; cluster-wide settings chosen
-by the operator (checkpoint dir, shuffle partitions, broadcast threshold)
-are left alone when present.
+``configure`` sets only what the queries need for *correct* results: the
+session time zone, since month text is formatted in it. Cluster-wide
+settings (checkpoint folder, shuffle partitions, broadcast thresholds, AQE)
+belong to whoever runs the cluster and are left alone; ``local_session``
+sets them for tests and the benchmark.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings applied only when the session has no value of its own.
-DEFAULTS = {
+# Settings of the local sessions (tests, benchmark).
+LOCAL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -28,9 +29,6 @@ DEFAULTS = {
 
 def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    for key, value in DEFAULTS.items():
-        if spark.conf.get(key, None) in (None, ""):
-            spark.conf.set(key, value)
     return spark
 
 
@@ -66,8 +64,9 @@ def local_session(cores: int | str = "*", app: str = "subsight", warehouse: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("SUBSIGHT_DRIVER_MEMORY", "8g"))
-        .config("spark.sql.adaptive.enabled", "true")
     )
+    for k, v in LOCAL_SETTINGS.items():
+        builder = builder.config(k, v)
     if warehouse:
         builder = builder.config("spark.sql.warehouse.dir", warehouse)
     for k, v in (extra or {}).items():

@@ -20,21 +20,28 @@ def read_raw(spark: SparkSession, name: str, path: str, fmt: str = "parquet", **
     return df.select(*schema.fieldNames())
 
 
-def write_table(df: DataFrame, config: LakeConfig, table: str) -> int:
+def write_table(df: DataFrame, config: LakeConfig, table: str,
+                max_records_per_file: int | None = None) -> int:
     """Full-refresh write of a managed table; returns the row count.
 
     The count is an observed metric of the write job itself, so the plan is
-    not run a second time to report it.
+    not run a second time to report it. ``max_records_per_file`` splits the
+    output of a large task into several files (no shuffle), so later scans
+    of the table get several tasks.
     """
     obs = Observation(f"rows_{table}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    (observed.write.format(config.fmt).mode("overwrite")
-     .option("overwriteSchema", "true")
-     .saveAsTable(config.fqn(table)))
+    writer = (observed.write.format(config.fmt).mode("overwrite")
+              .option("overwriteSchema", "true"))
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
+    writer.saveAsTable(config.fqn(table))
     return int(obs.get["rows"])
 
 
-def register_bronze(df: DataFrame, config: LakeConfig, name: str) -> int:
+def register_bronze(df: DataFrame, config: LakeConfig, name: str,
+                    max_records_per_file: int | None = None) -> int:
     """Store a bronze input as ``bronze_<name>``; returns its row count."""
     schema = BRONZE_SCHEMAS[name]
-    return write_table(df.select(*schema.fieldNames()), config, f"bronze_{name}")
+    return write_table(df.select(*schema.fieldNames()), config, f"bronze_{name}",
+                       max_records_per_file)
