@@ -5,9 +5,14 @@ versions per SKU valid on ``[price_start_time, price_end_time)``, the open
 version having a NULL end. Quantities and prices are decimals, summed
 exactly and turned into doubles only after rounding.
 
-Date windows are relative to ``as_of``; its default is the greatest usage
-day of the table (a scalar subquery), not the wall clock, so results do not
-move from one day to the next.
+Date windows are relative to ``as_of``: a date, ``"today"``
+(``current_date()``), or by default the greatest usage day of the table,
+so that results on a fixed table do not move from one day to the next.
+The default is resolved first, by one aggregate job that returns a single
+date; the window is then a literal predicate, which Spark pushes into the
+parquet scan (row groups and partitions outside the window are skipped). A
+scalar subquery in its place would stay above the scan and read the whole
+history.
 """
 
 from __future__ import annotations
@@ -20,7 +25,10 @@ from pyspark.sql import functions as F
 
 def _as_of(usage: DataFrame, as_of: str | _dt.date | None) -> Column:
     if as_of is None:
-        return usage.select(F.max("usage_date")).scalar()
+        latest = usage.agg(F.max("usage_date")).first()[0]
+        return F.lit(latest).cast("date")
+    if as_of == "today":
+        return F.current_date()
     return F.lit(str(as_of)).cast("date")
 
 

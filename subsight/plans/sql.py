@@ -53,13 +53,13 @@ TEXTS: dict[str, str] = {
     "daily_usage": """
         SELECT usage_date, CAST(ROUND(SUM(usage_quantity), 2) AS DOUBLE) AS dbus
         FROM IDENTIFIER(:usage)
-        WHERE usage_date >= date_sub(COALESCE(:as_of, (SELECT MAX(usage_date) FROM IDENTIFIER(:usage))), :days)
+        WHERE usage_date >= date_sub(:as_of, :days)
         GROUP BY usage_date
         ORDER BY usage_date""",
     "usage_by_sku": """
         SELECT sku_name, CAST(ROUND(SUM(usage_quantity), 2) AS DOUBLE) AS dbus
         FROM IDENTIFIER(:usage)
-        WHERE usage_date >= date_sub(COALESCE(:as_of, (SELECT MAX(usage_date) FROM IDENTIFIER(:usage))), :days)
+        WHERE usage_date >= date_sub(:as_of, :days)
         GROUP BY sku_name
         ORDER BY dbus DESC, sku_name""",
     "estimated_cost_by_sku": """
@@ -73,7 +73,7 @@ TEXTS: dict[str, str] = {
           ON u.sku_name = lp.sku_name
          AND u.usage_end_time >= lp.price_start_time
          AND (u.usage_end_time < lp.price_end_time OR lp.price_end_time IS NULL)
-        WHERE u.usage_date >= date_sub(COALESCE(:as_of, (SELECT MAX(usage_date) FROM IDENTIFIER(:usage))), :days)
+        WHERE u.usage_date >= date_sub(:as_of, :days)
         GROUP BY u.sku_name
         ORDER BY estimated_cost DESC, u.sku_name""",
     "my_usage_by_job": """
@@ -82,7 +82,7 @@ TEXTS: dict[str, str] = {
                usage_metadata.warehouse_id AS warehouse_id,
                CAST(ROUND(SUM(usage_quantity), 2) AS DOUBLE) AS dbus
         FROM IDENTIFIER(:usage)
-        WHERE usage_date >= date_sub(COALESCE(:as_of, (SELECT MAX(usage_date) FROM IDENTIFIER(:usage))), :days)
+        WHERE usage_date >= date_sub(:as_of, :days)
           AND identity_metadata.run_as = COALESCE(:user, current_user())
         GROUP BY ALL
         ORDER BY usage_date DESC, dbus DESC, job_id, warehouse_id
@@ -100,11 +100,14 @@ TABLES = {
 def run(spark: SparkSession, config: LakeConfig, name: str, *, days: int = 30,
         as_of: str | _dt.date | None = None, user: str | None = None) -> DataFrame:
     """Run the SQL form of ``name``. ``as_of`` defaults to the greatest
-    usage day of the usage table (a scalar subquery in the text; only the
-    cost queries read it)."""
+    usage day of the usage table, resolved first so that the window is a
+    literal the scan can use (only the cost queries read it)."""
     text = TEXTS[name]
     args: dict[str, object] = {k: config.fqn(v) for k, v in TABLES.items() if f":{k}" in text}
     if ":as_of" in text:
+        if as_of is None:
+            as_of = spark.sql("SELECT MAX(usage_date) FROM IDENTIFIER(:usage)",
+                              args={"usage": config.fqn("usage")}).first()[0]
         args["as_of"] = None if as_of is None else _dt.date.fromisoformat(str(as_of))
         args["days"] = int(days)
     if ":user" in text:

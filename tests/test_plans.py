@@ -54,3 +54,17 @@ def test_scalar_subquery_not_cross_join(spark, stored):
     seg = gold.member_segment(stored["silver_members"], stored["silver_reading_logs"])
     plan = plan_of(churn.silent_members(seg, stored["silver_reading_logs"], stored["silver_subscriptions"]))
     assert "Subquery" in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_cost_window_reaches_the_scan(spark):
+    from subsight.operators import cost
+    from subsight.sources.bronze import write_table
+
+    config = LakeConfig(schema="plan_cost")
+    raw = Lake.from_testdata(spark, SF_SMALL)
+    pipeline.ingest_billing(spark, config, raw)
+    stored = Lake.from_catalog(spark, config)
+    plan = plan_of(cost.estimated_cost_by_sku(stored["usage"], stored["list_prices"], days=30))
+    assert "GreaterThanOrEqual(usage_date," in plan
+    assert "BroadcastHashJoin" in plan
+    assert write_table is not None
