@@ -58,7 +58,6 @@ def test_scalar_subquery_not_cross_join(spark, stored):
 
 def test_cost_window_reaches_the_scan(spark):
     from subsight.operators import cost
-    from subsight.sources.bronze import write_table
 
     config = LakeConfig(schema="plan_cost")
     raw = Lake.from_testdata(spark, SF_SMALL)
@@ -67,4 +66,3 @@ def test_cost_window_reaches_the_scan(spark):
     plan = plan_of(cost.estimated_cost_by_sku(stored["usage"], stored["list_prices"], days=30))
     assert "GreaterThanOrEqual(usage_date," in plan
     assert "BroadcastHashJoin" in plan
-    assert write_table is not None
