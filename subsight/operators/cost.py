@@ -86,25 +86,34 @@ def priced(usage: DataFrame, prices: DataFrame) -> DataFrame:
     )
 
 
-def _cost_aggs() -> list[Column]:
-    return [
-        rounded_sum("usage_quantity").alias("dbus"),
-        rounded_sum(F.col("usage_quantity") * F.col("unit_price")).alias("estimated_cost"),
+def _cost_by(priced_usage: DataFrame, key: str) -> DataFrame:
+    """Exact decimal sums of quantity and cost per ``key``, rounded at the
+    end, with the greatest currency label.
+
+    The sums are taken per (key, currency) first: grouping by a string is a
+    hash aggregate, while ``max`` over a string column would make the
+    aggregate over every priced usage row sort-based. The second level
+    folds the few currency rows of a key."""
+    per_currency = priced_usage.groupBy(key, "currency_code").agg(
+        F.sum("usage_quantity").alias("quantity"),
+        F.sum(F.col("usage_quantity") * F.col("unit_price")).alias("cost"),
+    )
+    return per_currency.groupBy(key).agg(
+        rounded_sum("quantity").alias("dbus"),
+        rounded_sum("cost").alias("estimated_cost"),
         F.max("currency_code").alias("currency"),
-    ]
+    )
 
 
 def estimated_cost_by_sku(usage: DataFrame, prices: DataFrame, days: int | None = 30, as_of=None) -> DataFrame:
     """Q28: usage x price in force, per SKU, with the currency."""
-    return (priced(recent(usage, days, as_of), prices).groupBy("sku_name")
-            .agg(*_cost_aggs())
+    return (_cost_by(priced(recent(usage, days, as_of), prices), "sku_name")
             .orderBy(F.desc("estimated_cost"), "sku_name"))
 
 
 def estimated_cost_by_job(usage: DataFrame, prices: DataFrame, days: int | None = 30, as_of=None) -> DataFrame:
     """Q31: Q28 per job, most expensive first."""
-    return (priced(recent(usage, days, as_of), prices).groupBy("job_id")
-            .agg(*_cost_aggs())
+    return (_cost_by(priced(recent(usage, days, as_of), prices), "job_id")
             .orderBy(F.desc("estimated_cost"), "job_id"))
 
 
