@@ -39,9 +39,21 @@ def ingest_billing(spark: SparkSession, config: LakeConfig, inputs: Lake,
             for name in ("usage", "list_prices")}
 
 
-def run_silver(spark: SparkSession, config: LakeConfig, inputs: Lake | None = None) -> dict[str, int]:
-    """Bronze -> silver. ``inputs`` defaults to the stored bronze tables."""
+def run_silver(spark: SparkSession, config: LakeConfig, inputs: Lake | None = None,
+               log_files: str | None = None) -> dict[str, int]:
+    """Bronze -> silver. ``inputs`` defaults to the stored bronze tables.
+
+    With ``log_files`` (a path or glob of raw reading-log files), the
+    reading logs are maintained incrementally by the stream of
+    :mod:`subsight.streaming.incremental` instead of a full refresh; a
+    table owned by that stream is never overwritten by the full refresh.
+    """
+    from subsight.streaming.incremental import run_incremental, stream_owned
+
     use_schema(spark, config)
+    if log_files is None and stream_owned(spark, config, "silver_reading_logs"):
+        raise ValueError(f"{config.fqn('silver_reading_logs')} is maintained by the incremental "
+                         "stream; pass log_files, or use another schema for a full refresh")
     src = inputs if inputs is not None else Lake.from_catalog(spark, config)
     counts = {
         "silver_members": write_table(silver.silver_members(src["bronze_members"]),
@@ -50,9 +62,14 @@ def run_silver(spark: SparkSession, config: LakeConfig, inputs: Lake | None = No
                                        config, "silver_articles"),
     }
     # the logs take their article attributes from the stored articles
-    articles = read_table(spark, config, "silver_articles")
-    counts["silver_reading_logs"] = write_table(
-        silver.silver_reading_logs(src["bronze_reading_logs"], articles), config, "silver_reading_logs")
+    if log_files is not None:
+        run_incremental(spark, config, log_files)
+        counts["silver_reading_logs"] = read_table(spark, config, "silver_reading_logs").count()
+    else:
+        articles = read_table(spark, config, "silver_articles")
+        counts["silver_reading_logs"] = write_table(
+            silver.silver_reading_logs(src["bronze_reading_logs"], articles), config,
+            "silver_reading_logs")
     counts["silver_subscriptions"] = write_table(
         silver.silver_subscriptions(src["bronze_subscriptions"]), config, "silver_subscriptions")
     apply_comments(spark, config, ["silver_subscriptions"])

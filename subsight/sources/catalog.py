@@ -58,3 +58,14 @@ def table_exists(spark: SparkSession, config: LakeConfig, table: str) -> bool:
 def read_table(spark: SparkSession, config: LakeConfig, table: str) -> DataFrame:
     """Scan of a stored table by name."""
     return spark.table(config.fqn(table))
+
+
+def table_property(spark: SparkSession, config: LakeConfig, table: str, key: str) -> str | None:
+    """A table property, or None (metadata lookup, no data read)."""
+    rows = (spark.sql(f"SHOW TBLPROPERTIES {config.fqn(table)}")
+            .filter(f"key = '{key}'").select("value").collect())
+    return rows[0][0] if rows else None
+
+
+def set_table_property(spark: SparkSession, config: LakeConfig, table: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {config.fqn(table)} SET TBLPROPERTIES ('{key}' = '{value}')")

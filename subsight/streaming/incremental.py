@@ -13,6 +13,14 @@ none (exactly-once file sink).
 The result equals the full refresh as long as the article attributes of
 old logs do not change (a log is joined once, with the articles of the
 day it arrives).
+
+The stream owns its target table. The file sink lists the files it
+committed in ``_spark_metadata`` inside the table folder, and readers then
+read only those files: rows written into the same table by a batch job
+would no longer be read. So the stream creates its target itself, marks it
+with the table property ``subsight.maintained_by = stream``, and refuses a
+target it did not create; the batch full refresh refuses a stream-owned
+table in turn (``subsight.plans.pipeline``).
 """
 
 from __future__ import annotations
@@ -23,13 +31,30 @@ from pyspark.sql.streaming import StreamingQuery
 from subsight.model import READING_LOGS_SCHEMA
 from subsight.operators import silver
 from subsight.plans.session import checkpoint_dir
-from subsight.sources.catalog import LakeConfig, read_table
+from subsight.sources.catalog import (
+    LakeConfig,
+    read_table,
+    set_table_property,
+    table_exists,
+    table_property,
+)
+
+OWNER_KEY = "subsight.maintained_by"
+OWNER_STREAM = "stream"
+
+
+def stream_owned(spark: SparkSession, config: LakeConfig, table: str) -> bool:
+    return (table_exists(spark, config, table)
+            and table_property(spark, config, table, OWNER_KEY) == OWNER_STREAM)
 
 
 def ingest_reading_logs(spark: SparkSession, config: LakeConfig, source_path: str, *,
                         target: str = "silver_reading_logs", fmt: str = "parquet",
                         max_files_per_trigger: int = 1000,
                         checkpoint: str | None = None) -> StreamingQuery:
+    if table_exists(spark, config, target) and not stream_owned(spark, config, target):
+        raise ValueError(f"{config.fqn(target)} was not created by the stream; "
+                         "give the stream its own target table")
     raw = (spark.readStream.schema(READING_LOGS_SCHEMA).format(fmt)
            .option("maxFilesPerTrigger", max_files_per_trigger)
            .load(source_path))
@@ -45,7 +70,10 @@ def ingest_reading_logs(spark: SparkSession, config: LakeConfig, source_path: st
 
 def run_incremental(spark: SparkSession, config: LakeConfig, source_path: str, **kwargs) -> None:
     """Process all new files and wait until the stream stops."""
+    target = kwargs.get("target", "silver_reading_logs")
     query = ingest_reading_logs(spark, config, source_path, **kwargs)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+    if table_exists(spark, config, target) and not stream_owned(spark, config, target):
+        set_table_property(spark, config, target, OWNER_KEY, OWNER_STREAM)

@@ -32,3 +32,39 @@ def test_incremental_logs_equal_full_refresh(spark, frames):
                                       read_table(spark, config, "silver_articles"))
     assert got.count() == 4
     assert got.select(*want.columns).exceptAll(want).count() == 0
+
+
+def test_stream_and_full_refresh_do_not_share_a_table(spark, frames):
+    import pytest
+
+    from subsight.plans import pipeline
+    from subsight.streaming.incremental import stream_owned
+
+    config = LakeConfig(schema="stream_owner")
+    use_schema(spark, config)
+    arts = silver.silver_articles(frames("articles", [article(1)]))
+    write_table(arts, config, "silver_articles")
+    write_table(silver.silver_reading_logs(frames("logs", [log(1, 1, 1, M.READ_START)]), arts),
+                config, "silver_reading_logs")                    # batch-owned
+    src = tempfile.mkdtemp(prefix="subsight-stream-src-")
+    frames("logs", [log(2, 1, 1, M.READ_START)]).write.parquet(os.path.join(src, "d1"))
+    with pytest.raises(ValueError):
+        run_incremental(spark, config, os.path.join(src, "*"),
+                        checkpoint=tempfile.mkdtemp(prefix="subsight-stream-ckpt-"))
+    assert read_table(spark, config, "silver_reading_logs").count() == 1   # untouched
+
+    # a stream-owned table: the full refresh refuses it
+    config2 = LakeConfig(schema="stream_owner2")
+    use_schema(spark, config2)
+    write_table(arts, config2, "silver_articles")
+    run_incremental(spark, config2, os.path.join(src, "*"),
+                    checkpoint=tempfile.mkdtemp(prefix="subsight-stream-ckpt-"))
+    assert stream_owned(spark, config2, "silver_reading_logs")
+    from subsight.lake import Lake
+    inputs = Lake.from_frames(spark, {
+        "bronze_members": frames("members", []), "bronze_articles": frames("articles", [article(1)]),
+        "bronze_reading_logs": frames("logs", []), "bronze_subscriptions": frames("subs", [])})
+    with pytest.raises(ValueError):
+        pipeline.run_silver(spark, config2, inputs)
+    assert read_table(spark, config2, "silver_reading_logs").count() == 1
+    assert read_table(spark, config2, "silver_articles").count() == 1    # nothing rewritten first
