@@ -342,31 +342,45 @@ FINAL: dict[str, str] = {
         FROM priced_30 GROUP BY job_id ORDER BY estimated_cost DESC, job_id""",
 }
 
-# Column list of silver_reading_logs with Spark's type names, for the profile.
-_PROFILE_COLUMNS = [
-    ("article_id", "bigint"), ("log_id", "bigint"), ("member_id", "bigint"),
-    ("event_type", "string"), ("event_time", "timestamp"), ("device", "string"),
-    ("reading_seconds", "int"), ("scroll_depth", "int"), ("event_date", "date"),
-    ("ym", "string"), ("category", "string"), ("is_premium", "int"),
-]
+# Column lists with Spark's type names, for the profiles.
+_PROFILE_COLUMNS = {
+    "silver_reading_logs": [
+        ("article_id", "bigint"), ("log_id", "bigint"), ("member_id", "bigint"),
+        ("event_type", "string"), ("event_time", "timestamp"), ("device", "string"),
+        ("reading_seconds", "int"), ("scroll_depth", "int"), ("event_date", "date"),
+        ("ym", "string"), ("category", "string"), ("is_premium", "int"),
+    ],
+    "documents": [("doc_id", "bigint"), ("text", "string"), ("lang", "string"),
+                  ("source", "string"), ("n_chars", "bigint")],
+    "conversations": [("conv_id", "bigint"), ("turn", "bigint"), ("role", "string"), ("text", "string")],
+    "pages": [("page_id", "bigint"), ("url", "string"), ("html", "string")],
+    "benchmark": [("item_id", "bigint"), ("text", "string")],
+    "labels": [("doc_id", "bigint"), ("quality", "int"), ("toxic", "int")],
+    "region": [("r_regionkey", "int"), ("r_name", "string")],
+}
 
 
-def _profile_sql() -> str:
+def _profile_sql(table: str) -> str:
     parts = []
-    for pos, (col, dtype) in enumerate(_PROFILE_COLUMNS, start=1):
+    for pos, (col, dtype) in enumerate(_PROFILE_COLUMNS[table], start=1):
         parts.append(f"""
         SELECT '{col}' AS column_name, {pos} AS position, '{dtype}' AS data_type,
                COUNT(*) AS row_count,
-               COUNT(*) - COUNT({col}) AS null_count,
-               ROUND(CAST(COUNT(*) - COUNT({col}) AS DOUBLE) / NULLIF(COUNT(*), 0) * 100, 1) AS null_pct,
-               COUNT(DISTINCT {col}) AS distinct_count,
-               CAST(MIN({col}) AS VARCHAR) AS min_value,
-               CAST(MAX({col}) AS VARCHAR) AS max_value
-        FROM silver_reading_logs""")
+               COUNT(*) - COUNT("{col}") AS null_count,
+               ROUND(CAST(COUNT(*) - COUNT("{col}") AS DOUBLE) / NULLIF(COUNT(*), 0) * 100, 1) AS null_pct,
+               COUNT(DISTINCT "{col}") AS distinct_count,
+               CAST(MIN("{col}") AS VARCHAR) AS min_value,
+               CAST(MAX("{col}") AS VARCHAR) AS max_value
+        FROM {table}""")
     return "\nUNION ALL".join(parts)
 
 
-FINAL["table_profile"] = _profile_sql()
+FINAL["table_profile"] = _profile_sql("silver_reading_logs")
+FINAL["events_by_type_events"] = """
+        SELECT event_type, COUNT(*) AS cnt FROM events
+        GROUP BY event_type ORDER BY cnt DESC, event_type"""
+for _t in ["documents", "conversations", "pages", "benchmark", "labels", "region"]:
+    FINAL[f"table_profile_{_t}"] = _profile_sql(_t)
 
 
 def oracle_sql() -> dict[str, str]:

@@ -28,6 +28,10 @@ TEST_PARAMS = {
 }
 
 
+# Given tables profiled as they are (whole rows, whole texts).
+PROFILED_TABLES = ["documents", "conversations", "pages", "benchmark", "labels", "region"]
+
+
 def _silent(lk: Lake, strict: bool) -> DataFrame:
     if strict:  # the steps of the hint: more than 90 days, churn not tested
         return churn.silent_members(lk["gold_member_segment"], lk["silver_reading_logs"],
@@ -90,4 +94,8 @@ QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
         lk["usage"], lk["list_prices"], P["usage_days"]),
     # profile (Q32)
     "table_profile": lambda lk: profile.table_profile(lk["silver_reading_logs"], distinct="exact"),
+    # second check of Q12 on the given event log; profiles of the other given tables
+    "events_by_type_events": lambda lk: explore.events_by_type(lk["events"]),
+    **{f"table_profile_{t}": (lambda lk, t=t: profile.table_profile(lk[t], distinct="exact"))
+       for t in PROFILED_TABLES},
 }

@@ -29,6 +29,9 @@ TEST_TABLES = [
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
+# Given tables read as they are.
+RAW_TABLES = ["events", "region", "documents", "pages", "benchmark", "labels", "conversations"]
+
 # Anchor dates of the derived text dates.
 REGISTRATION_ANCHOR = "2015-01-01"
 PUBLISH_ANCHOR = "1994-01-01"
@@ -199,6 +202,11 @@ def list_prices(usage_df: DataFrame) -> DataFrame:
     )
 
 
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict:
+    """Loaders of the given tables that the model uses as they are."""
+    return {t: (lambda t=t: read(spark, sf_dir, t)) for t in RAW_TABLES}
+
+
 def sources(spark: SparkSession, sf_dir: str) -> dict:
     """Loaders of the model's input tables, keyed by model name."""
     return {
@@ -208,4 +216,6 @@ def sources(spark: SparkSession, sf_dir: str) -> dict:
         "bronze_subscriptions": lambda: bronze_subscriptions(spark, sf_dir),
         "usage": lambda: usage(spark, sf_dir),
         "list_prices": lambda: list_prices(usage(spark, sf_dir)),
+        # given tables used as they are (event log; profile inputs)
+        **raw_tables(spark, sf_dir),
     }

@@ -26,7 +26,7 @@ def duck():
 
 def test_every_query_has_sql_or_is_a_limit():
     assert set(queries()) - set(oracle_sql()) == {"preview_rows"}
-    assert len(queries()) == 32
+    assert len(queries()) == 39
 
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))

@@ -21,7 +21,8 @@ from subsight.lake import Lake  # noqa: E402
 from subsight.plans import pipeline  # noqa: E402
 from subsight.plans.registry import QUERIES  # noqa: E402
 from subsight.plans.session import local_session  # noqa: E402
-from subsight.sources.catalog import LakeConfig  # noqa: E402
+from subsight.sources.catalog import LakeConfig
+from subsight.sources.testdata import raw_tables  # noqa: E402
 
 
 def main(argv):
@@ -34,7 +35,7 @@ def main(argv):
     pipeline.ingest_bronze(spark, config, raw, per_file)
     pipeline.ingest_billing(spark, config, raw, per_file)
     pipeline.run_pipeline(spark, config)
-    stored = Lake.from_catalog(spark, config)
+    stored = Lake.from_catalog(spark, config, extra=raw_tables(spark, sf_dir))
     out = ["# Physical plans over stored tables",
            "",
            f"Final adaptive plans (after execution) of every registered query, over tables written by the "
