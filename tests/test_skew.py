@@ -36,3 +36,40 @@ def test_hot_member(spark, frames):
 
     eng = gold.monthly_engagement(logs).collect()
     assert sum(r.article_views for r in eng) == sum(1 for r in rows if r[3] in (M.READ_START, M.READ_COMPLETE))
+
+
+def test_hot_article_split_when_not_broadcast(spark, frames):
+    """No broadcast (the dimension is 'too big'): the left join of logs to
+    articles is a sort-merge join, and AQE splits the partition of the hot
+    article instead of giving it to one task."""
+    from pyspark.sql import functions as F
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        n = 60000
+        rows = [log(i, i % 97, 1 if i % 3 == 0 else 2 + i % 200, M.READ_START) for i in range(n)]
+        logs_raw = frames("logs", rows).repartition(8)
+        arts = silver.silver_articles(frames("articles", [article(a, f"c{a % 5}") for a in range(1, 202)]))
+        out = silver.silver_reading_logs(logs_raw, arts)
+        counts = {r.article_id: r.n for r in out.groupBy("article_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+        assert counts[1] == n // 3 and sum(counts.values()) == n
+        # the whole log row travels (skew is measured in shuffled bytes)
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
