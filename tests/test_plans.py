@@ -66,3 +66,11 @@ def test_cost_window_reaches_the_scan(spark):
     plan = plan_of(cost.estimated_cost_by_sku(stored["usage"], stored["list_prices"], days=30))
     assert "GreaterThanOrEqual(usage_date," in plan
     assert "BroadcastHashJoin" in plan
+
+
+def test_month_refresh_reads_only_its_months(spark, stored):
+    from pyspark.sql import functions as F
+
+    logs = stored["silver_reading_logs"].filter(F.col("ym").isin(["1998-07", "1998-08"]))
+    plan = plan_of(gold.monthly_engagement(logs))
+    assert "In(ym, [1998-07,1998-08])" in plan
