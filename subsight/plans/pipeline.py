@@ -79,17 +79,25 @@ def run_silver(spark: SparkSession, config: LakeConfig, inputs: Lake | None = No
 
 
 def run_gold(spark: SparkSession, config: LakeConfig) -> dict[str, int]:
-    """Silver -> gold, from the stored silver tables."""
+    """Silver -> gold, from the stored silver tables.
+
+    The logs are scanned once: the per (member, month, category) activity
+    aggregate that all three marts derive from is checkpointed to the
+    cluster's checkpoint folder (reliable storage; lineage cut), and the
+    marts are computed from it.
+    """
     use_schema(spark, config)
+    checkpoint_dir(spark)
     logs = read_table(spark, config, "silver_reading_logs")
     members = read_table(spark, config, "silver_members")
+    activity = gold.member_month_activity(logs).checkpoint(eager=True)
     counts = {
-        "gold_monthly_engagement": write_table(gold.monthly_engagement(logs), config,
-                                               "gold_monthly_engagement"),
-        "gold_member_segment": write_table(gold.member_segment(members, logs), config,
-                                           "gold_member_segment"),
-        "gold_paywall_conversion": write_table(gold.paywall_conversion(logs, members), config,
-                                               "gold_paywall_conversion"),
+        "gold_monthly_engagement": write_table(
+            gold.monthly_engagement_from_activity(activity), config, "gold_monthly_engagement"),
+        "gold_member_segment": write_table(
+            gold.member_segment_from_activity(members, activity), config, "gold_member_segment"),
+        "gold_paywall_conversion": write_table(
+            gold.paywall_conversion_from_activity(activity, members), config, "gold_paywall_conversion"),
     }
     apply_comments(spark, config, ["gold_monthly_engagement", "gold_member_segment",
                                    "gold_paywall_conversion"])
@@ -125,9 +133,10 @@ def refresh_months(spark: SparkSession, config: LakeConfig, months: list[str]) -
     checkpoint_dir(spark)
     logs = read_table(spark, config, "silver_reading_logs").filter(F.col("ym").isin(list(months)))
     members = read_table(spark, config, "silver_members")
+    activity = gold.member_month_activity(logs).checkpoint(eager=True)
     fresh = {
-        "gold_monthly_engagement": gold.monthly_engagement(logs),
-        "gold_paywall_conversion": gold.paywall_conversion(logs, members),
+        "gold_monthly_engagement": gold.monthly_engagement_from_activity(activity),
+        "gold_paywall_conversion": gold.paywall_conversion_from_activity(activity, members),
     }
     counts = {}
     for table, new_rows in fresh.items():
