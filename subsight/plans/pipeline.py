@@ -35,10 +35,14 @@ def ingest_bronze(spark: SparkSession, config: LakeConfig, inputs: Lake,
 
 def ingest_billing(spark: SparkSession, config: LakeConfig, inputs: Lake,
                    max_records_per_file: int | None = None) -> dict[str, int]:
-    """Store the billing inputs (``usage``, ``list_prices``) of ``inputs``."""
+    """Store the billing inputs (``usage``, ``list_prices``) of ``inputs``;
+    usage clustered by day, so the cost windows skip older files."""
     use_schema(spark, config)
-    return {name: write_table(inputs[name], config, name, max_records_per_file)
-            for name in ("usage", "list_prices")}
+    return {
+        "usage": write_table(inputs["usage"], config, "usage", max_records_per_file,
+                             cluster_by=["usage_date"]),
+        "list_prices": write_table(inputs["list_prices"], config, "list_prices"),
+    }
 
 
 def run_silver(spark: SparkSession, config: LakeConfig, inputs: Lake | None = None,
@@ -71,7 +75,7 @@ def run_silver(spark: SparkSession, config: LakeConfig, inputs: Lake | None = No
         articles = read_table(spark, config, "silver_articles")
         counts["silver_reading_logs"] = write_table(
             silver.silver_reading_logs(src["bronze_reading_logs"], articles), config,
-            "silver_reading_logs")
+            "silver_reading_logs", cluster_by=["ym"])
     counts["silver_subscriptions"] = write_table(
         silver.silver_subscriptions(src["bronze_subscriptions"]), config, "silver_subscriptions")
     apply_comments(spark, config, ["silver_subscriptions"])

@@ -21,15 +21,21 @@ def read_raw(spark: SparkSession, name: str, path: str, fmt: str = "parquet", **
 
 
 def write_table(df: DataFrame, config: LakeConfig, table: str,
-                max_records_per_file: int | None = None) -> int:
+                max_records_per_file: int | None = None,
+                cluster_by: list[str] | None = None) -> int:
     """Full-refresh write of a managed table; returns the row count.
 
     The count is an observed metric of the write job itself, so the plan is
     not run a second time to report it. ``max_records_per_file`` splits the
     output of a large task into several files (no shuffle), so later scans
-    of the table get several tasks.
+    of the table get several tasks. ``cluster_by`` sorts each task's rows
+    before writing (``sortWithinPartitions``: no shuffle), so every file and
+    row group covers a narrow range of those columns and a filter on them
+    skips the others through the parquet min/max statistics.
     """
     obs = Observation(f"rows_{table}")
+    if cluster_by:
+        df = df.sortWithinPartitions(*cluster_by)
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = (observed.write.format(config.fmt).mode("overwrite")
               .option("overwriteSchema", "true"))
