@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from subsight.lake import Lake
 from subsight.operators import gold, silver
 from subsight.plans.metadata import apply_comments
-from subsight.sources.bronze import overwrite_partitions, register_bronze, write_table
+from subsight.plans.session import checkpoint_dir
+from subsight.sources.bronze import register_bronze, write_table
 from subsight.sources.catalog import LakeConfig, read_table, use_schema
 
 
@@ -107,13 +108,15 @@ def run_gold(spark: SparkSession, config: LakeConfig) -> dict[str, int]:
 
     The logs are scanned once: the per (member, month, category) activity
     aggregate that all three marts derive from is stored as the work table
-    ``work_member_month_activity`` (partitioned by month; the written table
-    cuts the lineage), and the marts are computed from it.
+    ``work_member_month_activity`` (clustered by month; the written table
+    cuts the lineage), and the marts are computed from it. The table is
+    not partitioned by month: each task of the aggregate holds every month,
+    so a partitioned write would create tasks x months small files.
     """
     use_schema(spark, config)
     logs = read_table(spark, config, "silver_reading_logs")
     counts = {ACTIVITY: write_table(gold.member_month_activity(logs), config, ACTIVITY,
-                                    partition_by=["ym"])}
+                                    cluster_by=["ym"])}
     counts.update(_write_marts(spark, config))
     return counts
 
@@ -130,19 +133,25 @@ def refresh_months(spark: SparkSession, config: LakeConfig, months: list[str]) -
 
     Only the silver logs of those months are read (``ym IN (...)`` reaches
     the scan of the month-clustered logs). Their activity rows replace the
-    month partitions of the activity table (dynamic partition overwrite: a
-    replacement, not an addition, so running it twice gives the same
-    result; other months are not rewritten), and the three marts are
-    rebuilt from the activity table with the current members. Equal to
-    ``run_gold`` over all logs (checked by the tests) for append-only logs;
-    a daily run reads the new months of logs plus the activity table, not
-    the history of logs.
+    stored rows of the same months in the activity table (a replacement,
+    not an addition: running it twice gives the same result); the merged
+    table is checkpointed to the cluster's checkpoint folder (lineage cut,
+    so the table it was read from can be overwritten) and written back,
+    and the three marts are rebuilt from it with the current members.
+    Equal to ``run_gold`` over all logs (checked by the tests); a daily run
+    reads the new months of logs plus the activity table, never the
+    history of logs.
     """
     if not months:
         return {}
     use_schema(spark, config)
+    checkpoint_dir(spark)
     months = list(months)
     logs = read_table(spark, config, "silver_reading_logs").filter(F.col("ym").isin(months))
-    counts = {ACTIVITY: overwrite_partitions(gold.member_month_activity(logs), config, ACTIVITY)}
+    stored = read_table(spark, config, ACTIVITY)
+    kept = stored.filter(~F.col("ym").isin(months) | F.col("ym").isNull())
+    fresh = gold.member_month_activity(logs).select(*stored.columns)
+    merged = kept.unionByName(fresh).checkpoint(eager=True)
+    counts = {ACTIVITY: write_table(merged, config, ACTIVITY, cluster_by=["ym"])}
     counts.update(_write_marts(spark, config))
     return counts

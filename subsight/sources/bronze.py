@@ -33,9 +33,8 @@ def write_table(df: DataFrame, config: LakeConfig, table: str,
     before writing (``sortWithinPartitions``: no shuffle), so every file and
     row group covers a narrow range of those columns and a filter on them
     skips the others through the parquet min/max statistics.
-    ``partition_by`` stores one folder per value (for low-cardinality keys
-    such as a month), so single partitions can be replaced later
-    (:func:`overwrite_partitions`).
+    ``partition_by`` stores one folder per value (for low-cardinality keys;
+    note that every writing task writes one file per value).
     """
     obs = Observation(f"rows_{table}")
     if cluster_by:
@@ -51,24 +50,6 @@ def write_table(df: DataFrame, config: LakeConfig, table: str,
     return int(obs.get["rows"])
 
 
-def overwrite_partitions(df: DataFrame, config: LakeConfig, table: str) -> int:
-    """Replace only the partitions of a partitioned table that ``df`` has
-    rows for (dynamic partition overwrite); others stay. Returns the row
-    count written."""
-    spark = df.sparkSession
-    fqn = config.fqn(table)
-    columns = spark.table(fqn).columns
-    obs = Observation(f"rows_{table}")
-    observed = df.select(*columns).observe(obs, F.count(F.lit(1)).alias("rows"))
-    key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")      # the write option alone is not honoured by insertInto
-    try:
-        observed.write.mode("overwrite").insertInto(fqn)
-    finally:
-        spark.conf.set(key, previous)
-    return int(obs.get["rows"])
-
 
 def register_bronze(df: DataFrame, config: LakeConfig, name: str,
                     max_records_per_file: int | None = None) -> int:

@@ -143,18 +143,3 @@ def test_refresh_months_equals_full_refresh(spark, frames):
     seg = {r[0]: r[4] for r in marts["gold_member_segment"]}
     assert seg == {1: 3, 2: 2, 3: 1}                                 # total events per member
 
-
-def test_overwrite_partitions_replaces_only_given_months(spark):
-    from subsight.sources.bronze import overwrite_partitions, write_table
-    from subsight.sources.catalog import read_table, use_schema
-
-    config = LakeConfig(schema="dyn_overwrite")
-    use_schema(spark, config)
-    schema = "id bigint, v string, ym string"
-    write_table(spark.createDataFrame([(1, "a", "2025-01"), (2, "b", "2025-02"), (3, "c", None)], schema),
-                config, "t", partition_by=["ym"])
-    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    assert overwrite_partitions(spark.createDataFrame([(9, "z", "2025-02")], schema), config, "t") == 1
-    assert sorted(map(tuple, read_table(spark, config, "t").collect()), key=repr) == \
-        sorted([(1, "a", "2025-01"), (9, "z", "2025-02"), (3, "c", None)], key=repr)
-    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
