@@ -1,0 +1,25 @@
+"""bench.py prints one JSON line with the driver's keys (smoke run on the
+smallest tables, two queries, one run)."""
+
+import json
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+ROOT = Path(__file__).resolve().parents[1]
+
+
+def test_bench_prints_one_json_line():
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_RUNS="1", BENCH_CPUS="2")
+    out = subprocess.run([sys.executable, "bench.py", "churn_by_month", "daily_usage"], cwd=ROOT, env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    lines = [ln for ln in out.stdout.splitlines() if ln.strip()]
+    assert len(lines) == 1
+    result = json.loads(lines[0])
+    for key in ("metric", "value", "unit", "queries", "sf", "raw_queries", "pipeline_sec"):
+        assert key in result
+    assert result["unit"] == "sec" and result["sf"] == 0.001
+    assert set(result["queries"]) == {"churn_by_month", "daily_usage"}
+    assert result["value"] > 0
