@@ -21,14 +21,19 @@ def conversion_by_age(paywall: DataFrame) -> DataFrame:
 
 def paywall_improvement_target(paywall: DataFrame) -> DataFrame:
     """Q23: age bands with at least the mean number of hits per band and a
-    conversion rate below the overall rate. Both thresholds are scalar
-    subqueries over the (band-sized) aggregate."""
+    conversion rate below the overall rate. The thresholds come from one
+    scalar subquery over the (band-sized) aggregate."""
     by_age = (paywall.groupBy("age_group")
               .agg(F.sum("paywall_hits").alias("paywall_hits"),
                    F.sum("conversions").alias("conversions")))
-    mean_hits = by_age.select(F.avg("paywall_hits")).scalar()
-    overall = paywall.select(
-        F.try_divide(F.sum("conversions"), F.sum("paywall_hits")) * 100).scalar()
+    # both thresholds from one scalar subquery over the band aggregate (the
+    # bands partition the rows, so their sums are the overall sums)
+    thresholds = by_age.select(F.struct(
+        F.avg("paywall_hits").alias("mean_hits"),
+        (F.try_divide(F.sum("conversions"), F.sum("paywall_hits")) * 100).alias("overall_rate"),
+    )).scalar()
+    mean_hits = thresholds.getField("mean_hits")
+    overall = thresholds.getField("overall_rate")
     rate = F.try_divide(F.col("conversions"), F.col("paywall_hits")) * 100
     return (
         by_age.filter((F.col("paywall_hits") >= mean_hits) & (rate < overall))
