@@ -143,3 +143,13 @@ def test_refresh_months_equals_full_refresh(spark, frames):
     seg = {r[0]: r[4] for r in marts["gold_member_segment"]}
     assert seg == {1: 3, 2: 2, 3: 1}                                 # total events per member
 
+
+
+def test_cluster_settings_scale_with_input():
+    from subsight.plans.session import cluster_settings
+
+    big = cluster_settings(100 * 1024 ** 4, total_cores=8000)
+    assert int(big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) == 819200
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
+    small = cluster_settings(10 * 1024 ** 2, total_cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
