@@ -1,5 +1,6 @@
 """Column profile of a table (Q32): rows, NULLs, NULL %, distinct values,
-min and max per column.
+min and max per column, and optionally the quartiles of numeric and time
+columns.
 
 Two aggregates, each one pass over the input:
 
@@ -34,6 +35,7 @@ from pyspark.sql.types import (
     IntegerType,
     LongType,
     MapType,
+    NumericType,
     ShortType,
     StructType,
     TimestampNTZType,
@@ -63,7 +65,20 @@ def _as_key(field) -> tuple[Column, Column]:
     return none_num, c.cast("string")
 
 
-def table_profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.05) -> DataFrame:
+QUARTILES = [0.25, 0.5, 0.75]
+
+
+def _orderable_number(field) -> bool:
+    return isinstance(field.dataType, (NumericType, DateType, TimestampType, TimestampNTZType))
+
+
+def table_profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.05,
+                  quartiles: bool = False, accuracy: int = 10000) -> DataFrame:
+    """One row per column. ``quartiles=True`` adds the distribution of
+    numeric and time columns (``p25``, ``median``, ``p75``) from
+    ``percentile_approx``: a bounded-memory sketch inside the same global
+    aggregate (rank error about 1/``accuracy``), where an exact percentile
+    would gather a whole column into one buffer."""
     if distinct not in ("exact", "approx", "none"):
         raise ValueError("distinct must be exact, approx or none")
     fields = list(df.schema.fields)
@@ -79,6 +94,13 @@ def table_profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.05) ->
             aggs.append(F.approx_count_distinct(c, rsd).alias(f"nd{i}"))
         else:
             aggs.append(F.lit(None).cast("bigint").alias(f"nd{i}"))
+        if quartiles and _orderable_number(f):
+            q = F.percentile_approx(c, QUARTILES, accuracy)
+            aggs.append(F.transform(q, lambda x: x.cast("string")).alias(f"q{i}"))
+        elif quartiles:
+            aggs.append(F.lit(None).cast("array<string>").alias(f"q{i}"))
+    extra = (lambda i: [F.col(f"q{i}")[0].alias("p25"), F.col(f"q{i}")[1].alias("median"),
+                        F.col(f"q{i}")[2].alias("p75")]) if quartiles else (lambda i: [])
     per_column = F.array(*[
         F.struct(
             F.lit(f.name).alias("column_name"),
@@ -88,6 +110,7 @@ def table_profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.05) ->
             F.col(f"nd{i}").alias("distinct_count"),
             F.col(f"lo{i}").alias("min_value"),
             F.col(f"hi{i}").alias("max_value"),
+            *extra(i),
         )
         for i, f in enumerate(fields)
     ])
@@ -116,4 +139,5 @@ def table_profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.05) ->
         (F.col("rows") - F.col("non_null")).alias("null_count"),
         percent(F.col("rows") - F.col("non_null"), F.col("rows")).alias("null_pct"),
         "distinct_count", "min_value", "max_value",
+        *(["p25", "median", "p75"] if quartiles else []),
     )

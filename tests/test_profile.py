@@ -19,3 +19,12 @@ def test_profile_empty(spark):
     df = spark.createDataFrame([], "x int")
     r = table_profile(df).collect()[0]
     assert (r.row_count, r.null_count, r.null_pct, r.distinct_count) == (0, 0, None, 0)
+
+
+def test_profile_quartiles(spark):
+    df = spark.createDataFrame([(v, f"s{v}", None) for v in range(1, 101)], "x int, s string, n double")
+    out = {r.column_name: r for r in table_profile(df, quartiles=True).collect()}
+    assert (out["x"].p25, out["x"].median, out["x"].p75) == ("25", "50", "75")
+    assert (out["s"].p25, out["s"].median, out["s"].p75) == (None, None, None)
+    assert out["n"].median is None
+    assert "median" not in table_profile(df).columns   # default output unchanged
