@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from subsight.llm import mixing_sql
+from subsight.llm.mixing import mix_documents
 from subsight.llm.simhash import simhash_components
 from subsight.llm.tables import table
 
@@ -14,7 +16,14 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op4_mixing": op4_mixing,
+}
+SQL: dict[str, str] = {
+    "op4_mixing": mixing_sql.MIX,
 }
-SQL: dict[str, str] = {}
