@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from subsight.llm import mixing_sql
+from subsight.llm import mixing_sql, winnowing_sql
 from subsight.llm.mixing import mix_documents
 from subsight.llm.simhash import simhash_components
 from subsight.llm.tables import table
+from subsight.llm.winnowing import contamination
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,10 +21,16 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
+    "op10_winnowing": op10_winnowing,
 }
 SQL: dict[str, str] = {
     "op4_mixing": mixing_sql.MIX,
+    "op10_winnowing": winnowing_sql.CONTAMINATION,
 }
