@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from subsight.llm import mixing_sql, winnowing_sql
+from subsight.llm import mixing_sql, urls_sql, winnowing_sql
 from subsight.llm.mixing import mix_documents
 from subsight.llm.simhash import simhash_components
 from subsight.llm.tables import table
+from subsight.llm.tokens import token_counts
+from subsight.llm.urls import judge_urls
 from subsight.llm.winnowing import contamination
 
 
@@ -21,6 +23,14 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
@@ -28,9 +38,12 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
+    "op7_tokens": op7_tokens,
+    "op8_urls": op8_urls,
     "op10_winnowing": op10_winnowing,
 }
 SQL: dict[str, str] = {
     "op4_mixing": mixing_sql.MIX,
+    "op8_urls": urls_sql.VERDICTS,
     "op10_winnowing": winnowing_sql.CONTAMINATION,
 }
