@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from subsight.llm import mixing_sql, urls_sql, winnowing_sql
+from subsight.llm.language import fit_identifier, identify
 from subsight.llm.mixing import mix_documents
 from subsight.llm.simhash import simhash_components
 from subsight.llm.tables import table
@@ -15,6 +17,17 @@ from subsight.llm.urls import judge_urls
 from subsight.llm.winnowing import contamination
 
 
+def _remainder(n: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = _remainder(4) == 2
+    learned = fit_identifier(docs.where(~held_out).select(F.col("lang").alias("cls"), "text"))
+    return identify(docs, learned, [F.col("doc_id"), held_out.alias("held_out")], "doc_id long, held_out boolean")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
@@ -36,6 +49,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language": op1_language,
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
     "op7_tokens": op7_tokens,
