@@ -79,23 +79,22 @@ class Model:
 
 
 def train(codes: np.ndarray, place: np.ndarray, weights: np.ndarray, classes: list[str], order: int,
-          shared_base: bool = False, predict_first: bool = False) -> Model:
+          shared_orders: int = 0) -> Model:
     """A model from sequences: ``weights[i, c]`` is how often the sequence of code i occurs in class c.
 
     Below the highest order an n-gram counts by its distinct left
     extensions (n-grams at a sequence's start by occurrences). Each order
     has one absolute discount per class; the unigrams are interpolated with
-    a uniform distribution over the symbols seen and one more. With
-    ``shared_base`` the lowest order is that of all classes pooled, so a
-    symbol rare in one class is smoothed by what all classes know of it. The
-    first place is a start mark that is no prediction unless
-    ``predict_first``.
+    a uniform distribution over the symbols seen and one more. The counts of
+    the lowest ``shared_orders`` orders are those of all classes pooled, so
+    what is rare in one class is smoothed by what all classes know of it.
+    The first place of a sequence is a start mark and no prediction.
     """
     hashes = rolling_hashes(codes, order)
     model = Model(classes, order, np.zeros(len(classes), np.float32))
     uniq, first, inverse, rows = [], [], [], []
     for n in range(1, order + 1):
-        at = np.flatnonzero(place >= max(n - 1, 0 if predict_first else 1))
+        at = np.flatnonzero(place >= max(n - 1, 1))
         keys, idx, inv = np.unique(hashes[n - 1][at], return_index=True, return_inverse=True)
         uniq.append(keys)
         first.append(at[idx])
@@ -110,12 +109,9 @@ def train(codes: np.ndarray, place: np.ndarray, weights: np.ndarray, classes: li
             suffix = _find(uniq[n], hashes[n][first[n + 1]])
             extended = np.stack([np.bincount(suffix, raw[n + 1][:, c] > 0, len(uniq[n])) for c in range(len(classes))], axis=1)
             count = np.where((place[first[n]] == n)[:, None] & (n > 0), raw[n], extended)
-            if n == 0 and predict_first:  # a first symbol has no left extension: it counts once
-                count = np.maximum(count, raw[n] > 0)
+        if n < shared_orders:
+            count = np.repeat(count.sum(axis=1, keepdims=True), len(classes), axis=1)
         if n == 0:
-            if shared_base:
-                pooled = count.sum(axis=1, keepdims=True)
-                count = np.repeat(pooled, len(classes), axis=1)
             total = np.maximum(count.sum(axis=0), 1)
             d = np.array([_discount(count[:, c]) for c in range(len(classes))])
             spread = d * (count > 0).sum(axis=0) / total / (len(uniq[0]) + 1)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from subsight.llm.kneser_ney import Model, train
 from subsight.llm.tables import stored
+from subsight.llm.wordscores import Memory, spelled, words_of
 
 ORDER = 5
 #: Each language learns from a hash sample of its rows of about so many characters, calibration included.
@@ -23,64 +23,8 @@ SAMPLE_TEXT_CHARS = 200_000
 #: Share of the sample, by hash, held back to calibrate rejection.
 CALIBRATION_SHARE = 0.2
 #: A text is rejected if its cross-entropy is above that of all but this share of the calibration texts, plus the slack.
-REJECT_SHARE, REJECT_SLACK = 0.001, 0.25
+REJECT_SHARE, REJECT_SLACK = 0.001, 0.75
 UNKNOWN = "und"
-#: Words and their characters that a worker remembers scores of; a full memory is emptied, which changes speed only.
-MEMORY_WORDS, MEMORY_CHARS = 1 << 20, 1 << 24
-_WORD = re.compile(r"[^\W\d_]+")
-_START, _END = "\x02", "\x03"
-
-
-def words_of(text: str | None) -> list[str]:
-    """Lower-cased runs of letters; none if the text has no letter."""
-    words = _WORD.findall(text.lower()) if text else []
-    return words if any(w.isalpha() for w in words) or any(c.isalpha() for w in words for c in w) else []
-
-
-def _spelled(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes of the words between start and end marks, each code's place in its word, each word's first code."""
-    text = _START + (_END + _START).join(words) + _END
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    return codes, np.arange(len(codes)) - np.repeat(starts, sizes), starts
-
-
-class _Memory(dict):
-    """Word to row of ``scores``; a new word gets the next row and waits for its score."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        self.waiting: list[str] = []
-        self.chars = 0
-        self.scores = np.zeros((1024, len(model.classes)), np.float64)
-        self.sizes = np.zeros(1024, np.int64)
-
-    def __missing__(self, word: str) -> int:
-        i = self[word] = len(self)
-        self.waiting.append(word)
-        self.chars += len(word)
-        return i
-
-    def settle(self) -> None:
-        if not self.waiting:
-            return
-        if len(self) > len(self.sizes):
-            room = max(len(self), 2 * len(self.sizes)) - len(self.sizes)
-            self.scores = np.concatenate([self.scores, np.zeros((room, self.scores.shape[1]))])
-            self.sizes = np.concatenate([self.sizes, np.zeros(room, np.int64)])
-        codes, place, starts = _spelled(self.waiting)
-        logp = self.model.score(codes, place)
-        logp[starts] = 0  # the start mark is no prediction
-        rows = slice(len(self) - len(self.waiting), len(self))
-        self.scores[rows] = np.add.reduceat(logp, starts, axis=0)
-        self.sizes[rows] = np.diff(np.append(starts, len(codes))) - 1
-        self.waiting = []
-
-    def trim(self) -> None:
-        if len(self) > MEMORY_WORDS or self.chars > MEMORY_CHARS:
-            self.clear()
-            self.chars = 0
 
 
 @dataclass
@@ -92,7 +36,7 @@ class Identifier:
     per_root: float  #: allowance for short texts: divided by the root of the number of symbols
     sharpness: float = 12.0
 
-    def entropies(self, texts: Sequence[str | None], memory: _Memory) -> tuple[np.ndarray, np.ndarray]:
+    def entropies(self, texts: Sequence[str | None], memory: Memory) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy per symbol and language of whole texts, and their number of symbols (0: no letter)."""
         out, sizes = np.zeros((len(texts), len(self.model.classes))), np.zeros(len(texts), np.int64)
         run: list[tuple[int, np.ndarray]] = []
@@ -111,7 +55,7 @@ class Identifier:
                 run, chars = [], 0
         return out, sizes
 
-    def judge(self, texts: Sequence[str | None], memory: _Memory) -> tuple[list, list, list, list]:
+    def judge(self, texts: Sequence[str | None], memory: Memory) -> tuple[list, list, list, list]:
         """Language, score, cross-entropy and rejection of each text."""
         entropy, sizes = self.entropies(texts, memory)
         if not self.model.classes:
@@ -142,7 +86,7 @@ def learning_sample(rows: DataFrame, sample_chars: int = SAMPLE_CHARS) -> DataFr
     return usable.join(share, "cls").where(draw < F.col("share")).select("cls", "text", held.alias("held"))
 
 
-def _word_counts(sample: DataFrame) -> DataFrame:
+def word_counts(sample: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seen: Counter = Counter()
@@ -158,19 +102,19 @@ def _word_counts(sample: DataFrame) -> DataFrame:
 def fit_identifier(rows: DataFrame, order: int = ORDER, sample_chars: int = SAMPLE_CHARS) -> Identifier:
     """Models and rejection limits from ``rows(cls, text)``; only the bounded sample's word counts reach the driver."""
     sample = stored(learning_sample(rows, sample_chars), "language-sample")
-    got = _word_counts(sample.where("not held")).toArrow()
+    got = word_counts(sample.where("not held")).toArrow()
     words, at = np.unique(got["word"].to_numpy().astype(str), return_inverse=True)
     classes = sorted(set(got["cls"].to_pylist()))
     if not classes:
         return Identifier(Model([], order, np.zeros(0, np.float32)), np.zeros(0), 0.0)
     counts = np.zeros((len(words), len(classes)))
     np.add.at(counts, (at, np.searchsorted(classes, got["cls"].to_numpy().astype(str))), got["n"].to_numpy())
-    codes, place, starts = _spelled(words.tolist())
+    codes, place, starts = spelled(words.tolist())
     model = train(codes, place, np.repeat(counts, np.diff(np.append(starts, len(codes))), axis=0), classes, order)
     draft = Identifier(model, np.full(len(classes), np.inf), 0.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _Memory(draft.model)
+        memory = Memory(draft.model)
         for b in batches:
             entropy, sizes = draft.entropies(b.column(1).to_pylist(), memory)
             own = [classes.index(c) if c in classes else -1 for c in b.column(0).to_pylist()]
@@ -203,7 +147,7 @@ def identify(docs: DataFrame, identifier: Identifier, carry: Sequence[Column], s
     n = len(carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _Memory(identifier.model)
+        memory = Memory(identifier.model)
         for b in batches:
             names, score, entropy, rejected = identifier.judge(b.column(n).to_pylist(), memory)
             yield pa.RecordBatch.from_arrays(

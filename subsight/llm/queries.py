@@ -13,6 +13,7 @@ from subsight.llm.mixing import mix_documents
 from subsight.llm.simhash import simhash_components
 from subsight.llm.tables import table
 from subsight.llm.tokens import token_counts
+from subsight.llm.toxicity import fit_scorer, score_toxicity
 from subsight.llm.urls import judge_urls
 from subsight.llm.winnowing import contamination
 
@@ -36,6 +37,16 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = _remainder(5) == 0
+    marks = table(spark, sf_dir, "labels").where(~held_out & F.col("toxic").isNotNull()) \
+        .select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("string").alias("cls"))
+    labelled = docs.join(marks, docs.doc_id == marks.label_id).select("cls", "text")
+    return score_toxicity(docs, fit_scorer(labelled), [F.col("doc_id"), held_out.alias("held_out")],
+                          "doc_id long, held_out boolean")
+
+
 def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
@@ -52,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
+    "op6_toxicity": op6_toxicity,
     "op7_tokens": op7_tokens,
     "op8_urls": op8_urls,
     "op10_winnowing": op10_winnowing,
