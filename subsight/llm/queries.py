@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from subsight.llm import mixing_sql, urls_sql, winnowing_sql
 from subsight.llm.language import fit_identifier, identify
 from subsight.llm.mixing import mix_documents
+from subsight.llm.pii import find_pii
 from subsight.llm.simhash import simhash_components
 from subsight.llm.tables import table
 from subsight.llm.tokens import token_counts
@@ -29,6 +30,10 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, learned, [F.col("doc_id"), held_out.alias("held_out")], "doc_id long, held_out boolean")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
+    "op2_pii": op2_pii,
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
     "op6_toxicity": op6_toxicity,
