@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subsight.llm import mixing_sql, urls_sql, winnowing_sql
+from subsight.llm.embeddings import embedding_components
 from subsight.llm.language import fit_identifier, identify
 from subsight.llm.mixing import mix_documents
 from subsight.llm.pii import find_pii
@@ -42,6 +43,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(table(spark, sf_dir, "embeddings"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = _remainder(5) == 0
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
+    "op5_embeddings": op5_embeddings,
     "op6_toxicity": op6_toxicity,
     "op7_tokens": op7_tokens,
     "op8_urls": op8_urls,
