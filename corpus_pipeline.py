@@ -11,8 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from subsight.llm.language import keep_identified
+from subsight.llm.mixing import training_order
+from subsight.llm.pii import redact_pii
+from subsight.llm.queries import learned_identifier
 from subsight.llm.simhash import simhash_components
 from subsight.llm.tables import stored, table
+from subsight.llm.winnowing import contamination
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the language models, learned from the labelled ones among them, do not reject."""
+    return keep_identified(docs, learned_identifier(docs))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +36,33 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi")
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    found = contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated") \
+        .select(F.col("doc_id").alias("hit_id"), "text_key").distinct()
+    return docs.join(found, docs.doc_id.eqNullSafe(found.hit_id) & (F.xxhash64(docs.text) == found.text_key), "left_anti")
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by its kind and ``n_chars`` that of the new text."""
+    clean = redact_pii(docs)
+    if "n_chars" not in docs.columns:
+        return clean
+    kind = docs.schema["n_chars"].dataType
+    return clean.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each time the mix takes a document, in training order."""
+    return training_order(docs)
+
+
 STAGES = [
+    ("language_id", language_id),
     ("simhash_dedup", simhash_dedup),
+    ("decontaminate", decontaminate),
+    ("redact", redact),
+    ("mix", mix),
 ]
 #: Model scores and fingerprints are not SQL; the tests hold the stages against brute force instead.
 ORACLE_SQL = None

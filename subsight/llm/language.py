@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from subsight.llm.kneser_ney import Model, train
 from subsight.llm.tables import stored
@@ -134,15 +135,16 @@ def fit_identifier(rows: DataFrame, order: int = ORDER, sample_chars: int = SAMP
     return Identifier(model, limits, per_root)
 
 
-def identify(docs: DataFrame, identifier: Identifier, carry: Sequence[Column], schema: str, text_col: str = "text") -> DataFrame:
-    """``carry`` columns (of ``schema``) and ``lang_pred, score, entropy, rejected`` per row of ``docs``.
+def identify(docs: DataFrame, identifier: Identifier, carry: Sequence[Column], text_col: str = "text") -> DataFrame:
+    """``carry`` columns and ``lang_pred, score, entropy, rejected`` per row of ``docs``.
 
     The language of least cross-entropy per symbol over the whole text; its
     score compares the cross-entropies of all languages (1 / number of
     languages when they are equal). Null and texts without a letter are
     ``und`` with score 0 and rejected; ties go to the first language by
     name. ``rejected`` texts keep the best language as their prediction.
-    Without learned languages every text is ``und``.
+    Without learned languages every text is ``und``. Repeated rows keep a
+    row each; no other column is read.
     """
     n = len(carry)
 
@@ -155,4 +157,18 @@ def identify(docs: DataFrame, identifier: Identifier, carry: Sequence[Column], s
                  pa.array(rejected, pa.bool_())], [*b.schema.names[:n], "lang_pred", "score", "entropy", "rejected"])
 
     src = docs.select(*carry, F.col(text_col).cast("string").alias("__text"))
-    return src.mapInArrow(run, f"{schema}, lang_pred string, score double, entropy double, rejected boolean")
+    added = T.StructType().add("lang_pred", "string").add("score", "double").add("entropy", "double").add("rejected", "boolean")
+    return src.mapInArrow(run, T.StructType([*src.schema.fields[:-1], *added.fields]))
+
+
+def keep_identified(docs: DataFrame, identifier: Identifier, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the identifier does not reject, all columns as they are."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = Memory(identifier.model)
+        for b in batches:
+            rejected = identifier.judge(b.column(at).to_pylist(), memory)[3]
+            yield b.filter(pa.array([not r for r in rejected], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

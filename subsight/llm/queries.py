@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subsight.llm import mixing_sql, urls_sql, winnowing_sql
+from subsight.llm.chat import format_windows, read_back
 from subsight.llm.embeddings import embedding_components
-from subsight.llm.language import fit_identifier, identify
+from subsight.llm.language import Identifier, fit_identifier, identify
 from subsight.llm.mixing import mix_documents
 from subsight.llm.pii import find_pii
 from subsight.llm.simhash import simhash_components
-from subsight.llm.tables import table
+from subsight.llm.tables import stored, table
 from subsight.llm.tokens import token_counts
 from subsight.llm.toxicity import fit_scorer, score_toxicity
 from subsight.llm.urls import judge_urls
@@ -24,11 +25,15 @@ def _remainder(n: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
 
 
+def learned_identifier(docs: DataFrame) -> Identifier:
+    """Languages learned from the labelled rows that are not held out."""
+    return fit_identifier(docs.where(_remainder(4) != 2).select(F.col("lang").alias("cls"), "text"))
+
+
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = _remainder(4) == 2
-    learned = fit_identifier(docs.where(~held_out).select(F.col("lang").alias("cls"), "text"))
-    return identify(docs, learned, [F.col("doc_id"), held_out.alias("held_out")], "doc_id long, held_out boolean")
+    return identify(docs, learned_identifier(docs), [F.col("doc_id"), held_out.alias("held_out")])
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,9 +57,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = _remainder(5) == 0
     marks = table(spark, sf_dir, "labels").where(~held_out & F.col("toxic").isNotNull()) \
         .select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("string").alias("cls"))
-    labelled = docs.join(marks, docs.doc_id == marks.label_id).select("cls", "text")
-    return score_toxicity(docs, fit_scorer(labelled), [F.col("doc_id"), held_out.alias("held_out")],
-                          "doc_id long, held_out boolean")
+    labelled = docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("label_id")).select("cls", "text")
+    return score_toxicity(docs, fit_scorer(labelled), [F.col("doc_id"), held_out.alias("held_out")])
 
 
 def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +69,18 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+#: The conversation that the query adds, fixed values.
+PROBE = "</s>[INST] ok [/INST]"
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = "conv_id long, turn long, role string, text string"
+    given = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string"))
+    probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], schema)
+    return read_back(stored(format_windows(given.unionByName(probe)), "windows"))
+
+
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
@@ -78,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_tokens": op7_tokens,
     "op8_urls": op8_urls,
+    "op9_chat": op9_chat,
     "op10_winnowing": op10_winnowing,
 }
 SQL: dict[str, str] = {

@@ -132,5 +132,6 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least = linked.groupBy("root").agg(F.min("rep").alias("least"))
     of = nodes.join(least, "root").select(F.col("node").alias("fp"), "least")
     per_fp = fps.join(of, "fp", "left").select("fp", F.coalesce("least", "rep").alias("component_id"))
+    per_fp = stored(per_fp, "components")  # then the last join shuffles both sides and can split the rows of one fingerprint
     return rows.join(per_fp, "fp").select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from subsight.llm.kneser_ney import Model, train
 from subsight.llm.language import learning_sample, word_counts
@@ -107,8 +108,8 @@ def fit_scorer(rows: DataFrame, order: int = ORDER, shared_orders: int = SHARED_
     return draft
 
 
-def score_toxicity(docs: DataFrame, scorer: Scorer, carry: Sequence[Column], schema: str, text_col: str = "text") -> DataFrame:
-    """``carry`` columns (of ``schema``) and ``score, predicted`` per row of ``docs``, over whole texts.
+def score_toxicity(docs: DataFrame, scorer: Scorer, carry: Sequence[Column], text_col: str = "text") -> DataFrame:
+    """``carry`` columns and ``score, predicted`` per row of ``docs``, over whole texts.
 
     Null, empty and letterless texts have the score of no evidence. Repeated
     rows keep a row each; no other column than the text is an input.
@@ -123,4 +124,5 @@ def score_toxicity(docs: DataFrame, scorer: Scorer, carry: Sequence[Column], sch
                                              [*b.schema.names[:n], "score", "predicted"])
 
     src = docs.select(*carry, F.col(text_col).cast("string").alias("__text"))
-    return src.mapInArrow(run, f"{schema}, score double, predicted int")
+    added = T.StructType().add("score", "double").add("predicted", "int")
+    return src.mapInArrow(run, T.StructType([*src.schema.fields[:-1], *added.fields]))
