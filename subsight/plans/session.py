@@ -27,35 +27,36 @@ LOCAL_SETTINGS = {
 }
 
 
-def cluster_settings(input_bytes: int, total_cores: int,
+def cluster_settings(input_bytes: int, total_cores: int, shuffled_bytes: int | None = None,
                      target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Recommended settings for a cluster run over ``input_bytes`` of
     (compressed) input on ``total_cores`` task slots.
 
     * scans: splits of ``target_partition_bytes`` (``maxPartitionBytes``),
       so one task holds one split in memory;
-    * shuffles: AQE starts from enough partitions that the largest shuffle
-      (at most the input size) gives each reduce task about half a split,
-      at least two waves of tasks, then coalesces small partitions toward
-      the advisory size;
-    * skew: a partition 5x the median and over 4 advisory sizes is split;
+    * shuffles: sized from what is shuffled, not from what is read. The
+      plans prune columns and aggregate before they shuffle, so
+      ``shuffled_bytes`` defaults to a tenth of the input; each reduce task
+      gets about one split of it, with at least two waves of tasks, and AQE
+      coalesces what is smaller and splits what is skewed;
+    * skew: a partition 5x the median and over two splits is split;
     * broadcast: only sides under 64 MB (size-checked by the planner).
 
-    At 100 TiB on 1,000 executors x 8 cores this gives 819,200 initial shuffle
-    partitions of about 128 MB, coalesced by AQE where smaller.
+    At 100 TiB on 1,000 executors x 8 cores: 409,600 scan tasks and 40,960
+    reducers of about 256 MB.
     """
-    half = max(1, target_partition_bytes // 2)
-    partitions = max(2 * total_cores, -(-input_bytes // half))
+    shuffled = input_bytes // 10 if shuffled_bytes is None else shuffled_bytes
+    partitions = max(2 * total_cores, -(-shuffled // target_partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(half),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * half),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     }
@@ -88,6 +89,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or local
 
 
+def checkpoint_base(spark: SparkSession) -> str:
+    """The checkpoint folder as configured, the same in every driver.
+
+    Spark appends a fresh random folder to it in each driver
+    (:func:`checkpoint_dir`); what must be found again by the next driver, a
+    stream's checkpoint, belongs directly below the configured folder.
+    """
+    return checkpoint_dir(spark).rstrip("/").rpartition("/")[0]
+
+
 def local_session(cores: int | str = "*", app: str = "subsight", warehouse: str | None = None,
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     """A local session for tests and the benchmark."""

@@ -103,3 +103,56 @@ def test_pipeline_with_incremental_logs(spark, frames):
         got = sorted(map(tuple, read_table(spark, inc, t).collect()), key=repr)
         want = sorted(map(tuple, read_table(spark, full, t).collect()), key=repr)
         assert got == want, t
+
+
+def _stream_case(spark, frames, schema):
+    config = LakeConfig(schema=schema)
+    use_schema(spark, config)
+    write_table(silver.silver_articles(frames("articles", [article(1)])), config, "silver_articles")
+    src = tempfile.mkdtemp(prefix="subsight-stream-src-")
+    frames("logs", [log(1, 1, 1, M.READ_START), log(2, 1, 1, M.READ_START)]).write.parquet(os.path.join(src, "d1"))
+    return config, src
+
+
+def test_next_driver_continues_the_stream(spark, frames):
+    """A new driver gets another folder below the configured one; the stream's checkpoint is the same."""
+    config, src = _stream_case(spark, frames, "stream_restart")
+    old = spark.sparkContext.getCheckpointDir()
+    try:
+        run_incremental(spark, config, os.path.join(src, "*"))
+        spark.sparkContext.setCheckpointDir(os.path.dirname(old.rstrip("/")))     # as the next driver does
+        assert spark.sparkContext.getCheckpointDir() != old
+        frames("logs", [log(3, 1, 1, M.READ_START)]).write.parquet(os.path.join(src, "d2"))
+        run_incremental(spark, config, os.path.join(src, "*"))
+        run_incremental(spark, config, os.path.join(src, "*"))
+        assert read_table(spark, config, "silver_reading_logs").count() == 3
+        # even with another base folder
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="subsight-other-"))
+        frames("logs", [log(4, 1, 1, M.READ_START)]).write.parquet(os.path.join(src, "d3"))
+        run_incremental(spark, config, os.path.join(src, "*"))
+        assert read_table(spark, config, "silver_reading_logs").count() == 4
+    finally:
+        spark.sparkContext.setCheckpointDir(os.path.dirname(old.rstrip("/")))
+
+
+def test_stream_refuses_an_empty_checkpoint(spark, frames):
+    import pytest
+
+    config, src = _stream_case(spark, frames, "stream_empty")
+    run_incremental(spark, config, os.path.join(src, "*"))
+    with pytest.raises(ValueError, match="would be skipped"):
+        run_incremental(spark, config, os.path.join(src, "*"), checkpoint=tempfile.mkdtemp(prefix="subsight-none-"))
+    assert read_table(spark, config, "silver_reading_logs").count() == 2
+
+
+def test_stream_owns_its_table_before_the_first_file(spark, frames):
+    """A driver that stops after the first batch leaves a table that the next run takes up."""
+    from subsight.streaming import incremental
+
+    config, src = _stream_case(spark, frames, "stream_crash")
+    query = incremental.ingest_reading_logs(spark, config, os.path.join(src, "*"))
+    assert incremental.stream_owned(spark, config, "silver_reading_logs")       # already while it runs
+    query.awaitTermination()
+    frames("logs", [log(3, 1, 1, M.READ_START)]).write.parquet(os.path.join(src, "d2"))
+    run_incremental(spark, config, os.path.join(src, "*"))
+    assert read_table(spark, config, "silver_reading_logs").count() == 3
