@@ -14,55 +14,66 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from subsight import model as M
 from subsight.sources.catalog import LakeConfig
 
+_MONTH = "Calendar month, text yyyy-MM in the session time zone, sorts by time; NULL where the event time did not parse."
+_BAND = "Age band label from the member's age; the last band also holds ages that are NULL."
+_LABELS = {"plan_type": "One of " + ", ".join(M.PAID_PLANS) + "; for members also " + M.PLAN_FREE + "."}
+
 TABLE_COMMENTS: dict[str, str] = {
     "gold_monthly_engagement":
-        "Article engagement per month and category: views, completed reads, "
-        "completion rate and unique readers.",
+        "Grain: month x article category, over events of type " + " and ".join([M.READ_START, M.READ_COMPLETE])
+        + ". Built from work_member_month_activity.",
     "gold_member_segment":
-        "One row per member: plan, age band, activity counts, paywall hits, "
-        "conversions, last activity day and activity segment.",
+        "Grain: member, every member of silver_members once. Event sums are 0 for members without events.",
     "gold_paywall_conversion":
-        "Paywall hits and the conversions that follow them, per month and age band.",
+        "Grain: month x age band, over events of type " + " and ".join([M.PAYWALL_HIT, M.SUBSCRIBE])
+        + ". Members missing from silver_members are the NULL band.",
     "silver_subscriptions":
-        "Subscription history of paid and premium members: start, end, status, "
-        "churn month and tenure. Source of churn analysis.",
+        "Grain: subscription. Dates parsed from text; text that is no date is NULL.",
 }
 
+#: Per column: what a value is, from which columns it comes, and what NULL means.
 COLUMN_COMMENTS: dict[str, dict[str, str]] = {
     "gold_monthly_engagement": {
-        "ym": "Month as yyyy-MM text (e.g. 2025-07); the time axis.",
-        "category": "Article category.",
-        "article_views": "Articles opened: read_start plus read_complete events (page views).",
-        "reads_completed": "Articles read to the end (read_complete events).",
-        "unique_readers": "Distinct members who opened an article.",
-        "completion_rate": "Completion rate in percent = reads_completed / article_views * 100.",
+        "ym": _MONTH,
+        "category": "category of the log's article; NULL for articles missing from silver_articles.",
+        "article_views": "bigint >= 1: number of read events.",
+        "reads_completed": f"bigint >= 0: those of type {M.READ_COMPLETE}.",
+        "unique_readers": "bigint >= 0: different member_id among the read events, NULL ids not counted.",
+        "completion_rate": "Percent with one digit, 100 x reads_completed / article_views.",
     },
     "gold_member_segment": {
-        "plan_type": "Member plan: free, paid or premium.",
-        "age_group": "Age band of the member.",
-        "total_events": "All logged events of the member (activity level).",
-        "reads_completed": "Completed reads of the member.",
-        "paywall_hits": "Times the member hit the paywall.",
-        "conversions": "Subscribe events of the member.",
-        "last_event_date": "Day of the member's last event; basis of silent-churn checks.",
-        "activity_segment": "Activity segment from total_events: heavy, regular, light, dormant.",
+        "member_id": "Key.",
+        "plan_type": _LABELS["plan_type"],
+        "age_group": _BAND,
+        "prefecture": "As given with the member; NULL if unknown.",
+        "total_events": "bigint >= 0: events of any type.",
+        "reads_completed": f"bigint >= 0: events of type {M.READ_COMPLETE}.",
+        "paywall_hits": f"bigint >= 0: events of type {M.PAYWALL_HIT}.",
+        "conversions": f"bigint >= 0: events of type {M.SUBSCRIBE}.",
+        "last_event_date": "Greatest event day; NULL without an event whose time parses.",
+        "activity_segment": "Label by total_events: at least "
+                            + ", ".join(f"{n} {label}" for n, label in zip(M.ACTIVITY_BOUNDS, M.ACTIVITY_LABELS))
+                            + f", else {M.ACTIVITY_LABELS[-1]}.",
     },
     "gold_paywall_conversion": {
-        "ym": "Month as yyyy-MM text.",
-        "age_group": "Age band of the member.",
-        "paywall_hits": "Paywall hits (free members stopped at a premium article).",
-        "conversions": "Subscribe events (conversions to a paid plan).",
-        "conversion_rate": "Conversion rate in percent = conversions / paywall_hits * 100.",
+        "ym": _MONTH,
+        "age_group": _BAND + " NULL for members that are not known.",
+        "paywall_hits": f"bigint >= 0: events of type {M.PAYWALL_HIT}.",
+        "conversions": f"bigint >= 0: events of type {M.SUBSCRIBE}, in the month they happened.",
+        "conversion_rate": "Percent with one digit, 100 x conversions / paywall_hits; NULL when there is no hit.",
     },
     "silver_subscriptions": {
-        "plan_type": "Subscribed plan: paid or premium.",
-        "start_date": "First day of the subscription.",
-        "end_date": "Cancellation day; NULL while active.",
-        "status": "active or churned; churn means status = churned.",
-        "churn_ym": "Month of cancellation as yyyy-MM; churned rows only.",
-        "tenure_days": "Days from start to cancellation.",
+        "subscription_id": "Key.",
+        "member_id": "Subscriber; may be missing from silver_members.",
+        "plan_type": _LABELS["plan_type"],
+        "start_date": "Date from text; NULL if it did not parse.",
+        "end_date": "Date from text; NULL while the subscription runs or if it did not parse.",
+        "status": f"{M.STATUS_ACTIVE} or {M.STATUS_CHURNED}.",
+        "churn_ym": f"Month of end_date, text yyyy-MM, only where status is {M.STATUS_CHURNED}.",
+        "tenure_days": "int: days from start_date to end_date; NULL without an end.",
     },
 }
 
