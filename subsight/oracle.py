@@ -40,17 +40,22 @@ bronze_articles AS (
     FROM part
 ),
 bronze_reading_logs AS (
-    SELECT CAST('0x' || substr(md5(concat_ws('|', CAST(l.l_orderkey AS VARCHAR),
+    SELECT md5(concat_ws('|', CAST(l.l_orderkey AS VARCHAR),
                 CAST(l.l_linenumber AS VARCHAR), CAST(l.l_partkey AS VARCHAR),
-                CAST(l.l_suppkey AS VARCHAR), strftime(l.l_shipdate, '%Y-%m-%d'))), 1, 15) AS BIGINT) AS log_id,
-           o.o_custkey AS member_id,
-           l.l_partkey AS article_id,
-           CASE WHEN l.l_returnflag = 'R' AND l.l_linestatus = 'F' THEN 'paywall_hit'
+                CAST(l.l_suppkey AS VARCHAR), strftime(l.l_shipdate, '%Y-%m-%d'))) AS log_id,
+           CASE WHEN l.l_orderkey % 37 = 5 THEN -o.o_custkey
+                WHEN o.o_custkey % 11 = 3 THEN o.o_custkey + 1
+                WHEN o.o_custkey % 11 = 5 AND l.l_orderkey % 16 <> 0 THEN o.o_custkey + 1
+                WHEN o.o_custkey % 11 = 7 AND l.l_orderkey % 3 <> 0 THEN o.o_custkey + 1
+                ELSE o.o_custkey END AS member_id,
+           CASE WHEN l.l_orderkey % 53 = 7 THEN -l.l_partkey ELSE l.l_partkey END AS article_id,
+           CASE WHEN l.l_returnflag = 'R' AND l.l_linestatus = 'F' AND l.l_orderkey % 37 <> 5 THEN 'paywall_hit'
                 WHEN l.l_returnflag = 'R' AND l.l_linenumber = 1 THEN 'subscribe'
                 WHEN l.l_linestatus = 'F' THEN 'read_complete'
                 ELSE 'read_start' END AS event_type,
-           strftime(l.l_shipdate + to_minutes(CAST(l.l_linenumber * 137 + l.l_orderkey % 60 AS BIGINT)),
-                    '%Y-%m-%d %H:%M:%S') AS event_time,
+           CASE WHEN l.l_orderkey % 41 = 3 THEN ''
+                ELSE strftime(l.l_shipdate + to_minutes(CAST(l.l_linenumber * 137 + l.l_orderkey % 60 AS BIGINT)),
+                              '%Y-%m-%d %H:%M:%S') END AS event_time,
            CASE WHEN l.l_linenumber % 2 = 0 THEN 'app' ELSE 'web' END AS device,
            CAST(l.l_quantity AS INTEGER) * 10 AS reading_seconds,
            CAST((l.l_linenumber * 13 + l.l_partkey) % 101 AS INTEGER) AS scroll_depth
@@ -61,7 +66,7 @@ bronze_subscriptions AS (
            o_custkey AS member_id,
            CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'premium' ELSE 'paid' END AS plan_type,
            strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS start_date,
-           CASE WHEN o_orderstatus = 'F'
+           CASE WHEN o_orderstatus = 'F' AND o_orderkey % 101 <> 9
                 THEN strftime(CAST(o_orderdate AS DATE) + CAST(30 + o_orderkey % 571 AS INTEGER), '%Y-%m-%d')
                 ELSE '' END AS end_date,
            CASE WHEN o_orderstatus = 'F' THEN 'churned' ELSE 'active' END AS status
@@ -168,14 +173,14 @@ usage AS (
            CAST(l_quantity AS DECIMAL(18, 6)) AS usage_quantity,
            struct_pack(job_id := CAST(l_partkey % 20 AS VARCHAR),
                        warehouse_id := CAST(l_linenumber AS VARCHAR)) AS usage_metadata,
-           struct_pack(run_as := 'user' || CAST(l_suppkey AS VARCHAR) || '@example.com') AS identity_metadata
+           struct_pack(run_as := 'user' || CAST(l_suppkey % 4 AS VARCHAR) || '@example.com') AS identity_metadata
     FROM lineitem
 ),
 sku_span AS (
     SELECT sku_name, MIN(usage_date) AS lo, MAX(usage_date) AS hi,
            CAST(CAST(10 + ascii(substr(sku_name, 5, 1)) % 7 + ascii(substr(sku_name, 6, 1)) % 3
                      AS DECIMAL(18, 6)) / 100 AS DECIMAL(18, 6)) AS first_price
-    FROM usage GROUP BY sku_name
+    FROM usage WHERE sku_name <> 'SKU_RO' GROUP BY sku_name
 ),
 list_prices AS (
     SELECT sku_name, 'USD' AS currency_code, CAST(lo AS TIMESTAMP) AS price_start_time,
@@ -184,10 +189,15 @@ list_prices AS (
     FROM sku_span
     UNION ALL
     SELECT sku_name, 'USD', CAST(lo + CAST(date_diff('day', lo, hi) // 2 AS INTEGER) AS TIMESTAMP),
-           CAST(NULL AS TIMESTAMP),
+           CAST(hi - 10 AS TIMESTAMP),
            struct_pack(effective_list := struct_pack(
                "default" := CAST(first_price * CAST(1.25 AS DECIMAL(18, 6)) AS DECIMAL(18, 6))))
     FROM sku_span
+    UNION ALL
+    SELECT sku_name, 'USD', CAST(hi - 10 AS TIMESTAMP), CAST(NULL AS TIMESTAMP),
+           struct_pack(effective_list := struct_pack(
+               "default" := CAST(first_price * CAST(1.5 AS DECIMAL(18, 6)) AS DECIMAL(18, 6))))
+    FROM sku_span
 ),
 usage_30 AS (
     SELECT * FROM usage
@@ -213,6 +223,9 @@ FINAL: dict[str, str] = {
     "gold_monthly_engagement": "SELECT * FROM gold_monthly_engagement",
     "gold_member_segment": "SELECT * FROM gold_member_segment",
     "gold_paywall_conversion": "SELECT * FROM gold_paywall_conversion",
+    "preview_rows": f"""
+        SELECT member_id, article_id, event_type, log_id FROM bronze_reading_logs
+        ORDER BY member_id, log_id LIMIT {P['preview_rows']}""",
     "reads_by_member": """
         SELECT member_id, COUNT(*) AS reads_completed
         FROM bronze_reading_logs WHERE event_type = 'read_complete'
@@ -345,7 +358,7 @@ FINAL: dict[str, str] = {
 # Column lists with Spark's type names, for the profiles.
 _PROFILE_COLUMNS = {
     "silver_reading_logs": [
-        ("article_id", "bigint"), ("log_id", "bigint"), ("member_id", "bigint"),
+        ("article_id", "bigint"), ("log_id", "string"), ("member_id", "bigint"),
         ("event_type", "string"), ("event_time", "timestamp"), ("device", "string"),
         ("reading_seconds", "int"), ("scroll_depth", "int"), ("event_date", "date"),
         ("ym", "string"), ("category", "string"), ("is_premium", "int"),

@@ -11,6 +11,13 @@ row of the source (no row is filtered out):
 * ``usage``                <- lineitem
 * ``list_prices``          <- usage, two price versions per SKU
 
+The tables are regular where the model's rules are about exceptions, so the
+mapping moves some values, by their keys, and leaves every row in: logs of
+articles and members that do not exist, times that do not parse, members
+without or with few events, hits without conversions and the other way
+round, a price bound inside the last weeks, a SKU without a price
+(:data:`EXCEPTIONS`).
+
 Every derivation is a narrow projection except the two joins (lineitem x
 orders on the order key; customer x nation, a 25-row dimension) and the
 per-SKU aggregate of the price list. ``subsight.oracle`` holds the same
@@ -92,16 +99,42 @@ def bronze_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Which rows are exceptions: (divisor, remainder) of a key.
+EXCEPTIONS = {
+    "unknown_article": (53, 7),    # of the order: the log's article is not in the dimension
+    "bad_time": (41, 3),           # of the order: empty event time
+    "unknown_member": (37, 5),     # of the order: the log's member is not in the dimension, and never hits the paywall
+    "idle_member": (11, 3),        # of the customer: all its logs go to the next customer
+    "light_member": (11, 5),       # of the customer: all but about 1 of 16 do
+    "regular_member": (11, 7),     # of the customer: all but about 1 of 3 do
+    "bad_end": (101, 9),           # of the order: churned, but the end date does not parse
+}
+UNPRICED_SKU = "SKU_RO"
+USERS = 4
+
+
+def _is(name: str, key: Column) -> Column:
+    divisor, remainder = EXCEPTIONS[name]
+    return key % divisor == remainder
+
+
+def _log_member(custkey: Column, orderkey: Column) -> Column:
+    moved = (_is("idle_member", custkey)
+             | (_is("light_member", custkey) & (orderkey % 16 != 0))
+             | (_is("regular_member", custkey) & (orderkey % 3 != 0)))
+    return F.when(_is("unknown_member", orderkey), -custkey).when(moved, custkey + 1).otherwise(custkey)
+
+
 def log_id(orderkey: Column, linenumber: Column, partkey: Column, suppkey: Column, shipdate: Column) -> Column:
-    """Surrogate key of a log row: first 60 bits of the md5 of the natural
-    key. Computed per row (no global numbering, no single partition); the
+    """Surrogate key of a log row: the md5 of the natural key, all 128 bits,
+    as text. Computed per row (no global numbering, no single partition); the
     natural key is unique on the test tables while (order, line) alone is
     not."""
     natural = F.concat_ws(
         "|", orderkey.cast("string"), linenumber.cast("string"), partkey.cast("string"),
         suppkey.cast("string"), _date_text(shipdate),
     )
-    return F.conv(F.substring(F.md5(natural), 1, 15), 16, 10).cast("bigint")
+    return F.md5(natural)
 
 
 def bronze_reading_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,22 +143,23 @@ def bronze_reading_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag", "l_linestatus", "l_shipdate")
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     flag, status, line = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber")
+    order = F.col("l_orderkey")
     event_type = (
-        F.when((flag == "R") & (status == "F"), M.PAYWALL_HIT)
+        F.when((flag == "R") & (status == "F") & ~_is("unknown_member", order), M.PAYWALL_HIT)
          .when((flag == "R") & (line == 1), M.SUBSCRIBE)
          .when(status == "F", M.READ_COMPLETE)
          .otherwise(M.READ_START)
     )
     minutes = (line * 137 + F.col("l_orderkey") % 60).cast("int")
-    event_time = F.date_format(F.timestamp_add("MINUTE", minutes, F.col("l_shipdate")),
-                               "yyyy-MM-dd HH:mm:ss")
+    event_time = F.when(_is("bad_time", order), F.lit("")).otherwise(
+        F.date_format(F.timestamp_add("MINUTE", minutes, F.col("l_shipdate")), "yyyy-MM-dd HH:mm:ss"))
     return (
         li.join(orders, li["l_orderkey"] == orders["o_orderkey"], "inner")
         .select(
             log_id(F.col("l_orderkey"), line, F.col("l_partkey"), F.col("l_suppkey"),
                    F.col("l_shipdate")).alias("log_id"),
-            F.col("o_custkey").alias("member_id"),
-            F.col("l_partkey").alias("article_id"),
+            _log_member(F.col("o_custkey"), order).alias("member_id"),
+            F.when(_is("unknown_article", order), -F.col("l_partkey")).otherwise(F.col("l_partkey")).alias("article_id"),
             event_type.alias("event_type"),
             event_time.alias("event_time"),
             F.when(line % 2 == 0, "app").otherwise("web").alias("device"),
@@ -147,7 +181,7 @@ def bronze_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), M.PLAN_PREMIUM)
          .otherwise(M.PLAN_PAID).alias("plan_type"),
         _date_text(start).alias("start_date"),
-        F.when(churned, _date_text(F.date_add(start, (F.lit(30) + key % 571).cast("int"))))
+        F.when(churned & ~_is("bad_end", key), _date_text(F.date_add(start, (F.lit(30) + key % 571).cast("int"))))
          .otherwise(F.lit("")).alias("end_date"),
         F.when(churned, M.STATUS_CHURNED).otherwise(M.STATUS_ACTIVE).alias("status"),
     )
@@ -168,23 +202,26 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
             line.cast("string").alias("warehouse_id"),
         ).alias("usage_metadata"),
         F.struct(
-            F.concat(F.lit("user"), F.col("l_suppkey").cast("string"), F.lit("@example.com")).alias("run_as"),
+            F.concat(F.lit("user"), (F.col("l_suppkey") % USERS).cast("string"), F.lit("@example.com")).alias("run_as"),
         ).alias("identity_metadata"),
     )
 
 
 def list_prices(usage_df: DataFrame) -> DataFrame:
-    """Two price versions per SKU seen in the usage: the first from the
-    first usage day to the middle day (exclusive), the second from there
-    with an open end. One row per SKU leaves the aggregate, so the result
-    is as small as the SKU catalogue."""
-    per_sku = usage_df.groupBy("sku_name").agg(
+    """Three price versions per SKU seen in the usage, but for one SKU that
+    has no price: from the first usage day to the middle day (exclusive),
+    from there to ten days before the last, and from there with an open
+    end. One row per SKU leaves the aggregate, so the result is as small as
+    the SKU catalogue."""
+    per_sku = usage_df.where(F.col("sku_name") != UNPRICED_SKU).groupBy("sku_name").agg(
         F.min("usage_date").alias("lo"), F.max("usage_date").alias("hi"))
     split = F.date_add("lo", F.floor(F.datediff("hi", "lo") / 2).cast("int"))
     cents = (F.lit(10) + F.ascii(F.substring("sku_name", 5, 1)) % 7
              + F.ascii(F.substring("sku_name", 6, 1)) % 3)
     first = (cents.cast(M.MONEY) / 100).cast(M.MONEY)
     second = (first * F.lit(1.25).cast(M.MONEY)).cast(M.MONEY)
+    third = (first * F.lit(1.5).cast(M.MONEY)).cast(M.MONEY)
+    late = F.date_sub("hi", 10)
 
     def version(start: Column, end: Column, price: Column) -> Column:
         return F.struct(
@@ -196,7 +233,8 @@ def list_prices(usage_df: DataFrame) -> DataFrame:
     versions = per_sku.select(
         "sku_name",
         F.inline(F.array(version(F.col("lo"), split, first),
-                         version(split, F.lit(None).cast("date"), second))),
+                         version(split, late, second),
+                         version(late, F.lit(None).cast("date"), third))),
     )
     return versions.select(
         "sku_name",

@@ -34,3 +34,33 @@ def test_segment_one_row_per_member_and_sums(lake):
 def test_engagement_bounds(lake):
     eng = lake["gold_monthly_engagement"]
     assert eng.filter("reads_completed > article_views OR unique_readers > article_views").count() == 0
+
+
+def test_exceptional_rows_occur():
+    """The test mapping has rows for every branch of the rules; counted at sf0.01 in the checking SQL."""
+    import duckdb
+
+    from subsight.oracle import MODEL
+    from subsight.sources.testdata import TEST_TABLES
+
+    con = duckdb.connect()
+    for t in TEST_TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.01/{t}.parquet')")
+    one = lambda final: con.execute(MODEL + final).fetchall()[0][0]
+    assert one("SELECT count(*) FROM silver_reading_logs") == one("SELECT count(*) FROM lineitem")
+    for what in (
+        "SELECT count(*) FROM silver_reading_logs WHERE category IS NULL",
+        "SELECT count(*) FROM silver_reading_logs WHERE event_time IS NULL",
+        "SELECT count(*) FROM gold_paywall_conversion WHERE age_group IS NULL",
+        "SELECT count(*) FROM gold_paywall_conversion WHERE paywall_hits = 0 AND conversion_rate IS NULL",
+        "SELECT count(*) FROM gold_member_segment WHERE total_events = 0 AND last_event_date IS NULL",
+        "SELECT count(*) FROM silver_subscriptions WHERE status = 'churned' AND end_date IS NULL",
+        "SELECT count(*) FROM silver_members WHERE registration_date IS NULL",
+        "SELECT (SELECT count(*) FROM usage_30) - (SELECT count(*) FROM priced_30)",
+        "SELECT count(*) FROM usage_30 u JOIN list_prices p ON u.sku_name = p.sku_name "
+        "AND u.usage_end_time >= p.price_start_time AND u.usage_end_time < p.price_end_time",
+    ):
+        assert one(what) > 0, what
+    assert one("SELECT count(DISTINCT activity_segment) FROM gold_member_segment") == 4
+    assert one("SELECT count(*) FROM (SELECT DISTINCT usage_date, usage_metadata FROM usage_30 "
+               "WHERE identity_metadata.run_as = 'user1@example.com')") > 50
