@@ -5,14 +5,16 @@ versions per SKU valid on ``[price_start_time, price_end_time)``, the open
 version having a NULL end. Quantities and prices are decimals, summed
 exactly and turned into doubles only after rounding.
 
-Date windows are relative to ``as_of``: a date, ``"today"``
-(``current_date()``), or by default the greatest usage day of the table,
-so that results on a fixed table do not move from one day to the next.
-The default is resolved first, by one aggregate job that returns a single
-date; the window is then a literal predicate, which Spark pushes into the
-parquet scan (row groups and partitions outside the window are skipped). A
-scalar subquery in its place would stay above the scan and read the whole
-history.
+Date windows end at ``as_of``: a date, ``"today"`` (``current_date()``), or
+by default the greatest usage day of the table, so that results on a fixed
+table do not move from one day to the next. The default is a scalar
+subquery: nothing runs before the result is asked for. A caller with
+several questions resolves it once (:func:`latest_usage_day`) and passes
+the date, which is then a literal in the scan's pushed filters.
+
+Stored usage is partitioned by month (``usage_ym``). Where that column is
+there, the window also bounds it, so files of other months are not opened,
+and the greatest day is looked for in the last month only.
 """
 
 from __future__ import annotations
@@ -22,22 +24,39 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from subsight.functions import month_of
+from subsight.model import USAGE_MONTH
+
+
+def _latest(usage: DataFrame) -> DataFrame:
+    if USAGE_MONTH in usage.columns:
+        usage = usage.where(F.col(USAGE_MONTH) == usage.select(F.max(USAGE_MONTH)).scalar())
+    return usage.select(F.max("usage_date").alias("usage_date"))
+
+
+def latest_usage_day(usage: DataFrame) -> _dt.date | None:
+    """The greatest usage day, resolved now: one aggregate, one value."""
+    return _latest(usage).first()[0]
+
 
 def _as_of(usage: DataFrame, as_of: str | _dt.date | None) -> Column:
     if as_of is None:
-        latest = usage.agg(F.max("usage_date")).first()[0]
-        return F.lit(latest).cast("date")
+        return _latest(usage).scalar()
     if as_of == "today":
         return F.current_date()
     return F.lit(str(as_of)).cast("date")
 
 
 def recent(usage: DataFrame, days: int | None = 30, as_of: str | _dt.date | None = None) -> DataFrame:
-    """Usage of the last ``days`` days up to ``as_of`` (all rows when
-    ``days`` is None)."""
+    """Usage from ``days`` days before ``as_of`` up to ``as_of`` (all rows
+    when ``days`` is None)."""
     if days is None:
         return usage
-    return usage.filter(F.col("usage_date") >= F.date_sub(_as_of(usage, as_of), days))
+    last = _as_of(usage, as_of)
+    first = F.date_sub(last, days)
+    if USAGE_MONTH in usage.columns:
+        usage = usage.where(F.col(USAGE_MONTH).between(month_of(first), month_of(last)))
+    return usage.where(F.col("usage_date").between(first, last))
 
 
 def rounded_sum(col: Column | str, digits: int = 2) -> Column:

@@ -6,19 +6,22 @@ Two aggregates, each one pass over the input:
 
 * a global aggregate (no grouping key) of row count, non-NULL count, min
   and max of every column: one row out, unpivoted into one row per column;
-* distinct counts. ``"exact"`` unpivots every row into (column, value)
+* distinct counts. ``"exact"`` unpivots every row into (column, key)
   pairs, de-duplicates them (map-side first, so a value held by a third of
   the rows collapses before the shuffle) and counts pairs per column: one
-  hash shuffle of the distinct pairs, instead of Catalyst's per-column
+  hash shuffle of the distinct keys, 16 bytes each at most whatever the
+  values' length, instead of Catalyst's per-column
   expansion of ``count(DISTINCT a), count(DISTINCT b), ...`` into a sort
   aggregate. ``"approx"`` uses HyperLogLog++ (``approx_count_distinct``)
   inside the first aggregate: bounded memory, no shuffle of values; the
   choice for very wide or very large tables.
 
-Integral, date and time values are compared as 64-bit numbers (no text
-formatting in the hot path); other atomic values as their text form, which
-is one-to-one (floating -0.0 is folded into 0.0 first, as Spark's grouping
-does).
+Integral, date and time values have a 64-bit number as their key (no text
+formatting in the hot path; times without a zone are not moved through the
+session's zone, where two of them can fall together); other atomic values
+the full 128-bit MD5 of their text form, which is one-to-one (floating -0.0
+is folded into 0.0 first, as Spark's grouping does). Nested columns have no
+distinct count, minimum or maximum.
 """
 
 from __future__ import annotations
@@ -49,20 +52,28 @@ def _atomic(field) -> bool:
     return not isinstance(field.dataType, (StructType, ArrayType, MapType))
 
 
+def _wall_micros(c: Column) -> Column:
+    """Microseconds of a time without a zone, from its own fields."""
+    seconds = F.unix_date(c.cast("date")).cast("bigint") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
+    return seconds * 1000000 + (F.extract(F.lit("SECONDS"), c) * 1000000).cast("bigint")
+
+
 def _as_key(field) -> tuple[Column, Column]:
-    """(number, text) key of a value; exactly one is set for non-NULLs."""
+    """(number, digest) key of a value; exactly one is set for non-NULLs."""
     c = F.col(f"`{field.name}`")
     t = field.dataType
-    none_num, none_txt = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    none_num, none_bin = F.lit(None).cast("bigint"), F.lit(None).cast("binary")
     if isinstance(t, (LongType, IntegerType, ShortType, ByteType, BooleanType)):
-        return c.cast("bigint"), none_txt
+        return c.cast("bigint"), none_bin
     if isinstance(t, DateType):
-        return F.unix_date(c).cast("bigint"), none_txt
-    if isinstance(t, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")), none_txt
+        return F.unix_date(c).cast("bigint"), none_bin
+    if isinstance(t, TimestampType):
+        return F.unix_micros(c), none_bin
+    if isinstance(t, TimestampNTZType):
+        return _wall_micros(c), none_bin
     if isinstance(t, (DoubleType, FloatType)):
-        return none_num, (c + F.lit(0.0)).cast("string")
-    return none_num, c.cast("string")
+        c = c + F.lit(0.0)
+    return none_num, F.unhex(F.md5(c.cast("string")))
 
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -116,22 +127,22 @@ def table_profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.05,
     ])
     stats = df.agg(*aggs).select("rows", F.inline(per_column))
 
-    if distinct == "exact":
+    if distinct == "exact" and any(map(_atomic, fields)):
         pairs = F.array(*[
-            F.struct(F.lit(i + 1).alias("position"), num.alias("num"), txt.alias("txt"))
+            F.struct(F.lit(i + 1).alias("position"), num.alias("num"), digest.alias("digest"))
             for i, f in enumerate(fields) if _atomic(f)
-            for num, txt in [_as_key(f)]
+            for num, digest in [_as_key(f)]
         ])
         counts = (
             df.select(F.inline(pairs))
-            .filter(F.col("num").isNotNull() | F.col("txt").isNotNull())
+            .filter(F.col("num").isNotNull() | F.col("digest").isNotNull())
             .distinct()
             .groupBy("position").agg(F.count(F.lit(1)).alias("exact_distinct"))
         )
+        nested = [i + 1 for i, f in enumerate(fields) if not _atomic(f)]
         stats = (stats.join(counts, on="position", how="left")
                  .withColumn("distinct_count",
-                             F.when(F.col("non_null") == 0, F.lit(0).cast("bigint"))
-                              .otherwise(F.col("exact_distinct"))))
+                             F.when(~F.col("position").isin(nested), F.coalesce("exact_distinct", F.lit(0)))))
 
     return stats.select(
         "column_name", "position", "data_type",

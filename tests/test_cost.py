@@ -44,8 +44,10 @@ def test_windows_relative_to_latest_day(spark, frames):
     assert [r.usage_date for r in daily][0] == dt.date(2025, 1, 1)
     assert len(daily) == 31
     assert len(cost.daily_usage(usage, days=6).collect()) == 7
-    # lower bound only, as in the source query: days 4..31 remain
-    assert len(cost.daily_usage(usage, days=6, as_of="2025-01-10").collect()) == 28
+    # both bounds: days 4..10
+    past = cost.daily_usage(usage, days=6, as_of="2025-01-10").collect()
+    assert [r.usage_date.day for r in past] == list(range(4, 11))
+    assert cost.latest_usage_day(usage) == dt.date(2025, 1, 31)
     assert cost.daily_usage(usage, days=0).collect()[0].dbus == 1.01  # decimal half-up
 
 
@@ -69,3 +71,18 @@ def test_cost_by_job(spark, frames):
     prices = frames("prices", [_price("A", T(2024, 1, 1), None, "0.5")])
     out = [(r.job_id, r.estimated_cost) for r in cost.estimated_cost_by_job(usage, prices, days=None).collect()]
     assert out == [("x", 1.0), ("y", 0.5)]
+
+
+def test_no_job_before_the_result_is_asked_for(spark, frames):
+    usage = frames("usage", [_usage(dt.date(2025, 1, 1), T(2025, 1, 1), "A", "2")])
+    prices = frames("prices", [_price("A", T(2024, 1, 1), None, "0.5")])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "no job expected")
+    try:
+        for build in (cost.daily_usage, cost.usage_by_sku, cost.top_sku_recent, cost.my_usage_by_job):
+            build(usage)
+        cost.estimated_cost_by_sku(usage, prices)
+        cost.estimated_cost_by_job(usage, prices)
+        assert list(tracker.getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

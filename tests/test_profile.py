@@ -28,3 +28,25 @@ def test_profile_quartiles(spark):
     assert (out["s"].p25, out["s"].median, out["s"].p75) == (None, None, None)
     assert out["n"].median is None
     assert "median" not in table_profile(df).columns   # default output unchanged
+
+
+def test_profile_of_times_without_a_zone(spark):
+    """Two wall-clock times that one zone maps to the same instant are two values."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        df = spark.sql("SELECT * FROM VALUES (TIMESTAMP_NTZ'2025-03-30 02:30:00'), (TIMESTAMP_NTZ'2025-03-30 03:30:00'), "
+                       "(TIMESTAMP_NTZ'2025-03-30 03:30:00.000001'), (NULL) AS t(at)")
+        assert table_profile(df).collect()[0].distinct_count == 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_profile_of_nested_columns(spark):
+    df = spark.createDataFrame([([1], {"a": 1}), (None, {"a": 2})], "l array<int>, m map<string,int>")
+    out = {r.column_name: r for r in table_profile(df).collect()}
+    assert (out["l"].null_count, out["l"].distinct_count, out["l"].min_value) == (1, None, None)
+    assert (out["m"].null_count, out["m"].distinct_count) == (0, None)
+    mixed = spark.createDataFrame([([1], 5), (None, 5)], "l array<int>, x int")
+    out = {r.column_name: r.distinct_count for r in table_profile(mixed).collect()}
+    assert out == {"l": None, "x": 1}
