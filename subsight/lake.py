@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from subsight.model import ACTIVITY_TABLE
 from subsight.operators import gold, silver
 
 Loader = Callable[[], DataFrame]
@@ -24,11 +25,10 @@ DERIVED: dict[str, Callable[["Lake"], DataFrame]] = {
     "silver_reading_logs": lambda lk: silver.silver_reading_logs(
         lk["bronze_reading_logs"], lk["silver_articles"]),
     "silver_subscriptions": lambda lk: silver.silver_subscriptions(lk["bronze_subscriptions"]),
-    "gold_monthly_engagement": lambda lk: gold.monthly_engagement(lk["silver_reading_logs"]),
-    "gold_member_segment": lambda lk: gold.member_segment(
-        lk["silver_members"], lk["silver_reading_logs"]),
-    "gold_paywall_conversion": lambda lk: gold.paywall_conversion(
-        lk["silver_reading_logs"], lk["silver_members"]),
+    ACTIVITY_TABLE: lambda lk: gold.member_month_activity(lk["silver_reading_logs"]),
+    "gold_monthly_engagement": lambda lk: gold.monthly_engagement(lk[ACTIVITY_TABLE]),
+    "gold_member_segment": lambda lk: gold.member_segment(lk["silver_members"], lk[ACTIVITY_TABLE]),
+    "gold_paywall_conversion": lambda lk: gold.paywall_conversion(lk[ACTIVITY_TABLE], lk["silver_members"]),
 }
 
 
@@ -66,7 +66,7 @@ class Lake:
         from subsight.model import BILLING_TABLES, BRONZE_TABLES, GOLD_TABLES, SILVER_TABLES
         from subsight.sources.catalog import read_table, table_exists
 
-        names = [f"bronze_{t}" for t in BRONZE_TABLES] + SILVER_TABLES + GOLD_TABLES + BILLING_TABLES
+        names = [*(f"bronze_{t}" for t in BRONZE_TABLES), *SILVER_TABLES, ACTIVITY_TABLE, *GOLD_TABLES, *BILLING_TABLES]
         loaders: dict[str, Loader] = {}
         for name in names:
             if table_exists(spark, config, name):
@@ -74,6 +74,16 @@ class Lake:
         loaders.update(extra or {})
         return cls(spark, loaders)
 
+    @classmethod
+    def from_files(cls, spark: SparkSession, paths: dict[str, str], fmt: str = "parquet", **options) -> "Lake":
+        """Raw inputs read from files: ``paths`` maps members, articles,
+        reading_logs and subscriptions to a path or glob each, read with the
+        declared schemas. Options are those of the file format."""
+        from subsight.sources.bronze import read_raw
+
+        return cls(spark, {f"bronze_{name}": (lambda n=name, p=path: read_raw(spark, n, p, fmt, **options))
+                           for name, path in paths.items()})
+
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: dict[str, DataFrame]) -> "Lake":
         """Inputs given as DataFrames (unit tests)."""

@@ -60,9 +60,14 @@ BRONZE_TABLES = ["members", "articles", "reading_logs", "subscriptions"]
 SILVER_TABLES = ["silver_members", "silver_articles", "silver_reading_logs", "silver_subscriptions"]
 GOLD_TABLES = ["gold_monthly_engagement", "gold_member_segment", "gold_paywall_conversion"]
 BILLING_TABLES = ["usage", "list_prices"]
+# One row per member, month and category: what all three marts derive from.
+ACTIVITY_TABLE = "work_member_month_activity"
+# Month of the usage day, the partition column of stored usage.
+USAGE_MONTH = "usage_ym"
 
 # ---------------------------------------------------------------------------
-# Bronze schemas (column order is part of the contract).
+# Bronze schemas: fixed values (names, types and column order are part of
+# the contract). Ids of logs from another source may be text.
 # ---------------------------------------------------------------------------
 
 MEMBERS_SCHEMA = StructType([

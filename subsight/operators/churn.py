@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subsight import model as M
@@ -59,33 +59,41 @@ def churn_period_shift(subs: DataFrame, members: DataFrame, split_ym: str) -> Da
     )
 
 
-def latest_log_day(logs: DataFrame) -> Column:
-    """The data's "today": the greatest event day, as a scalar subquery
-    (run once, a partial + final max; no join, no collect)."""
-    return logs.select(F.max("event_date")).scalar()
+def _last_days(activity: DataFrame) -> DataFrame:
+    """The last event day per member id, members that are not known and the
+    NULL id included. The key is never NULL, so no join adds a filter to it
+    and every use of this aggregate plans the same exchange."""
+    return activity.groupBy(F.coalesce("member_id", F.lit(0)).alias("of_id"), F.isnull("member_id").alias("of_none")) \
+        .agg(F.max("last_event_date").alias("last_event_date"))
 
 
-def silent_members(segment: DataFrame, logs: DataFrame, subs: DataFrame, *,
+def silent_members(members: DataFrame, activity: DataFrame, subs: DataFrame, *,
                    days: int = M.SILENT_DAYS, inclusive: bool = True,
                    exclude_churned: bool = True, include_never_active: bool = False) -> DataFrame:
     """Q18/Q19: paid or premium members whose last event lies ``days`` (or
     more, if ``inclusive``) before the latest log day.
 
+    The latest day is that of all logs, also of members that are not known.
     ``exclude_churned`` drops members with any churned subscription (the
     glossary's definition). Members without any event have no last day and
     drop out unless ``include_never_active``.
 
-    Scale: the churned set is reduced to distinct member ids before the
-    anti join (a hot member collapses map-side, and the distinct's hash
-    partitioning on member_id is reused by the join)."""
-    idle = F.datediff(latest_log_day(logs), F.col("last_event_date"))
+    Scale: the latest day is the maximum of the per-member maxima, a scalar
+    subquery over the aggregate that the join uses as well: the exchange is
+    reused, the activity is read once. The churned set is reduced to
+    distinct member ids before the anti join (a hot member collapses
+    map-side, and its partitioning is reused by the join)."""
+    last = _last_days(activity)
+    latest = last.select(F.max("last_event_date")).scalar()
+    who = members.where(F.col("plan_type").isin(M.PAID_PLANS)).select("member_id", "plan_type", "age_group")
+    seen = who.join(last, (who.member_id == last.of_id) & (F.isnull(who.member_id) == last.of_none), "left")
+    idle = F.datediff(latest, F.col("last_event_date"))
     over = idle >= days if inclusive else idle > days
     if include_never_active:
         over = over | F.col("last_event_date").isNull()
-    out = segment.filter(F.col("plan_type").isin(M.PAID_PLANS) & over)
+    out = seen.where(over)
     if exclude_churned:
-        gone = churned(subs).select("member_id").distinct()
-        out = out.join(gone, on="member_id", how="left_anti")
+        out = out.join(churned(subs).select("member_id").distinct(), "member_id", "left_anti")
     return out.select("member_id", "plan_type", "age_group", "last_event_date",
                       idle.alias("days_since_last_event"))
 

@@ -11,9 +11,13 @@ from subsight import model as M
 from subsight.functions import count_where, month_of
 
 
-def preview(df: DataFrame, n: int = 10, columns: Sequence[str] | None = None) -> DataFrame:
-    """Q8: a few rows (the limit is the feature; stops the scan early)."""
-    return (df.select(*columns) if columns else df).limit(n)
+def preview(df: DataFrame, n: int = 10, columns: Sequence[str] | None = None,
+            order: Sequence[str] | None = None) -> DataFrame:
+    """Q8: a few rows (the limit is the feature). Without ``order`` any rows,
+    and the scan stops early; with it the first ones by those columns, kept
+    as n rows per task."""
+    rows = df.orderBy(*order) if order else df
+    return (rows.select(*columns) if columns else rows).limit(n)
 
 
 def _reads_per_member(logs: DataFrame) -> DataFrame:

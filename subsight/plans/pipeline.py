@@ -1,26 +1,32 @@
 """The batch pipeline (P1): bronze -> silver -> gold as managed tables.
 
-``run_silver`` writes the four silver tables, ``run_gold`` the three marts
-from the *stored* silver tables; ``run_pipeline`` runs both in order and
-stops before gold when silver raises. Each stored table is the hand-over
-between steps, which also cuts the lineage: a lost executor in the gold
-step recomputes from silver files, never from raw input.
-
-Writes are full refreshes (overwrite, schema replaced), as in the source
-notebooks. Row counts are observed during the write, not recomputed.
+``run_silver`` writes the four silver tables, ``run_gold`` the activity
+table and the three marts from the *stored* silver tables; ``run_pipeline``
+runs both in order and stops before gold when silver raises. Each stored
+table is the hand-over between steps, which also cuts the lineage: a lost
+executor in the gold step recomputes from silver files, never from raw
+input.
+
+Full refreshes replace a table only once its new version is written. Logs,
+activity and usage are partitioned by month. Row counts are observed during
+the write, not recomputed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from subsight.functions import month_of
 from subsight.lake import Lake
+from subsight.model import ACTIVITY_TABLE, GOLD_TABLES, USAGE_MONTH
 from subsight.operators import gold, silver
 from subsight.plans.metadata import apply_comments
-from subsight.plans.session import checkpoint_dir
-from subsight.sources.bronze import register_bronze, write_table
-from subsight.sources.catalog import LakeConfig, read_table, use_schema
+from subsight.sources.bronze import register_bronze, replace_partitions, write_table
+from subsight.sources.catalog import LakeConfig, read_table, table_exists, use_schema
+
+ACTIVITY = ACTIVITY_TABLE
+MARTS = GOLD_TABLES
 
 
 def ingest_bronze(spark: SparkSession, config: LakeConfig, inputs: Lake,
@@ -35,12 +41,14 @@ def ingest_bronze(spark: SparkSession, config: LakeConfig, inputs: Lake,
 
 def ingest_billing(spark: SparkSession, config: LakeConfig, inputs: Lake,
                    max_records_per_file: int | None = None) -> dict[str, int]:
-    """Store the billing inputs (``usage``, ``list_prices``) of ``inputs``;
-    usage clustered by day, so the cost windows skip older files."""
+    """Store the billing inputs of ``inputs``: ``usage``, partitioned by the
+    month of its day and clustered by day, and ``list_prices``. A window of
+    days opens the files of its months only and skips pages within them."""
     use_schema(spark, config)
+    usage = inputs["usage"].withColumn(USAGE_MONTH, month_of("usage_date"))
     return {
-        "usage": write_table(inputs["usage"], config, "usage", max_records_per_file,
-                             cluster_by=["usage_date"]),
+        "usage": write_table(usage, config, "usage", max_records_per_file,
+                             cluster_by=["usage_date"], partition_by=[USAGE_MONTH]),
         "list_prices": write_table(inputs["list_prices"], config, "list_prices"),
     }
 
@@ -53,6 +61,8 @@ def run_silver(spark: SparkSession, config: LakeConfig, inputs: Lake | None = No
     reading logs are maintained incrementally by the stream of
     :mod:`subsight.streaming.incremental` instead of a full refresh; a
     table owned by that stream is never overwritten by the full refresh.
+    The reported count of such a table is the sum of its files' row counts
+    (file footers are read, no rows).
     """
     from subsight.streaming.incremental import run_incremental, stream_owned
 
@@ -75,83 +85,89 @@ def run_silver(spark: SparkSession, config: LakeConfig, inputs: Lake | None = No
         articles = read_table(spark, config, "silver_articles")
         counts["silver_reading_logs"] = write_table(
             silver.silver_reading_logs(src["bronze_reading_logs"], articles), config,
-            "silver_reading_logs", cluster_by=["ym"])
+            "silver_reading_logs", partition_by=["ym"])
     counts["silver_subscriptions"] = write_table(
         silver.silver_subscriptions(src["bronze_subscriptions"]), config, "silver_subscriptions")
     apply_comments(spark, config, ["silver_subscriptions"])
     return counts
 
 
-ACTIVITY = "work_member_month_activity"
-MARTS = ["gold_monthly_engagement", "gold_member_segment", "gold_paywall_conversion"]
-
-
 def _write_marts(spark: SparkSession, config: LakeConfig) -> dict[str, int]:
-    """The three marts from the stored activity table and the current
-    members (one read of the activity table per mart, never the logs)."""
+    """The three marts from the stored activity table and members."""
     activity = read_table(spark, config, ACTIVITY)
     members = read_table(spark, config, "silver_members")
-    counts = {
-        "gold_monthly_engagement": write_table(
-            gold.monthly_engagement_from_activity(activity), config, "gold_monthly_engagement"),
-        "gold_member_segment": write_table(
-            gold.member_segment_from_activity(members, activity), config, "gold_member_segment"),
-        "gold_paywall_conversion": write_table(
-            gold.paywall_conversion_from_activity(activity, members), config, "gold_paywall_conversion"),
+    marts = {
+        "gold_monthly_engagement": gold.monthly_engagement(activity),
+        "gold_member_segment": gold.member_segment(members, activity),
+        "gold_paywall_conversion": gold.paywall_conversion(activity, members),
     }
+    counts = {name: write_table(mart, config, name) for name, mart in marts.items()}
     apply_comments(spark, config, MARTS)
     return counts
 
 
 def run_gold(spark: SparkSession, config: LakeConfig) -> dict[str, int]:
-    """Silver -> gold, from the stored silver tables.
-
-    The logs are scanned once: the per (member, month, category) activity
-    aggregate that all three marts derive from is stored as the work table
-    ``work_member_month_activity`` (clustered by month; the written table
-    cuts the lineage), and the marts are computed from it. The table is
-    not partitioned by month: each task of the aggregate holds every month,
-    so a partitioned write would create tasks x months small files.
-    """
+    """Silver -> gold, from the stored silver tables: the logs are read once,
+    into the activity table (partitioned by month), the marts from it."""
     use_schema(spark, config)
     logs = read_table(spark, config, "silver_reading_logs")
     counts = {ACTIVITY: write_table(gold.member_month_activity(logs), config, ACTIVITY,
-                                    cluster_by=["ym"])}
+                                    partition_by=["ym"])}
     counts.update(_write_marts(spark, config))
     return counts
 
 
-def run_pipeline(spark: SparkSession, config: LakeConfig, inputs: Lake | None = None) -> dict[str, int]:
-    """silver, then gold; gold does not start when silver raises."""
-    counts = run_silver(spark, config, inputs)
+def run_pipeline(spark: SparkSession, config: LakeConfig, inputs: Lake | None = None,
+                 log_files: str | None = None) -> dict[str, int]:
+    """silver, then gold; gold does not start when silver raises.
+
+    With ``log_files``, logs are appended by the stream, and where the
+    activity table exists only the months whose logs have grown are
+    recomputed (:func:`grown_months`).
+    """
+    counts = run_silver(spark, config, inputs, log_files)
+    if log_files is not None and table_exists(spark, config, ACTIVITY):
+        counts.update(refresh_months(spark, config, grown_months(spark, config)))
+        return counts
     counts.update(run_gold(spark, config))
     return counts
 
 
+def grown_months(spark: SparkSession, config: LakeConfig) -> list[str]:
+    """Months of which the logs hold another number of events than the
+    activity table.
+
+    Found from the stored tables themselves, so a run that stopped between
+    silver and gold is made up for by the next. Logs are counted from file
+    footers (the month is their partition); of the activity one column is
+    read. The result has at most one text per month.
+    """
+    logs = read_table(spark, config, "silver_reading_logs").groupBy("ym").agg(F.count(F.lit(1)).alias("n"))
+    done = read_table(spark, config, ACTIVITY).groupBy("ym").agg(F.sum("events").alias("n"))
+    both = logs.alias("l").join(done.alias("d"), "ym", "left").where("NOT l.n <=> d.n AND ym IS NOT NULL")
+    return sorted(r["ym"] for r in both.select("ym").collect())
+
+
+def _month_logs(logs: DataFrame, months: list[str]) -> DataFrame:
+    """Logs of ``months`` and those without a month."""
+    return logs.where(F.col("ym").isin(months) | F.col("ym").isNull())
+
+
 def refresh_months(spark: SparkSession, config: LakeConfig, months: list[str]) -> dict[str, int]:
     """Bring the marts up to date after new logs arrived in ``months``.
 
-    Only the silver logs of those months are read (``ym IN (...)`` reaches
-    the scan of the month-clustered logs). Their activity rows replace the
-    stored rows of the same months in the activity table (a replacement,
-    not an addition: running it twice gives the same result); the merged
-    table is checkpointed to the cluster's checkpoint folder (lineage cut,
-    so the table it was read from can be overwritten) and written back,
-    and the three marts are rebuilt from it with the current members.
-    Equal to ``run_gold`` over all logs (checked by the tests); a daily run
-    reads the new months of logs plus the activity table, never the
-    history of logs.
+    The activity of those months, and always that of the logs whose time
+    does not parse (they have no month, and any file may bring some), is
+    recomputed from their partitions of the silver logs and replaces their
+    partitions of the activity table; no other partition of either is read
+    or written. A replacement, not an addition: running it twice gives the
+    same result, and it equals ``run_gold`` over all logs (checked by the
+    tests). The marts are then rebuilt from the whole activity table, which
+    is smaller than the logs only as far as members read several articles
+    per month and category.
     """
-    if not months:
-        return {}
     use_schema(spark, config)
-    checkpoint_dir(spark)
-    months = list(months)
-    logs = read_table(spark, config, "silver_reading_logs").filter(F.col("ym").isin(months))
-    stored = read_table(spark, config, ACTIVITY)
-    kept = stored.filter(~F.col("ym").isin(months) | F.col("ym").isNull())
-    fresh = gold.member_month_activity(logs).select(*stored.columns)
-    merged = kept.unionByName(fresh).checkpoint(eager=True)
-    counts = {ACTIVITY: write_table(merged, config, ACTIVITY, cluster_by=["ym"])}
+    logs = _month_logs(read_table(spark, config, "silver_reading_logs"), list(months))
+    counts = {ACTIVITY: replace_partitions(gold.member_month_activity(logs), config, ACTIVITY, ["ym"])}
     counts.update(_write_marts(spark, config))
     return counts

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from subsight.lake import Lake
+from subsight.model import ACTIVITY_TABLE
 from subsight.operators import churn, conversion, cost, explore, profile
 
 # Parameters of the registered queries on the driver's test tables (which
@@ -32,17 +33,14 @@ TEST_PARAMS = {
 PROFILED_TABLES = ["documents", "conversations", "pages", "benchmark", "labels", "region"]
 
 
-def _silent(lk: Lake, strict: bool) -> DataFrame:
-    if strict:  # the steps of the hint: more than 90 days, churn not tested
-        return churn.silent_members(lk["gold_member_segment"], lk["silver_reading_logs"],
-                                    lk["silver_subscriptions"], days=TEST_PARAMS["silent_days"],
-                                    inclusive=False, exclude_churned=False)
-    # the glossary: 90 days or more, no churned subscription
-    return churn.silent_members(lk["gold_member_segment"], lk["silver_reading_logs"],
-                                lk["silver_subscriptions"], days=TEST_PARAMS["silent_days"],
-                                inclusive=True, exclude_churned=True)
+def _silent(lk: Lake, **rule) -> DataFrame:
+    return churn.silent_members(lk["silver_members"], lk[ACTIVITY_TABLE], lk["silver_subscriptions"],
+                                days=TEST_PARAMS["silent_days"], **rule)
 
 
+# The hint's steps: more than 90 days, churn not tested. The default rule is the glossary's.
+STRICT = {"inclusive": False, "exclude_churned": False}
+
 P = TEST_PARAMS
 
 QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
@@ -56,7 +54,9 @@ QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
     "gold_member_segment": lambda lk: lk["gold_member_segment"],
     "gold_paywall_conversion": lambda lk: lk["gold_paywall_conversion"],
     # exploration (Q8-Q14)
-    "preview_rows": lambda lk: explore.preview(lk["bronze_reading_logs"], P["preview_rows"], ["member_id"]),
+    "preview_rows": lambda lk: explore.preview(
+        lk["bronze_reading_logs"], P["preview_rows"], ["member_id", "article_id", "event_type", "log_id"],
+        order=["member_id", "log_id"]),
     "reads_by_member": lambda lk: explore.reads_by_member(lk["bronze_reading_logs"]),
     "reads_by_member_named": lambda lk: explore.reads_by_member_named(
         lk["bronze_reading_logs"], lk["bronze_members"]),
@@ -70,10 +70,10 @@ QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
     "churn_by_age_month": lambda lk: churn.churn_by_age_month(
         lk["silver_subscriptions"], lk["silver_members"]),
     "churn_by_age": lambda lk: churn.churn_by_age(lk["silver_subscriptions"], lk["silver_members"]),
-    "silent_members_strict": lambda lk: _silent(lk, strict=True),
-    "silent_members": lambda lk: _silent(lk, strict=False),
-    "silent_member_count": lambda lk: churn.silent_member_count(_silent(lk, strict=False)),
-    "silent_by_age_plan": lambda lk: churn.silent_by_age_plan(_silent(lk, strict=False)),
+    "silent_members_strict": lambda lk: _silent(lk, **STRICT),
+    "silent_members": lambda lk: _silent(lk),
+    "silent_member_count": lambda lk: churn.silent_member_count(_silent(lk)),
+    "silent_by_age_plan": lambda lk: churn.silent_by_age_plan(_silent(lk)),
     # conversion and completion shifts (Q22-Q24)
     "conversion_by_age": lambda lk: conversion.conversion_by_age(lk["gold_paywall_conversion"]),
     "paywall_improvement_target": lambda lk: conversion.paywall_improvement_target(

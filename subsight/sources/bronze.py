@@ -20,28 +20,71 @@ def read_raw(spark: SparkSession, name: str, path: str, fmt: str = "parquet", **
     return df.select(*schema.fieldNames())
 
 
+#: Formats without transactions: a new version is written beside the table and then takes its name.
+FILE_FORMATS = {"parquet", "orc", "json", "csv", "avro"}
+
+
 def write_table(df: DataFrame, config: LakeConfig, table: str,
                 max_records_per_file: int | None = None,
-                cluster_by: list[str] | None = None) -> int:
+                cluster_by: list[str] | None = None,
+                partition_by: list[str] | None = None) -> int:
     """Full-refresh write of a managed table; returns the row count.
 
+    The new version is written in full as ``<table>__next`` and takes the
+    table's name only then, so a write that fails or is killed leaves the
+    old version readable, and ``df`` may read the table it replaces.
+
     The count is an observed metric of the write job itself, so the plan is
     not run a second time to report it. ``max_records_per_file`` splits the
-    output of a large task into several files (no shuffle), so later scans
-    of the table get several tasks. ``cluster_by`` sorts each task's rows
-    before writing (``sortWithinPartitions``: no shuffle), so every file and
-    row group covers a narrow range of those columns and a filter on them
-    skips the others through the parquet min/max statistics.
+    output of a large task into several files (no shuffle).
+    ``partition_by`` stores a folder per value, so filters on it leave out
+    whole files; a rebalancing shuffle brings the rows of a value together
+    first (adaptive execution splits large values over several tasks and
+    merges small ones), so the number of files follows the data, not tasks
+    times values. ``cluster_by`` sorts each task's rows, so filters on those
+    columns skip row groups and pages within the files.
     """
     obs = Observation(f"rows_{table}")
-    if cluster_by:
-        df = df.sortWithinPartitions(*cluster_by)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    order = [*(partition_by or []), *(cluster_by or [])]
+    if order:
+        df = df.sortWithinPartitions(*order)
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = (observed.write.format(config.fmt).mode("overwrite")
               .option("overwriteSchema", "true"))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
-    writer.saveAsTable(config.fqn(table))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    spark = df.sparkSession
+    if config.fmt in FILE_FORMATS:
+        writer.saveAsTable(config.fqn(f"{table}__next"))
+        spark.sql(f"DROP TABLE IF EXISTS {config.fqn(table)}")
+        spark.sql(f"ALTER TABLE {config.fqn(f'{table}__next')} RENAME TO {config.schema}.{table}")
+        if partition_by:  # catalogs that keep partition folders by path learn the new ones
+            spark.sql(f"MSCK REPAIR TABLE {config.fqn(table)} SYNC PARTITIONS")
+    else:
+        writer.saveAsTable(config.fqn(table))
+    return int(obs.get["rows"])
+
+
+def replace_partitions(df: DataFrame, config: LakeConfig, table: str, partition_by: list[str]) -> int:
+    """Write ``df`` over the partitions of ``table`` that it has rows for; the
+    others are not touched or read. Returns the row count. Files move into
+    place when the job commits, so a failed write changes nothing."""
+    spark = df.sparkSession
+    columns = spark.table(config.fqn(table)).columns
+    obs = Observation(f"rows_{table}")
+    rows = (df.select(*columns).hint("rebalance", *partition_by).sortWithinPartitions(*partition_by)
+            .observe(obs, F.count(F.lit(1)).alias("rows")))
+    mode = "spark.sql.sources.partitionOverwriteMode"  # insertInto takes it from the session only
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        rows.write.mode("overwrite").insertInto(config.fqn(table))
+    finally:
+        spark.conf.set(mode, before)
     return int(obs.get["rows"])
 
 

@@ -11,7 +11,7 @@ def _setup(frames, members, logs, subs):
     m = silver.silver_members(frames("members", members))
     lg = silver.silver_reading_logs(frames("logs", logs), arts)
     s = silver.silver_subscriptions(frames("subs", subs))
-    return gold.member_segment(m, lg), lg, s, m
+    return m, gold.member_month_activity(lg), s
 
 
 def _day(d):
@@ -30,18 +30,18 @@ def _silent_case(frames):
 
 
 def test_silent_strict_and_inclusive(spark, frames):
-    seg, lg, s, _ = _silent_case(frames)
-    strict = churn.silent_members(seg, lg, s, days=90, inclusive=False, exclude_churned=False)
+    m, act, s = _silent_case(frames)
+    strict = churn.silent_members(m, act, s, days=90, inclusive=False, exclude_churned=False)
     assert sorted(r.member_id for r in strict.collect()) == [3, 4]
-    glossary = churn.silent_members(seg, lg, s, days=90, inclusive=True, exclude_churned=True)
+    glossary = churn.silent_members(m, act, s, days=90, inclusive=True, exclude_churned=True)
     rows = {r.member_id: r.days_since_last_event for r in glossary.collect()}
     assert rows == {2: 90, 3: 91}
     assert churn.silent_member_count(glossary).collect()[0].silent_members == 2
 
 
 def test_silent_never_active_option(spark, frames):
-    seg, lg, s, _ = _silent_case(frames)
-    out = churn.silent_members(seg, lg, s, include_never_active=True)
+    m, act, s = _silent_case(frames)
+    out = churn.silent_members(m, act, s, include_never_active=True)
     assert sorted(r.member_id for r in out.collect()) == [2, 3, 7]
 
 
@@ -53,7 +53,7 @@ def test_churn_by_age_and_period_shift(spark, frames):
             sub(4, 2, "churned", "2024-01-01", "2025-01-03"),
             sub(5, 2, "active", "2024-01-01", ""),
             sub(6, 99, "churned", "2024-01-01", "2025-01-03")]   # unknown member: inner join drops it
-    _, _, s, m = _setup(frames, members, [log(1, 1, 1, M.READ_START)], subs)
+    m, _, s = _setup(frames, members, [log(1, 1, 1, M.READ_START)], subs)
     by_month = {r.churn_ym: r.churned for r in churn.churn_by_month(s).collect()}
     assert by_month == {"2025-01": 2, "2025-08": 2, "2025-09": 1}
     by_age_month = {(r.age_group, r.churn_ym): r.churned for r in churn.churn_by_age_month(s, m).collect()}
@@ -64,3 +64,13 @@ def test_churn_by_age_and_period_shift(spark, frames):
     shift = {r.age_group: (r.churned_before, r.churned_since, r.churned_change)
              for r in churn.churn_period_shift(s, m, "2025-07").collect()}
     assert shift == {M.AGE_LABELS[0]: (0, 3, 3), M.AGE_LABELS[2]: (1, 0, -1)}
+
+
+def test_latest_day_is_that_of_all_logs(spark, frames):
+    """Logs of members that are not known, or of no member, set the latest day as well."""
+    members = [member(1, plan="paid"), member(0, plan="paid")]
+    base = [log(1, 1, 1, M.READ_START, "2025-01-01 10:00:00"), log(2, 0, 1, M.READ_START, "2025-01-01 10:00:00")]
+    for who in (99, None):
+        m, act, s = _setup(frames, members, base + [log(3, who, 1, M.READ_START, "2025-05-01 10:00:00")], [])
+        got = {r.member_id: r.days_since_last_event for r in churn.silent_members(m, act, s).collect()}
+        assert got == {1: 120, 0: 120}, who

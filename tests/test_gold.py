@@ -9,15 +9,15 @@ from subsight.operators import gold, silver
 def _silver(frames, members, logs, articles=None):
     arts = silver.silver_articles(frames("articles", articles or [article(1, "tech")]))
     return (silver.silver_members(frames("members", members)),
-            silver.silver_reading_logs(frames("logs", logs), arts))
+            gold.member_month_activity(silver.silver_reading_logs(frames("logs", logs), arts)))
 
 
 def test_engagement_same_reader_and_paywall_only(spark, frames):
-    m, lg = _silver(frames, [member(1), member(2)], [
+    m, act = _silver(frames, [member(1), member(2)], [
         log(1, 1, 1, M.READ_START), log(2, 1, 1, M.READ_COMPLETE),   # one reader, two views
         log(3, 2, 1, M.PAYWALL_HIT, "2025-02-01 10:00:00"),          # paywall only in Feb
     ])
-    rows = gold.monthly_engagement(lg).collect()
+    rows = gold.monthly_engagement(act).collect()
     assert len(rows) == 1
     r = rows[0]
     assert (r.ym, r.category, r.article_views, r.reads_completed, r.unique_readers, r.completion_rate) == (
@@ -32,8 +32,8 @@ def test_activity_bounds_and_idle_member(spark, frames):
             lid += 1
             logs.append(log(lid, mid, 1, M.READ_COMPLETE))
     members = [member(i) for i in range(0, 7)]  # member 0 has no log
-    m, lg = _silver(frames, members, logs)
-    out = {r.member_id: r for r in gold.member_segment(m, lg).collect()}
+    m, act = _silver(frames, members, logs)
+    out = {r.member_id: r for r in gold.member_segment(m, act).collect()}
     assert len(out) == 7
     labels = M.ACTIVITY_LABELS
     assert [out[i].activity_segment for i in range(7)] == [
@@ -45,12 +45,12 @@ def test_activity_bounds_and_idle_member(spark, frames):
 
 
 def test_paywall_month_crossing_and_unknown_member(spark, frames):
-    m, lg = _silver(frames, [member(1, age=25)], [
+    m, act = _silver(frames, [member(1, age=25)], [
         log(1, 1, 1, M.PAYWALL_HIT, "2025-01-31 23:50:00"),
         log(2, 1, 1, M.SUBSCRIBE, "2025-02-01 00:10:00"),
         log(3, 9, 1, M.PAYWALL_HIT, "2025-01-10 00:10:00"),   # unknown member
     ])
-    out = {(r.ym, r.age_group): r for r in gold.paywall_conversion(lg, m).collect()}
+    out = {(r.ym, r.age_group): r for r in gold.paywall_conversion(act, m).collect()}
     jan = out[("2025-01", M.AGE_LABELS[0])]
     feb = out[("2025-02", M.AGE_LABELS[0])]
     assert (jan.paywall_hits, jan.conversions, jan.conversion_rate) == (1, 0, 0.0)
@@ -58,4 +58,4 @@ def test_paywall_month_crossing_and_unknown_member(spark, frames):
     unknown = out[("2025-01", None)]
     assert (unknown.paywall_hits, unknown.conversions) == (1, 0)
     # the unknown member is absent from the member segment
-    assert gold.member_segment(m, lg).filter("member_id = 9").count() == 0
+    assert gold.member_segment(m, act).filter("member_id = 9").count() == 0

@@ -7,6 +7,7 @@ from __spark_entry__ import queries
 from subsight.lake import Lake
 from subsight.operators import churn, explore, gold
 from subsight.plans import pipeline
+from subsight.plans.registry import QUERIES
 from subsight.sources.catalog import LakeConfig
 
 
@@ -14,7 +15,7 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_row_python_no_cartesian(spark, name):
     plan = plan_of(queries()[name](spark, SF_SMALL))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
@@ -30,10 +31,10 @@ def stored(spark):
 
 
 def test_filters_reach_the_scan(spark, stored):
-    plan = plan_of(gold.monthly_engagement(stored["silver_reading_logs"]))
-    assert "PushedFilters: [In(event_type, [read_complete,read_start])]" in plan
+    plan = plan_of(explore.reads_by_member(stored["silver_reading_logs"]))
+    assert "EqualTo(event_type,read_complete)" in plan
     plan = plan_of(explore.category_monthly_completion(
-        gold.monthly_engagement(stored["silver_reading_logs"]), "PROMO"))
+        gold.monthly_engagement(gold.member_month_activity(stored["silver_reading_logs"])), "PROMO"))
     assert "EqualTo(category,PROMO)" in plan
 
 
@@ -43,7 +44,8 @@ def test_columns_are_pruned(spark, stored):
 
 
 def test_partial_aggregation_before_join(spark, stored):
-    plan = plan_of(gold.paywall_conversion(stored["silver_reading_logs"], stored["silver_members"]))
+    plan = plan_of(gold.paywall_conversion(gold.member_month_activity(stored["silver_reading_logs"]),
+                                           stored["silver_members"]))
     # the per (member, month) partial aggregate sits under the first exchange
     assert "partial_sum" in plan
     joins = plan.index("Join")
@@ -51,11 +53,33 @@ def test_partial_aggregation_before_join(spark, stored):
 
 
 def test_scalar_subquery_not_cross_join(spark, stored):
-    seg = gold.member_segment(stored["silver_members"], stored["silver_reading_logs"])
-    plan = plan_of(churn.silent_members(seg, stored["silver_reading_logs"], stored["silver_subscriptions"]))
+    plan = plan_of(QUERIES["silent_members"](stored))
     assert "Subquery" in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def _final_plan(spark, df):
+    df.collect()
+    return df._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+@pytest.mark.parametrize("name", ["silent_members", "silent_members_strict", "silent_member_count", "silent_by_age_plan"])
+def test_silent_members_do_not_scan_stored_logs(spark, name):
+    """With the activity table stored, the latest day and the last days come from it."""
+    config = LakeConfig(schema="plan_silent")
+    if not spark.catalog.databaseExists("plan_silent"):
+        pipeline.ingest_bronze(spark, config, Lake.from_testdata(spark, SF_SMALL))
+        pipeline.run_pipeline(spark, config)
+    plan = _final_plan(spark, QUERIES[name](Lake.from_catalog(spark, config)))
+    assert "reading_logs" not in plan and "work_member_month_activity" in plan
+
+
+def test_silent_members_reuse_the_aggregate(spark):
+    """From raw tables, the latest day and the join use the same exchange of the per-member maxima."""
+    plan = _final_plan(spark, QUERIES["silent_members"](Lake.from_testdata(spark, SF_SMALL)))
+    assert "ReusedExchange" in plan
+
+
 def test_cost_window_reaches_the_scan(spark):
     from subsight.operators import cost
 
@@ -64,13 +88,26 @@ def test_cost_window_reaches_the_scan(spark):
     pipeline.ingest_billing(spark, config, raw)
     stored = Lake.from_catalog(spark, config)
     plan = plan_of(cost.estimated_cost_by_sku(stored["usage"], stored["list_prices"], days=30))
-    assert "GreaterThanOrEqual(usage_date," in plan
+    assert "PartitionFilters: [isnotnull(usage_ym" in plan          # months, bound by a subquery
     assert "BroadcastHashJoin" in plan
+    plan = plan_of(cost.daily_usage(stored["usage"], days=30, as_of="1999-03-10"))
+    assert "PartitionFilters: [isnotnull(usage_ym" in plan and "usage_ym#" in plan
+    assert "GreaterThanOrEqual(usage_date,1999-02-08), LessThanOrEqual(usage_date,199" in plan
+    assert cost.daily_usage(stored["usage"], days=30, as_of="1999-03-10").count() <= 31
 
 
 def test_month_refresh_reads_only_its_months(spark, stored):
     from pyspark.sql import functions as F
 
     logs = stored["silver_reading_logs"].filter(F.col("ym").isin(["1998-07", "1998-08"]))
-    plan = plan_of(gold.monthly_engagement(logs))
-    assert "In(ym, [1998-07,1998-08])" in plan
+    plan = plan_of(gold.member_month_activity(logs))
+    assert "PartitionFilters: [ym#" in plan and "IN (1998-07,1998-08)" in plan
+
+
+def test_profile_shuffles_no_text(spark):
+    """Whatever a value's length, its distinct count shuffles 16 bytes."""
+    df = QUERIES["table_profile_documents"](Lake.from_testdata(spark, SF_SMALL))
+    plan = plan_of(df)
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and not any("text#" in line for line in exchanges)
+    assert any("digest#" in line for line in exchanges)

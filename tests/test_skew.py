@@ -22,19 +22,20 @@ def test_hot_member(spark, frames):
     arts = silver.silver_articles(frames("articles", [article(1, "a"), article(2, "b"), article(3, "c")]))
     logs = silver.silver_reading_logs(frames("logs", rows), arts)
     mem = silver.silver_members(frames("members", members))
+    act = gold.member_month_activity(logs)
 
     want = collections.Counter((r[2] if r[3] == M.READ_COMPLETE else None) for r in rows)
     got = {r.member_id: r.reads_completed for r in explore.reads_by_member(logs).collect()}
     assert got[1] == 75 and sum(got.values()) == sum(v for k, v in want.items() if k is not None)
 
-    seg = {r.member_id: r.total_events for r in gold.member_segment(mem, logs).collect()}
+    seg = {r.member_id: r.total_events for r in gold.member_segment(mem, act).collect()}
     assert seg[1] == 300 and sum(seg.values()) == 900
 
-    conv = gold.paywall_conversion(logs, mem).collect()
+    conv = gold.paywall_conversion(act, mem).collect()
     assert sum(r.paywall_hits for r in conv) == sum(1 for r in rows if r[3] == M.PAYWALL_HIT)
     assert sum(r.conversions for r in conv) == sum(1 for r in rows if r[3] == M.SUBSCRIBE)
 
-    eng = gold.monthly_engagement(logs).collect()
+    eng = gold.monthly_engagement(act).collect()
     assert sum(r.article_views for r in eng) == sum(1 for r in rows if r[3] in (M.READ_START, M.READ_COMPLETE))
 
 
