@@ -60,6 +60,8 @@ def vocabulary_hits(url: str | None, strict: tuple[str, ...] = STRICT, soft: tup
     """Distinct strict and soft terms of ``url``, A-Z lower-cased, that stand between characters other than letters and digits."""
     text = (url or "").encode("utf-8", "replace").lower().decode("utf-8", "replace")
     found = {"strict": set(), "soft": set()}
+    if not strict and not soft:
+        return [], []
     for end, (term, weight) in _automaton(strict, soft).iter(text):
         start = end - len(term)
         if (start < 0 or not _word(text[start])) and (end + 1 == len(text) or not _word(text[end + 1])):

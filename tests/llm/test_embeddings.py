@@ -1,0 +1,90 @@
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from subsight.llm import embeddings as E
+
+SCHEMA = "vec_id long, embedding array<float>, label int, cid string, rep string, links string, tile string, n string"
+
+
+def frame(spark, rows, schema=SCHEMA):
+    return spark.createDataFrame([(*r, *["x"] * 5) for r in rows], schema)
+
+
+def brute(rows, threshold):
+    """Pairwise in double precision; ``(id, links, least id, kept)`` per row."""
+    good = [v is not None and l is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
+            for _, v, l in rows]
+    unit = [np.float64(np.float32(v)) / np.linalg.norm(np.float64(np.float32(v))) if g else None for (_, v, _), g in zip(rows, good)]
+    n, root = len(rows), list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    links = [0] * n
+    for i in range(n):
+        for j in range(i):
+            if good[i] and good[j] and rows[i][2] == rows[j][2] and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= threshold:
+                links[i] += 1
+                links[j] += 1
+                root[find(i)] = find(j)
+    least = {}
+    for i, r in enumerate(rows):
+        if r[0] is not None:
+            least[find(i)] = min(r[0], least.get(find(i), r[0]))
+    return Counter((r[0], links[i], least.get(find(i)), r[0] == least.get(find(i))) for i, r in enumerate(rows))
+
+
+def clusters(seed, n=160, d=24):
+    r = np.random.default_rng(seed)
+    centres = r.normal(size=(8, d))
+    rows = []
+    for i in range(n):
+        v = centres[r.integers(8)] + r.normal(size=d) * r.choice([0.02, 0.15, 0.25, 1.0])
+        rows.append((i, np.float32(v * r.choice([1, 1e-3, 50])).tolist(), int(r.integers(3))))
+    rows += [(500 + i, rows[i % 7][1], rows[i % 7][2]) for i in range(30)]       # copies
+    return rows
+
+
+@pytest.mark.parametrize("tile", [3, 16, 2048])
+@pytest.mark.parametrize("threshold", [0.6, 0.93, 1.0])
+def test_equals_brute_force(spark, tile, threshold):
+    rows = clusters(tile)
+    if threshold == 1.0:                                                 # a cosine of copies may round to just below one
+        threshold = 0.9999999
+    assert Counter(map(tuple, E.embedding_components(frame(spark, rows), threshold, tile).collect())) == brute(rows, threshold)
+
+
+def test_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    v = [1.0, 2.0, 3.0]
+    rows = [(1, v, 1), (2, v, None), (3, None, 1), (4, [0.0, 0.0, 0.0], 1), (5, [1.0, None, 3.0], 1), (6, [nan, 2.0, 3.0], 1),
+            (7, [inf, 2.0, 3.0], 1), (8, [], 1), (9, [1.0, 2.0], 1), (10, [2.0, 4.0, 6.0], 1), (10, [2.0, 4.0, 6.0], 1),
+            (None, v, 1), (None, [9.0, 0.0, 0.0], 2), (11, [-1.0, -2.0, -3.0], 1), (12, [1e30, 2e30, 3e30], 1), (13, [1e-30, 2e-30, 3e-30], 1)]
+    got = Counter(map(tuple, E.embedding_components(frame(spark, rows)).collect()))
+    want = brute([r for r in rows], 0.93)
+    # null ids: a component of them alone has a null id and is kept
+    want = Counter({((i, n, c, True) if i is None and c is None else (i, n, c, k)): m for (i, n, c, k), m in want.items()})
+    assert got == want
+
+
+def test_doubles_and_empty(spark):
+    schema = SCHEMA.replace("array<float>", "array<double>")
+    rows = [(1, [1e300, 1e300], 1), (2, [1e-300, 1e-300], 1), (3, [1.0, -1.0], 1)]
+    got = {r.vec_id: r.component_id for r in E.embedding_components(frame(spark, rows, schema)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+    assert E.embedding_components(frame(spark, [])).count() == 0
+    with pytest.raises(ValueError):
+        E.embedding_components(frame(spark, []), threshold=0.0)
+
+
+def test_bounds_drop_no_link():
+    r = np.random.default_rng(2)
+    a = E.unit_rows(r.normal(size=(80, 64)) @ np.diag(np.linspace(3, 0.1, 64)))
+    b = E.unit_rows(a[:60] + r.normal(size=(60, 64)) * 0.05)
+    axes = np.linalg.eigh(a.T @ a)[1][:, ::-1]
+    for t in (0.3, 0.8, 0.93, 0.99):
+        assert (E.linked(a, b, axes, t) == (a @ b.T >= t)).all()

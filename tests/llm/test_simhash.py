@@ -1,0 +1,115 @@
+import random
+from collections import Counter
+
+import pytest
+
+from subsight.llm import simhash as S
+from subsight.llm.graph import components
+
+from .conftest import EDGE_ROWS
+
+
+def brute(pairs, bits):
+    """Least id reachable, by comparing all fingerprints."""
+    fps = sorted({f for _, f in pairs})
+    root = {f: f for f in fps}
+
+    def find(f):
+        while root[f] != f:
+            f = root[f]
+        return f
+
+    for i, a in enumerate(fps):
+        for b in fps[:i]:
+            if ((a ^ b) & (2**64 - 1)).bit_count() <= bits:
+                root[find(a)] = find(b)
+    least = {}
+    for i, f in pairs:
+        if i is not None:
+            least[find(f)] = min(i, least.get(find(f), i))
+    return Counter((i, f"{f & (2**64 - 1):016x}", least.get(find(f))) for i, f in pairs)
+
+
+def signed(x):
+    return x - 2**64 if x >= 2**63 else x
+
+
+def test_fingerprint_by_definition():
+    import xxhash
+
+    for text in ("", None, " \t", "One", "One two", "The quick\x0bbrown\x1cfox É jumps", "a b c " * 30):
+        ws = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", (text or "").translate(
+            {c: c + 32 for c in range(65, 91)})) if w]
+        sh = [" ".join(ws[i:i + 3]) for i in range(len(ws) - 2)] if len(ws) >= 3 else [" ".join(ws)] if ws else []
+        hs = [xxhash.xxh64_intdigest(s.encode(), 42) for s in sh]
+        want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs)) if hs else 0
+        assert S.fingerprint(text) == signed(want), text
+
+
+def test_hash_is_sparks(spark):
+    import xxhash
+    from pyspark.sql import functions as F
+
+    got = spark.range(1).select(F.xxhash64(F.lit("straße a b"))).first()[0]
+    assert got == signed(xxhash.xxh64_intdigest("straße a b".encode(), 42))
+
+
+@pytest.mark.parametrize("bits", [0, 1, 2])
+@pytest.mark.parametrize("bucket", [0, 3, 256])
+def test_links_equal_brute_force(spark, bits, bucket):
+    """Chains, rings and dense groups; with small buckets every link comes from the balls."""
+    r = random.Random(7 * bits + bucket)
+    fps = set()
+    for _ in range(12):
+        f = r.getrandbits(64)
+        for _ in range(r.randint(1, 12)):
+            fps.add(signed(f))
+            for _ in range(r.randint(0, 3)):
+                f ^= 1 << r.randrange(64)
+    fps |= {0, -1, signed(1 << 63), signed(1 << 32), signed(1 << 31)}
+    df = spark.createDataFrame([(f,) for f in sorted(fps)], "fp long")
+    links = S.fingerprint_links(df, bits, bucket).collect()
+    if bucket == 256:
+        assert all(((a ^ b) & (2**64 - 1)).bit_count() <= bits for a, b in links)
+    root = {f: f for f in fps}
+
+    def find(f):
+        while root[f] != f:
+            f = root[f]
+        return f
+
+    for a, b in links:
+        root[find(a)] = find(b)
+    groups = {}
+    for f in fps:
+        groups.setdefault(find(f), set()).add(f)
+    want = {}
+    for i, f, c in brute([(i, f) for i, f in enumerate(sorted(fps))], bits):
+        want.setdefault(c, set()).add(signed(int(f, 16)))
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+
+
+def test_components_of_a_long_path_and_a_hub(spark):
+    path = [(i, i + 1) for i in range(200)]
+    hub = [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 5000), (None, 3)]
+    got = dict(components(spark.createDataFrame(path + hub, "u long, v long")).collect())
+    assert all(got[i] == 0 for i in range(201)) and all(got[1000 + i] == 1000 for i in range(300))
+    assert set(got) == {*range(201), *range(1000, 1300)}
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_edges(edge_documents):
+    got = Counter(map(tuple, S.simhash_components(edge_documents).collect()))
+    assert got == brute([(i, S.fingerprint(t)) for i, t, _, _ in EDGE_ROWS], 2)
+
+
+def test_empty(documents):
+    assert S.simhash_components(documents([])).count() == 0
+
+
+def test_near_copies_share_a_component(documents):
+    base = " ".join(f"w{i}" for i in range(400))
+    rows = [(1, base, "en", "a"), (2, base.upper(), "en", "a"), (3, base.replace("w200", "other"), "en", "a"),
+            (4, " ".join(f"x{i}" for i in range(400)), "en", "a")]
+    got = {r.doc_id: r.component_id for r in S.simhash_components(documents(rows), max_bits=2).collect()}
+    assert got[1] == got[2] == 1 and got[4] == 4

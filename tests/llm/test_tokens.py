@@ -1,0 +1,61 @@
+import random
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from subsight.llm import tokens as T
+
+from .conftest import EDGE_ROWS
+
+PATH = public_tokenizers.path(T.VOCABULARY)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def ids(library, text):
+    return len(library.encode(text or "", add_special_tokens=False).ids)
+
+
+def test_counts_equal_the_library(library):
+    count = T.counter(PATH)
+    r = random.Random(2)
+    letters = [*map(chr, range(0x250)), *map(chr, range(0x2000, 0x2070)), "漢", "　", "﻿", "\U0001f600", "٠", "Ⅰ", "ः"]
+    for _ in range(4000):
+        text = "".join(r.choice(letters) if r.random() < .4 else r.choice(["ab", " ", "  ", "'", "'ll", "1", ".", "<|endoftext|>", "<|end"])
+                       for _ in range(r.randint(0, 20)))
+        assert count(text) == ids(library, text), repr(text)
+
+
+def test_shortcut_holds_only_whole_tokens(library):
+    count = T.counter(PATH)
+    assert len(count.single) > 40_000
+    for piece in random.Random(3).sample(sorted(count.single), 2000):
+        if T.PIECES.findall(piece) == [piece]:
+            assert ids(library, piece) == 1, repr(piece)
+
+
+def test_forgetting_changes_nothing(library, monkeypatch):
+    monkeypatch.setattr(T, "MEMORY", 3)
+    count = T.Counter(PATH)
+    text = "unheardofword otherunheardof thirdunheard fourthunheard " * 20
+    assert count(text) == ids(library, text) and len(count.merged) <= 3
+
+
+def test_edges(library, edge_documents):
+    got = sorted(map(tuple, T.token_counts(edge_documents).collect()), key=repr)
+    want = [(i, len((t or "").encode()), ids(library, t), ids(library, t) > 512) for i, t, _, _ in EDGE_ROWS]
+    assert got == sorted(want, key=repr)
+
+
+def test_empty_and_path(documents, library):
+    assert T.token_counts(documents([])).count() == 0
+    assert T.token_counts(documents([(1, "hello there", "en", "a")]), vocabulary=PATH, limit=1).first().over_limit
+
+
+def test_other_kinds_are_refused():
+    with pytest.raises(ValueError):
+        T.Counter(public_tokenizers.path("word_bpe_49k.json"))
