@@ -1,7 +1,8 @@
-"""Write the final (post-AQE) physical plan of every registered query over
-stored tables to docs/PLANS.md.
+"""Summarise the final (post-AQE) physical plan of every registered query
+over stored tables in docs/PLANS.md; with a second argument, write the plans
+themselves to that file.
 
-    python tools/explain_all.py [sf_dir]
+    python tools/explain_all.py [sf_dir [plans_file]]
 """
 
 from __future__ import annotations
@@ -74,9 +75,9 @@ def main(argv):
     out = ["# Physical plans over stored tables",
            "",
            f"Final adaptive plans (after execution) of every registered query, over tables written by the "
-           f"pipeline from `{sf_dir}` (`tools/explain_all.py`). Paths and expression ids are shortened.",
+           f"pipeline from `{sf_dir}`. The plans themselves: `python tools/explain_all.py {sf_dir} FILE`.",
            "",
-           "Summary per query: shuffle exchanges (hash / range / single-partition for global aggregates), "
+           "Per query: shuffle exchanges (hash / range / single-partition for global aggregates), "
            "joins by strategy, aggregates by kind, scalar subqueries, and whether a filter reached a scan.",
            "",
            "| Query | hash | range | single | BHJ | SMJ | HashAgg | SortAgg | subq | pushed filter |",
@@ -93,8 +94,9 @@ def main(argv):
         text = re.sub(r"#\d+L?", "", text)
         out.append(_summary_row(name, text))
         sections += [f"## {name}", "", "```", text.strip(), "```", ""]
-    out += [""] + sections
-    (ROOT / "docs" / "PLANS.md").write_text("\n".join(out))
+    (ROOT / "docs" / "PLANS.md").write_text("\n".join(out) + "\n")
+    if len(argv) > 2:
+        Path(argv[2]).write_text("\n".join(sections))
     spark.stop()
     return 0
 
