@@ -58,10 +58,10 @@ class Identifier:
 
     def judge(self, texts: Sequence[str | None], memory: Memory) -> tuple[list, list, list, list]:
         """Language, score, cross-entropy and rejection of each text."""
-        entropy, sizes = self.entropies(texts, memory)
         if not self.model.classes:
             n = len(texts)
             return [UNKNOWN] * n, [0.0] * n, [None] * n, [True] * n
+        entropy, sizes = self.entropies(texts, memory)
         best = entropy.argmin(axis=1)
         least = entropy[np.arange(len(texts)), best]
         score = 1 / np.exp(-self.sharpness * (entropy - least[:, None])).sum(axis=1)
@@ -77,14 +77,18 @@ def learning_sample(rows: DataFrame, sample_chars: int = SAMPLE_CHARS) -> DataFr
 
     The share of a class is its budget over its characters, so the sample is
     bounded however large the table or a class is; equal texts are taken or
-    left together. ``held`` marks the rows kept back for calibration.
+    left together. ``held`` marks the rows kept back for calibration. The
+    shares, one number per class as the models have one column per class,
+    are literals of the filter: no text is shuffled.
     """
     usable = rows.where("cls is not null and text is not null").where(F.length("text") <= SAMPLE_TEXT_CHARS)
-    size = usable.groupBy("cls").agg(F.sum(F.length("text")).alias("chars"))
-    share = size.select("cls", F.least(F.lit(1.0), F.lit(float(sample_chars)) / F.greatest("chars", F.lit(1))).alias("share"))
+    chars = usable.groupBy("cls").agg(F.sum(F.length("text")).alias("chars")).collect()
+    shares = F.create_map(*[F.lit(x) for r in chars for x in (r["cls"], min(1.0, sample_chars / max(1, r["chars"])))]) \
+        if chars else F.create_map().cast("map<string,double>")
     draw = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 20)) / (1 << 20)
     held = F.pmod(F.xxhash64("text", F.lit("held")), F.lit(1 << 20)) / (1 << 20) < CALIBRATION_SHARE
-    return usable.join(share, "cls").where(draw < F.col("share")).select("cls", "text", held.alias("held"))
+    return usable.where(draw < F.try_element_at(shares, F.col("cls"))) \
+        .select("cls", "text", held.alias("held"))
 
 
 def word_counts(sample: DataFrame) -> DataFrame:
@@ -100,10 +104,17 @@ def word_counts(sample: DataFrame) -> DataFrame:
     return sample.select("cls", "text").mapInArrow(run, "cls string, word string, n long").groupBy("cls", "word").agg(F.sum("n").alias("n"))
 
 
+def learning_counts(sample: DataFrame) -> pa.Table:
+    """``(cls, word, n)`` of the rows not held back; of all rows if a class has no other (few or equal texts)."""
+    classes = {r[0] for r in sample.select("cls").distinct().collect()}
+    counts = word_counts(sample.where("not held")).toArrow()
+    return counts if classes == set(counts["cls"].to_pylist()) else word_counts(sample).toArrow()
+
+
 def fit_identifier(rows: DataFrame, order: int = ORDER, sample_chars: int = SAMPLE_CHARS) -> Identifier:
     """Models and rejection limits from ``rows(cls, text)``; only the bounded sample's word counts reach the driver."""
     sample = stored(learning_sample(rows, sample_chars), "language-sample")
-    got = word_counts(sample.where("not held")).toArrow()
+    got = learning_counts(sample)
     words, at = np.unique(got["word"].to_numpy().astype(str), return_inverse=True)
     classes = sorted(set(got["cls"].to_pylist()))
     if not classes:
