@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subsight.llm import mixing_sql, urls_sql, winnowing_sql
@@ -16,23 +16,24 @@ from subsight.llm.pii import find_pii
 from subsight.llm.simhash import simhash_components
 from subsight.llm.tables import stored, table
 from subsight.llm.tokens import token_counts
-from subsight.llm.toxicity import fit_scorer, score_toxicity
+from subsight.llm.toxicity import fit_scorer, labelled_texts, score_toxicity
 from subsight.llm.urls import judge_urls
 from subsight.llm.winnowing import contamination
 
 
-def _remainder(n: int):
-    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+def _held_out(n: int, remainder: int) -> Column:
+    """Whether crc32 of the id as text leaves ``remainder`` by ``n``; false for a null id."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n)) == remainder, F.lit(False))
 
 
 def learned_identifier(docs: DataFrame) -> Identifier:
     """Languages learned from the labelled rows that are not held out."""
-    return fit_identifier(docs.where(_remainder(4) != 2).select(F.col("lang").alias("cls"), "text"))
+    return fit_identifier(docs.where(~_held_out(4, 2)).select(F.col("lang").alias("cls"), "text"))
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = _remainder(4) == 2
+    held_out = _held_out(4, 2)
     return identify(docs, learned_identifier(docs), [F.col("doc_id"), held_out.alias("held_out")])
 
 
@@ -54,11 +55,10 @@ def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = _remainder(5) == 0
-    marks = table(spark, sf_dir, "labels").where(~held_out & F.col("toxic").isNotNull()) \
-        .select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("string").alias("cls"))
-    labelled = docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("label_id")).select("cls", "text")
-    return score_toxicity(docs, fit_scorer(labelled), [F.col("doc_id"), held_out.alias("held_out")])
+    held_out = _held_out(5, 0)
+    learned = table(spark, sf_dir, "labels").where(~held_out)
+    scorer = fit_scorer(labelled_texts(docs, learned))
+    return score_toxicity(docs, scorer, [F.col("doc_id"), held_out.alias("held_out")])
 
 
 def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subsight.llm.kneser_ney import Model, train
-from subsight.llm.language import learning_sample, word_counts
+from subsight.llm.language import learning_counts, learning_sample
 from subsight.llm.tables import stored
 from subsight.llm.wordscores import Memory, spelled, words_of
 
@@ -22,6 +22,8 @@ SHARED_ORDERS = 2
 #: Each class learns from a hash sample of its rows of about so many characters, calibration included.
 SAMPLE_CHARS = 8_000_000
 CLASSES = ["0", "1"]
+#: Of each class a hash sample of about so many labelled ids is joined to the texts.
+SAMPLE_IDS = 2500
 
 
 @dataclass
@@ -71,6 +73,23 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, rounds: int =
     return np.append(w[:-1] / scale, w[-1])
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, sample_ids: int = SAMPLE_IDS, id_col: str = "doc_id",
+                   text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """``(cls, text)`` of a hash sample of the ids that ``labels`` marks 0 or 1.
+
+    The sampled ids, distinct, are about ``sample_ids`` a class whatever the
+    tables' size, so that side is broadcast and no text is shuffled.
+    """
+    marks = labels.select(F.col(id_col).cast("long").alias("mark_id"), F.col(label_col).cast("string").alias("cls")) \
+        .where(F.col("mark_id").isNotNull() & F.col("cls").isin(*CLASSES)).distinct()
+    count = {r["cls"]: r["n"] for r in marks.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).collect()}
+    draw = F.pmod(F.xxhash64("mark_id", F.lit("sample")), F.lit(1 << 20)) / (1 << 20)
+    share = F.when(F.col("cls") == "1", min(1.0, sample_ids / max(1, count.get("1", 0)))) \
+        .otherwise(min(1.0, sample_ids / max(1, count.get("0", 0))))
+    texts = docs.select(F.col(id_col).cast("long").alias("text_id"), F.col(text_col).cast("string").alias("text"))
+    return texts.join(F.broadcast(marks.where(draw < share)), F.col("text_id") == F.col("mark_id")).select("cls", "text")
+
+
 def fit_scorer(rows: DataFrame, order: int = ORDER, shared_orders: int = SHARED_ORDERS,
                sample_chars: int = SAMPLE_CHARS) -> Scorer:
     """A scorer from ``rows(cls, text)`` with cls "0" or "1".
@@ -80,8 +99,9 @@ def fit_scorer(rows: DataFrame, order: int = ORDER, shared_orders: int = SHARED_
     rows makes every score 0 or 1, the class that exists; no rows at all
     make every score 0.
     """
-    sample = stored(learning_sample(rows.where(F.col("cls").isin(*CLASSES)), sample_chars), "toxicity-sample")
-    got = word_counts(sample.where("not held")).toArrow()
+    rows = stored(rows.where(F.col("cls").isin(*CLASSES)), "labelled-texts")  # read several times below
+    sample = stored(learning_sample(rows, sample_chars), "toxicity-sample")
+    got = learning_counts(sample)
     words, at = np.unique(got["word"].to_numpy().astype(str), return_inverse=True)
     cls = got["cls"].to_numpy().astype(str)
     if len(set(cls.tolist())) < 2:
@@ -124,5 +144,5 @@ def score_toxicity(docs: DataFrame, scorer: Scorer, carry: Sequence[Column], tex
                                              [*b.schema.names[:n], "score", "predicted"])
 
     src = docs.select(*carry, F.col(text_col).cast("string").alias("__text"))
-    added = T.StructType().add("score", "double").add("predicted", "int")
+    added = T.StructType().add("score", "double").add("predicted", "integer")
     return src.mapInArrow(run, T.StructType([*src.schema.fields[:-1], *added.fields]))
