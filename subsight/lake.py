@@ -71,6 +71,9 @@ class Lake:
         for name in names:
             if table_exists(spark, config, name):
                 loaders[name] = (lambda n=name: read_table(spark, config, n))
+        if "silver_reading_logs" in loaders:  # stored with the partition column last
+            loaders["silver_reading_logs"] = lambda: read_table(spark, config, "silver_reading_logs").select(
+                *silver.READING_LOG_COLUMNS)
         loaders.update(extra or {})
         return cls(spark, loaders)
 

@@ -14,6 +14,11 @@ from subsight import model as M
 from subsight.functions import band_below, days_between, month_of, parse_date, parse_timestamp
 
 
+#: Column order of Q3: the join key, the log's own columns, those derived from its time, the article's.
+READING_LOG_COLUMNS = ["article_id", *(c for c in M.READING_LOGS_SCHEMA.fieldNames() if c != "article_id"),
+                       "event_date", "ym", "category", "is_premium"]
+
+
 def age_group(age_col="age"):
     """Age band label; NULL age falls into the last band."""
     col = F.col(age_col) if isinstance(age_col, str) else age_col
@@ -53,7 +58,7 @@ def silver_reading_logs(bronze_logs: DataFrame, articles: DataFrame) -> DataFram
         .withColumn("ym", month_of("event_time"))
     )
     attrs = articles.select("article_id", "category", "is_premium")
-    return logs.join(attrs, on="article_id", how="left")
+    return logs.join(attrs, on="article_id", how="left").select(*READING_LOG_COLUMNS)
 
 
 def silver_subscriptions(bronze_subs: DataFrame) -> DataFrame:
