@@ -7,7 +7,9 @@ one of context hashes with a column of backoff weights.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import count, islice
 
 import numpy as np
 
@@ -16,14 +18,14 @@ from subsight.llm.textbytes import mix
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
 
-def rolling_hashes(codes: np.ndarray, order: int) -> list[np.ndarray]:
-    """For n of 1 to ``order``: the hash of the n codes that end at each place (rubbish in the first n - 1)."""
-    out = [mix(codes + np.uint64(1))]
-    for n in range(2, order + 1):
-        h = np.zeros(len(codes), np.uint64)
-        h[1:] = mix(out[-1][:-1] * _STEP + codes[1:] + np.uint64(n))
-        out.append(h)
-    return out
+def rolling_hashes(codes: np.ndarray) -> Iterator[np.ndarray]:
+    """For n of 1, 2, ...: the hash of the n codes that end at each place (rubbish in the first n - 1)."""
+    h = mix(codes + np.uint64(1))
+    for n in count(2):
+        yield h
+        longer = np.zeros(len(codes), np.uint64)
+        longer[1:] = mix(h[:-1] * _STEP + codes[1:] + np.uint64(n))
+        h = longer
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -58,7 +60,7 @@ class Model:
         interpolated probabilities of all classes; a miss multiplies in the
         context's backoff weight and looks one order down.
         """
-        hashes = rolling_hashes(codes, self.order)
+        hashes = list(islice(rolling_hashes(codes), self.order))
         out = np.zeros((len(codes), len(self.classes)), np.float32)
         todo = np.arange(len(codes))
         for n in range(self.order, 0, -1):
@@ -78,9 +80,9 @@ class Model:
         return out
 
 
-def train(codes: np.ndarray, place: np.ndarray, weights: np.ndarray, classes: list[str], order: int,
+def train(codes: np.ndarray, place: np.ndarray, owner: np.ndarray, counts: np.ndarray, classes: list[str], order: int,
           shared_orders: int = 0) -> Model:
-    """A model from sequences: ``weights[i, c]`` is how often the sequence of code i occurs in class c.
+    """A model from sequences: code i belongs to sequence ``owner[i]``, which occurs ``counts[owner[i], c]`` times in class c.
 
     Below the highest order an n-gram counts by its distinct left
     extensions (n-grams at a sequence's start by occurrences). Each order
@@ -90,44 +92,44 @@ def train(codes: np.ndarray, place: np.ndarray, weights: np.ndarray, classes: li
     what is rare in one class is smoothed by what all classes know of it.
     The first place of a sequence is a start mark and no prediction.
     """
-    hashes = rolling_hashes(codes, order)
+    each = range(len(classes))
     model = Model(classes, order, np.zeros(len(classes), np.float32))
-    uniq, first, inverse, rows = [], [], [], []
-    for n in range(1, order + 1):
+    uniq, raw, opens, suffix, context = [], [], [], [], []  # per order, one row per different n-gram
+    shorter = None
+    for n, h in enumerate(islice(rolling_hashes(codes), order), 1):
         at = np.flatnonzero(place >= max(n - 1, 1))
-        keys, idx, inv = np.unique(hashes[n - 1][at], return_index=True, return_inverse=True)
+        keys, first, inverse = np.unique(h[at], return_index=True, return_inverse=True)
+        own, first = owner[at], at[first]
         uniq.append(keys)
-        first.append(at[idx])
-        inverse.append(inv)
-        rows.append(at)
-    raw = [np.stack([np.bincount(inverse[n], weights[rows[n], c], len(uniq[n])) for c in range(len(classes))], axis=1)
-           for n in range(order)]
+        raw.append(np.stack([np.bincount(inverse, counts[own, c], len(keys)) for c in each], axis=1))
+        opens.append(place[first] == n - 1)
+        suffix.append(shorter[first] if n > 1 else None)
+        context.append(shorter[first - 1] if n > 1 else None)
+        shorter = h
     below = None
     for n in range(order):  # n + 1 symbols
-        count = raw[n]
+        seen = raw[n]
         if n + 1 < order:
-            suffix = _find(uniq[n], hashes[n][first[n + 1]])
-            extended = np.stack([np.bincount(suffix, raw[n + 1][:, c] > 0, len(uniq[n])) for c in range(len(classes))], axis=1)
-            count = np.where((place[first[n]] == n)[:, None] & (n > 0), raw[n], extended)
+            of = _find(uniq[n], suffix[n + 1])
+            extended = np.stack([np.bincount(of, raw[n + 1][:, c] > 0, len(uniq[n])) for c in each], axis=1)
+            seen = np.where(opens[n][:, None] & (n > 0), raw[n], extended)
         if n < shared_orders:
-            count = np.repeat(count.sum(axis=1, keepdims=True), len(classes), axis=1)
+            seen = np.repeat(seen.sum(axis=1, keepdims=True), len(classes), axis=1)
+        d = np.array([_discount(seen[:, c]) for c in each])
         if n == 0:
-            total = np.maximum(count.sum(axis=0), 1)
-            d = np.array([_discount(count[:, c]) for c in range(len(classes))])
-            spread = d * (count > 0).sum(axis=0) / total / (len(uniq[0]) + 1)
-            spread = np.maximum(spread, 1e-9)
-            p = np.maximum(count - d, 0) / total + spread
+            total = np.maximum(seen.sum(axis=0), 1)
+            spread = np.maximum(d * (seen > 0).sum(axis=0) / total / (len(uniq[0]) + 1), 1e-9)
+            p = np.maximum(seen - d, 0) / total + spread
             model.unseen = np.log(spread).astype(np.float32)
             model.contexts.append(np.zeros(0, np.uint64))
             model.backoff.append(np.zeros((0, len(classes)), np.float32))
         else:
-            ctx_keys, ctx = np.unique(hashes[n - 1][first[n] - 1], return_inverse=True)
-            d = np.array([_discount(count[:, c]) for c in range(len(classes))])
-            total = np.stack([np.bincount(ctx, count[:, c], len(ctx_keys)) for c in range(len(classes))], axis=1)
-            kinds = np.stack([np.bincount(ctx, count[:, c] > 0, len(ctx_keys)) for c in range(len(classes))], axis=1)
+            ctx_keys, ctx = np.unique(context[n], return_inverse=True)
+            total = np.stack([np.bincount(ctx, seen[:, c], len(ctx_keys)) for c in each], axis=1)
+            kinds = np.stack([np.bincount(ctx, seen[:, c] > 0, len(ctx_keys)) for c in each], axis=1)
             weight = np.where(total > 0, d * kinds / np.maximum(total, 1e-12), 1.0)
-            lower = below[_find(uniq[n - 1], hashes[n - 1][first[n]])]
-            p = np.where(total[ctx] > 0, np.maximum(count - d, 0) / np.maximum(total[ctx], 1e-12), 0) + weight[ctx] * lower
+            lower = below[_find(uniq[n - 1], suffix[n])]
+            p = np.where(total[ctx] > 0, np.maximum(seen - d, 0) / np.maximum(total[ctx], 1e-12), 0) + weight[ctx] * lower
             model.contexts.append(ctx_keys)
             model.backoff.append(np.log(np.maximum(weight, 1e-12)).astype(np.float32))
         model.grams.append(uniq[n])

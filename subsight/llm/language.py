@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from subsight.llm.kneser_ney import Model, train
 from subsight.llm.tables import stored
-from subsight.llm.wordscores import Memory, spelled, words_of
+from subsight.llm.wordscores import Memory, owners, spelled, words_of
 
 ORDER = 5
 #: Each language learns from a hash sample of its rows of about so many characters, calibration included.
@@ -122,7 +122,7 @@ def fit_identifier(rows: DataFrame, order: int = ORDER, sample_chars: int = SAMP
     counts = np.zeros((len(words), len(classes)))
     np.add.at(counts, (at, np.searchsorted(classes, got["cls"].to_numpy().astype(str))), got["n"].to_numpy())
     codes, place, starts = spelled(words.tolist())
-    model = train(codes, place, np.repeat(counts, np.diff(np.append(starts, len(codes))), axis=0), classes, order)
+    model = train(codes, place, owners(starts, len(codes)), counts, classes, order)
     draft = Identifier(model, np.full(len(classes), np.inf), 0.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from subsight.llm.kneser_ney import Model, train
 from subsight.llm.language import learning_counts, learning_sample
 from subsight.llm.tables import stored
-from subsight.llm.wordscores import Memory, spelled, words_of
+from subsight.llm.wordscores import Memory, owners, spelled, words_of
 
 ORDER = 6
 #: The counts of so many lowest orders are pooled over both classes.
@@ -110,7 +110,7 @@ def fit_scorer(rows: DataFrame, order: int = ORDER, shared_orders: int = SHARED_
     counts = np.zeros((len(words), 2))
     np.add.at(counts, (at, (cls == "1").astype(int)), got["n"].to_numpy())
     codes, place, starts = spelled(words.tolist())
-    model = train(codes, place, np.repeat(counts, np.diff(np.append(starts, len(codes))), axis=0), CLASSES, order, shared_orders)
+    model = train(codes, place, owners(starts, len(codes)), counts, CLASSES, order, shared_orders)
     draft = Scorer(model, np.zeros(4))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,6 +30,11 @@ def spelled(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, np.arange(len(codes)) - np.repeat(starts, sizes), starts
 
 
+def owners(starts: np.ndarray, n: int) -> np.ndarray:
+    """The word of each of ``n`` codes."""
+    return np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.append(starts, n)))
+
+
 class Memory(dict):
     """Word to row of ``scores``; a new word gets the next row and waits for its score."""
 

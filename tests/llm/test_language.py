@@ -3,7 +3,7 @@ import pytest
 
 from subsight.llm import language as L
 from subsight.llm.kneser_ney import train
-from subsight.llm.wordscores import Memory, spelled, words_of
+from subsight.llm.wordscores import Memory, owners, spelled, words_of
 
 from .conftest import EDGE_ROWS
 
@@ -11,8 +11,7 @@ from .conftest import EDGE_ROWS
 def model(words, classes=("x", "y"), order=4, shared=0):
     names = sorted(words)
     codes, place, starts = spelled(names)
-    weights = np.repeat(np.array([words[w] for w in names], float), [len(w) + 2 for w in names], axis=0)
-    return train(codes, place, weights, list(classes), order, shared)
+    return train(codes, place, owners(starts, len(codes)), np.array([words[w] for w in names], float), list(classes), order, shared)
 
 
 WORDS = {"banana": (5, 0), "bandana": (2, 1), "cabana": (1, 1), "dog": (0, 4), "dodo": (0, 3), "b": (1, 0)}
