@@ -10,7 +10,7 @@ import numpy as np
 from subsight.llm.kneser_ney import Model
 
 #: Words and their characters that a worker remembers scores of; a full memory is emptied, which changes speed only.
-MEMORY_WORDS, MEMORY_CHARS = 1 << 20, 1 << 24
+MEMORY_WORDS, MEMORY_CHARS = 1 << 18, 1 << 22
 _WORD = re.compile(r"[^\W\d_]+")
 _START, _END = "\x02", "\x03"
 
