@@ -141,7 +141,7 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, tile:
     share = min(1.0, SAMPLE / max(1, sum(counts.values())))
     sample = classes.where(F.pmod(F.xxhash64("cid"), F.lit(1 << 20)) < share * (1 << 20)).select("label", "dim", "v").toArrow()
     axes: dict[int, np.ndarray] = {}
-    borders: dict[tuple, list[float]] = {}
+    borders: dict[tuple, list[float]] = {k: [] for k in counts}  # one bin where the sample has no vector
     dims, labels = sample["dim"].to_numpy(), sample["label"].to_pylist()
     for d in {k[1] for k in counts}:
         at = np.flatnonzero(dims == d)

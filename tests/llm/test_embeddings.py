@@ -58,6 +58,16 @@ def test_equals_brute_force(spark, tile, threshold):
     assert Counter(map(tuple, E.embedding_components(frame(spark, rows), threshold, tile).collect())) == brute(rows, threshold)
 
 
+def test_labels_that_the_sample_misses(spark, monkeypatch):
+    """Twelve labels and a second length, of which the sample holds a few vectors or none."""
+    monkeypatch.setattr(E, "SAMPLE", 4)
+    rows = [(i, v, i % 12) for i, v, _ in clusters(5)] + [(900 + i, [1.0, 0.1 * i], 12) for i in range(6)]
+    want = brute(rows, 0.6)
+    assert sum(n for _, n, _, _ in want) > 100
+    for tile in (3, 2048):
+        assert Counter(map(tuple, E.embedding_components(frame(spark, rows), 0.6, tile).collect())) == want
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     v = [1.0, 2.0, 3.0]
