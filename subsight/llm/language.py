@@ -104,17 +104,25 @@ def word_counts(sample: DataFrame) -> DataFrame:
     return sample.select("cls", "text").mapInArrow(run, "cls string, word string, n long").groupBy("cls", "word").agg(F.sum("n").alias("n"))
 
 
-def learning_counts(sample: DataFrame) -> pa.Table:
-    """``(cls, word, n)`` of the rows not held back; of all rows if a class has no other (few or equal texts)."""
-    classes = {r[0] for r in sample.select("cls").distinct().collect()}
+def learning_counts(sample: DataFrame) -> tuple[pa.Table, list[str]]:
+    """``(cls, word, n)`` of the rows not held back, and the classes that have no words there (few or equal texts).
+
+    Those classes alone learn from their held rows, which then calibrate
+    nothing. Classes without any word are in neither.
+    """
     counts = word_counts(sample.where("not held")).toArrow()
-    return counts if classes == set(counts["cls"].to_pylist()) else word_counts(sample).toArrow()
+    more = word_counts(sample.where(F.col("held") & ~F.col("cls").isin(sorted(set(counts["cls"].to_pylist()))))).toArrow()
+    return pa.concat_tables([counts, more]), sorted(set(more["cls"].to_pylist()))
 
 
 def fit_identifier(rows: DataFrame, order: int = ORDER, sample_chars: int = SAMPLE_CHARS) -> Identifier:
-    """Models and rejection limits from ``rows(cls, text)``; only the bounded sample's word counts reach the driver."""
+    """Models and rejection limits from ``rows(cls, text)``; only the bounded sample's word counts reach the driver.
+
+    A language without held rows that its model has not seen has no limit:
+    texts nearest to it are not rejected.
+    """
     sample = stored(learning_sample(rows, sample_chars), "language-sample")
-    got = learning_counts(sample)
+    got, learned_held = learning_counts(sample)
     words, at = np.unique(got["word"].to_numpy().astype(str), return_inverse=True)
     classes = sorted(set(got["cls"].to_pylist()))
     if not classes:
@@ -134,7 +142,8 @@ def fit_identifier(rows: DataFrame, order: int = ORDER, sample_chars: int = SAMP
             yield pa.RecordBatch.from_arrays([pa.array([own[i] for i in ok], pa.int32()), pa.array([float(entropy[i, own[i]]) for i in ok]),
                                               pa.array([int(sizes[i]) for i in ok], pa.int64())], ["cls", "entropy", "size"])
 
-    held = sample.where("held").select("cls", "text").mapInArrow(run, "cls int, entropy double, size long").toArrow()
+    unseen = sample.where(F.col("held") & ~F.col("cls").isin(learned_held))
+    held = unseen.select("cls", "text").mapInArrow(run, "cls int, entropy double, size long").toArrow()
     cls, entropy, size = (held[c].to_numpy() for c in ("cls", "entropy", "size"))
     # Symbols' surprise has a standard deviation of about 2 nats: three of them over the root of the length.
     per_root = 6.0

@@ -101,7 +101,7 @@ def fit_scorer(rows: DataFrame, order: int = ORDER, shared_orders: int = SHARED_
     """
     rows = stored(rows.where(F.col("cls").isin(*CLASSES)), "labelled-texts")  # read several times below
     sample = stored(learning_sample(rows, sample_chars), "toxicity-sample")
-    got = learning_counts(sample)
+    got, learned_held = learning_counts(sample)
     words, at = np.unique(got["word"].to_numpy().astype(str), return_inverse=True)
     cls = got["cls"].to_numpy().astype(str)
     if len(set(cls.tolist())) < 2:
@@ -119,7 +119,8 @@ def fit_scorer(rows: DataFrame, order: int = ORDER, shared_orders: int = SHARED_
             x = draft.features(b.column(1).to_pylist(), memory)
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x[:, k]) for k in range(3))], ["cls", "a", "b", "c"])
 
-    held = sample.where("held").select("cls", "text").mapInArrow(run, "cls string, a double, b double, c double").toArrow()
+    unseen = sample.where(F.col("held") & ~F.col("cls").isin(learned_held))
+    held = unseen.select("cls", "text").mapInArrow(run, "cls string, a double, b double, c double").toArrow()
     y = (held["cls"].to_numpy().astype(str) == "1").astype(float)
     if 0 < y.sum() < len(y):
         draft.weights = _logistic(np.column_stack([held[c].to_numpy() for c in "abc"]), y)

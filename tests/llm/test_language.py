@@ -130,3 +130,24 @@ def test_sample_is_bounded_and_even(documents):
 def test_no_text_is_shuffled_for_the_sample(documents):
     plan = L.learning_sample(documents([(1, "a", "en", "s")]).selectExpr("lang AS cls", "text"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_a_class_without_words_to_learn_from_changes_no_other(spark, monkeypatch):
+    """One language's only text is held, one has no letters; the others learn from and are calibrated on other rows."""
+    from subsight.llm import toxicity as X
+
+    rows = [("en", f"the cat sat on the mat number {w}", w == "seven") for w in ("one", "two", "three", "seven")]
+    rows += [("de", f"der hund ist im haus {w}", w == "sieben") for w in ("eins", "zwei", "drei", "sieben")]
+    rows += [("fr", "le chat est sur la table", True), ("und", "12 34", False), ("und", "", True)]
+    sample = spark.createDataFrame(rows, "cls string, text string, held boolean")
+    counts, late = L.learning_counts(sample)
+    words = {(r["cls"], r["word"]) for r in counts.to_pylist()}
+    assert late == ["fr"] and {c for c, _ in words} == {"de", "en", "fr"} and ("fr", "chat") in words
+    assert ("en", "one") in words and ("en", "seven") not in words and ("de", "sieben") not in words
+    monkeypatch.setattr(L, "learning_sample", lambda *a, **k: sample)
+    learned = L.fit_identifier(sample)
+    assert learned.model.classes == ["de", "en", "fr"] and np.isfinite(learned.limits).tolist() == [True, True, False]
+    # toxicity: a class that has learned from its held rows calibrates no weights
+    few = spark.createDataFrame([("0", "fine words", False), ("0", "other fine words", True), ("1", "grobian", True)], sample.schema)
+    monkeypatch.setattr(X, "learning_sample", lambda *a, **k: few)
+    assert X.fit_scorer(few).weights.tolist() == [4.0, 0.0, 0.0, 0.0]
