@@ -19,8 +19,8 @@ from subsight.llm.wordscores import Memory, owners, spelled, words_of
 ORDER = 5
 #: Each language learns from a hash sample of its rows of about so many characters, calibration included.
 SAMPLE_CHARS = 1_500_000
-#: Rows with longer texts are not sampled for learning (they are predicted, whole).
-SAMPLE_TEXT_CHARS = 200_000
+#: Longer texts are sampled for learning in pieces of so many characters (they are predicted, whole).
+PIECE_CHARS = 20_000
 #: Share of the sample, by hash, held back to calibrate rejection.
 CALIBRATION_SHARE = 0.2
 #: A text is rejected if its cross-entropy is above that of all but this share of the calibration texts, plus the slack.
@@ -72,23 +72,35 @@ class Identifier:
                 (far | ~known).tolist())
 
 
-def learning_sample(rows: DataFrame, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
+def learning_sample(rows: DataFrame, sample_chars: int = SAMPLE_CHARS, piece_chars: int = PIECE_CHARS) -> DataFrame:
     """``(cls, text, held)``: a hash sample of ``rows(cls, text)`` of about ``sample_chars`` characters a class.
 
     The share of a class is its budget over its characters, so the sample is
-    bounded however large the table or a class is; equal texts are taken or
-    left together. ``held`` marks the rows kept back for calibration. The
-    shares, one number per class as the models have one column per class,
-    are literals of the filter: no text is shuffled.
+    bounded however large the table or a class is, but takes in the piece of
+    least hash, so no class is left without one; equal texts are taken or
+    left together. Texts of over ``piece_chars`` are drawn in pieces of that
+    length (a word on a border counts as two). ``held`` marks the rows kept
+    back for calibration, all pieces of a text or none. The shares, one
+    number per class as the models have one column per class, are literals
+    of the filter: no text is shuffled.
     """
-    usable = rows.where("cls is not null and text is not null").where(F.length("text") <= SAMPLE_TEXT_CHARS)
-    chars = usable.groupBy("cls").agg(F.sum(F.length("text")).alias("chars")).collect()
-    shares = F.create_map(*[F.lit(x) for r in chars for x in (r["cls"], min(1.0, sample_chars / max(1, r["chars"])))]) \
+    scale = 1 << 20
+    usable = rows.where("cls is not null and text is not null") \
+        .select("cls", "text", F.xxhash64("text", F.lit("sample")).alias("key"), F.length("text").alias("size"))
+    draw = lambda i: F.pmod(F.when(i == 0, F.col("key")).otherwise(F.xxhash64("key", i)), F.lit(scale))
+    pieces = F.sequence(F.lit(0), F.greatest(F.ceil(F.col("size") / piece_chars), F.lit(1)).cast("int") - 1)
+    least = F.min(F.array_min(F.transform(pieces, draw))).alias("least")
+    chars = usable.groupBy("cls").agg(F.sum("size").alias("chars"), least).collect()
+    shares = F.create_map(*[F.lit(x) for r in chars for x in
+                            (r["cls"], min(1.0, max(sample_chars / max(1, r["chars"]), (r["least"] + 1) / scale)))]) \
         if chars else F.create_map().cast("map<string,double>")
-    draw = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 20)) / (1 << 20)
-    held = F.pmod(F.xxhash64("text", F.lit("held")), F.lit(1 << 20)) / (1 << 20) < CALIBRATION_SHARE
-    return usable.where(draw < F.try_element_at(shares, F.col("cls"))) \
-        .select("cls", "text", held.alias("held"))
+    drawn = F.filter(pieces, lambda i: draw(i) / scale < F.col("share"))
+    held = F.pmod(F.xxhash64("text", F.lit("held")), F.lit(scale)) / scale < CALIBRATION_SHARE
+    piece = F.when(F.col("size") <= piece_chars, F.col("text")).otherwise(F.col("text").substr(F.col("i") * piece_chars + 1, F.lit(piece_chars)))
+    # Outer, so that the optimizer does not evaluate the draws, and with them the hash of the text, once more in a filter.
+    return usable.withColumn("share", F.try_element_at(shares, F.col("cls"))) \
+        .select("cls", "text", "size", F.explode_outer(drawn).alias("i")).where("i is not null") \
+        .select("cls", piece.alias("text"), held.alias("held"))
 
 
 def word_counts(sample: DataFrame) -> DataFrame:
@@ -115,13 +127,14 @@ def learning_counts(sample: DataFrame) -> tuple[pa.Table, list[str]]:
     return pa.concat_tables([counts, more]), sorted(set(more["cls"].to_pylist()))
 
 
-def fit_identifier(rows: DataFrame, order: int = ORDER, sample_chars: int = SAMPLE_CHARS) -> Identifier:
+def fit_identifier(rows: DataFrame, order: int = ORDER, sample_chars: int = SAMPLE_CHARS,
+                   piece_chars: int = PIECE_CHARS) -> Identifier:
     """Models and rejection limits from ``rows(cls, text)``; only the bounded sample's word counts reach the driver.
 
     A language without held rows that its model has not seen has no limit:
     texts nearest to it are not rejected.
     """
-    sample = stored(learning_sample(rows, sample_chars), "language-sample")
+    sample = stored(learning_sample(rows, sample_chars, piece_chars), "language-sample")
     got, learned_held = learning_counts(sample)
     words, at = np.unique(got["word"].to_numpy().astype(str), return_inverse=True)
     classes = sorted(set(got["cls"].to_pylist()))

@@ -21,6 +21,8 @@ ORDER = 6
 SHARED_ORDERS = 2
 #: Each class learns from a hash sample of its rows of about so many characters, calibration included.
 SAMPLE_CHARS = 8_000_000
+#: Longer texts are sampled in pieces of so many characters.
+PIECE_CHARS = 200_000
 CLASSES = ["0", "1"]
 #: Of each class a hash sample of about so many labelled ids is joined to the texts.
 SAMPLE_IDS = 2500
@@ -91,7 +93,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, sample_ids: int = SAMPLE_
 
 
 def fit_scorer(rows: DataFrame, order: int = ORDER, shared_orders: int = SHARED_ORDERS,
-               sample_chars: int = SAMPLE_CHARS) -> Scorer:
+               sample_chars: int = SAMPLE_CHARS, piece_chars: int = PIECE_CHARS) -> Scorer:
     """A scorer from ``rows(cls, text)`` with cls "0" or "1".
 
     The models learn from a bounded hash sample per class; the weights that
@@ -100,7 +102,7 @@ def fit_scorer(rows: DataFrame, order: int = ORDER, shared_orders: int = SHARED_
     make every score 0.
     """
     rows = stored(rows.where(F.col("cls").isin(*CLASSES)), "labelled-texts")  # read several times below
-    sample = stored(learning_sample(rows, sample_chars), "toxicity-sample")
+    sample = stored(learning_sample(rows, sample_chars, piece_chars), "toxicity-sample")
     got, learned_held = learning_counts(sample)
     words, at = np.unique(got["word"].to_numpy().astype(str), return_inverse=True)
     cls = got["cls"].to_numpy().astype(str)

@@ -151,3 +151,18 @@ def test_a_class_without_words_to_learn_from_changes_no_other(spark, monkeypatch
     few = spark.createDataFrame([("0", "fine words", False), ("0", "other fine words", True), ("1", "grobian", True)], sample.schema)
     monkeypatch.setattr(X, "learning_sample", lambda *a, **k: few)
     assert X.fit_scorer(few).weights.tolist() == [4.0, 0.0, 0.0, 0.0]
+
+
+def test_long_texts_are_learned_from(spark, documents):
+    """A language of one long text, and a budget below any text: each language has a model and a bounded sample."""
+    rows = [(i, f"text number {i} of the language " * 5, "en", "s") for i in range(300)]
+    rows += [(1000, " ".join(f"langer satz mit wort{i} darin" for i in range(10_000)), "de", "s")]
+    frame = documents(rows).selectExpr("lang AS cls", "text")
+    sample = L.learning_sample(frame, sample_chars=60_000, piece_chars=2000).toPandas()
+    size = sample.assign(n=sample.text.str.len()).groupby("cls").n.agg(["sum", "max"])
+    assert 30_000 < size["sum"]["de"] < 90_000 and size["max"]["de"] == 2000 and sample[sample.cls == "de"].held.nunique() == 1
+    assert all(rows[-1][1].find(t) % 2000 == 0 for t in sample[sample.cls == "de"].text)
+    assert set(L.learning_sample(frame, sample_chars=1).toPandas().cls) == {"de", "en"}
+    learned = L.fit_identifier(frame, sample_chars=60_000)
+    got = L.identify(documents([(1, "ein langer satz mit wort", "de", "s"), (2, "the number of the text", "en", "s")]), learned, [])
+    assert [r.lang_pred for r in got.collect()] == ["de", "en"]
