@@ -75,10 +75,11 @@ class Identifier:
 def learning_sample(rows: DataFrame, sample_chars: int = SAMPLE_CHARS, piece_chars: int = PIECE_CHARS) -> DataFrame:
     """``(cls, text, held)``: a hash sample of ``rows(cls, text)`` of about ``sample_chars`` characters a class.
 
-    The share of a class is its budget over its characters, so the sample is
-    bounded however large the table or a class is, but takes in the piece of
-    least hash, so no class is left without one; equal texts are taken or
-    left together. Texts of over ``piece_chars`` are drawn in pieces of that
+    The share of a class is its budget over the characters of its distinct
+    texts, so the distinct rows of the sample are bounded however large the
+    table or a class is, but it takes in the piece of least hash, so no class
+    is left without one; equal texts are taken or left together, and callers
+    collapse them by ``distinct`` (before the shuffle, within each task). Texts of over ``piece_chars`` are drawn in pieces of that
     length (a word on a border counts as two). ``held`` marks the rows kept
     back for calibration, all pieces of a text or none. The shares, one
     number per class as the models have one column per class, are literals
@@ -90,7 +91,7 @@ def learning_sample(rows: DataFrame, sample_chars: int = SAMPLE_CHARS, piece_cha
     draw = lambda i: F.pmod(F.when(i == 0, F.col("key")).otherwise(F.xxhash64("key", i)), F.lit(scale))
     pieces = F.sequence(F.lit(0), F.greatest(F.ceil(F.col("size") / piece_chars), F.lit(1)).cast("int") - 1)
     least = F.min(F.array_min(F.transform(pieces, draw))).alias("least")
-    chars = usable.groupBy("cls").agg(F.sum("size").alias("chars"), least).collect()
+    chars = usable.select("cls", "key", "size").distinct().groupBy("cls").agg(F.sum("size").alias("chars"), least).collect()
     shares = F.create_map(*[F.lit(x) for r in chars for x in
                             (r["cls"], min(1.0, max(sample_chars / max(1, r["chars"]), (r["least"] + 1) / scale)))]) \
         if chars else F.create_map().cast("map<string,double>")
@@ -134,7 +135,7 @@ def fit_identifier(rows: DataFrame, order: int = ORDER, sample_chars: int = SAMP
     A language without held rows that its model has not seen has no limit:
     texts nearest to it are not rejected.
     """
-    sample = stored(learning_sample(rows, sample_chars, piece_chars), "language-sample")
+    sample = stored(learning_sample(rows, sample_chars, piece_chars).distinct(), "language-sample")
     got, learned_held = learning_counts(sample)
     words, at = np.unique(got["word"].to_numpy().astype(str), return_inverse=True)
     classes = sorted(set(got["cls"].to_pylist()))

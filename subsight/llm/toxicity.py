@@ -102,7 +102,7 @@ def fit_scorer(rows: DataFrame, order: int = ORDER, shared_orders: int = SHARED_
     make every score 0.
     """
     rows = stored(rows.where(F.col("cls").isin(*CLASSES)), "labelled-texts")  # read several times below
-    sample = stored(learning_sample(rows, sample_chars, piece_chars), "toxicity-sample")
+    sample = stored(learning_sample(rows, sample_chars, piece_chars).distinct(), "toxicity-sample")
     got, learned_held = learning_counts(sample)
     words, at = np.unique(got["word"].to_numpy().astype(str), return_inverse=True)
     cls = got["cls"].to_numpy().astype(str)

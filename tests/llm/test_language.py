@@ -166,3 +166,14 @@ def test_long_texts_are_learned_from(spark, documents):
     learned = L.fit_identifier(frame, sample_chars=60_000)
     got = L.identify(documents([(1, "ein langer satz mit wort", "de", "s"), (2, "the number of the text", "en", "s")]), learned, [])
     assert [r.lang_pred for r in got.collect()] == ["de", "en"]
+
+
+def test_copies_neither_fill_nor_use_up_the_sample(documents, monkeypatch):
+    """Two texts make up two thirds of the rows: the others are drawn as without them, and a text trains once."""
+    rows = [(i, f"text number {i} " * 20, "en", "s") for i in range(2000)]
+    rows += [(5000 + i, f"copied text {i % 2} " * 20, "en", "s") for i in range(4000)]
+    taken = []
+    monkeypatch.setattr(L, "stored", lambda df, name: taken.append(df.cache()) or taken[-1])
+    L.fit_identifier(documents(rows).selectExpr("lang AS cls", "text"), sample_chars=40_000)
+    texts = taken[0].toPandas().text
+    assert texts.is_unique and 25_000 < texts.str.len().sum() < 55_000
