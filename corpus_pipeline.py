@@ -15,7 +15,7 @@ from subsight.llm.language import keep_identified
 from subsight.llm.mixing import training_order
 from subsight.llm.pii import redact_pii
 from subsight.llm.queries import learned_identifier
-from subsight.llm.simhash import simhash_components
+from subsight.llm.simhash import kept_copies
 from subsight.llm.tables import stored, table
 from subsight.llm.winnowing import contamination
 
@@ -26,14 +26,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies stays: the one with the least ``doc_id``.
+    """One document of each component of near copies stays: the one with the least ``doc_id``, nulls last.
 
-    Rows that repeat a kept ``doc_id`` all stay; so do rows without an id
-    whose component has none.
+    Of several texts with that id in the component, the one of least hash
+    stays; of several rows with that id and text, the least by its columns.
     """
-    found = simhash_components(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi")
+    kept, again = kept_copies(docs)
+    of = lambda keys: docs.doc_id.eqNullSafe(keys.kept_id) & (F.xxhash64(docs.text) == keys.kept_key)
+    if again.isEmpty():
+        return docs.join(kept, of(kept), "left_semi")
+    once = kept.join(again.select(F.col("kept_id").alias("id"), F.col("kept_key").alias("key")),
+                     F.col("kept_id").eqNullSafe(F.col("id")) & (F.col("kept_key") == F.col("key")), "left_anti")
+    repeated = docs.join(again, of(again), "left_semi")
+    least = repeated.groupBy(repeated.doc_id, F.xxhash64(repeated.text)).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return docs.join(once, of(once), "left_semi").unionByName(least.select("row.*"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

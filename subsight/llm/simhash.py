@@ -42,15 +42,17 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 words: int = SHINGLE_WORDS) -> DataFrame:
-    """``(id, fp)`` per row of ``docs``; whole texts, in Arrow batches."""
+                 words: int = SHINGLE_WORDS, keyed: bool = False) -> DataFrame:
+    """``(id, fp)`` per row of ``docs``; whole texts, in Arrow batches. If ``keyed``, also the text's hash as ``text_key``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [fingerprint(t.as_py(), words) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64()), *b.columns[2:]], ["id", "fp", *b.schema.names[2:]])
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "id long, fp long")
+    if keyed:
+        src = src.withColumn("text_key", F.xxhash64("text"))
+    return src.mapInArrow(run, "id long, fp long" + (", text_key long" if keyed else ""))
 
 
 def _probes(fps: DataFrame) -> DataFrame:
@@ -135,3 +137,21 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     per_fp = stored(per_fp, "components")  # then the last join shuffles both sides and can split the rows of one fingerprint
     return rows.join(per_fp, "fp").select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def kept_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
+                max_bits: int = MAX_BITS, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
+    """``(kept_id, kept_key)``, the row of each component that stays, and those of them that several rows of ``docs`` have.
+
+    That row has the least id, nulls last, and of its texts the one of least
+    ``xxhash64``, the key.
+    """
+    rows = stored(fingerprints(docs, id_col, text_col, words, keyed=True), "fingerprints")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key"))
+    fps = rows.groupBy("fp").agg(first.alias("first"))
+    nodes = components(fingerprint_links(fps.select("fp"), max_bits, bucket))
+    of = fps.join(nodes, fps.fp == nodes.node, "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    kept = stored(of.select(F.col("first.id").alias("kept_id"), F.col("first.text_key").alias("kept_key")), "kept")
+    many = rows.groupBy("id", "text_key").count().where("count > 1")
+    again = kept.join(many, kept.kept_id.eqNullSafe(many.id) & (kept.kept_key == many.text_key), "left_semi")
+    return kept, stored(again, "kept-again")

@@ -97,3 +97,16 @@ def test_empty_documents_pass_every_stage(spark, documents):
     for name, stage in P.STAGES:
         docs = stored(stage(spark, docs, SMALL), name)
         assert docs.count() == 0
+
+
+def test_one_document_of_each_component(spark, documents):
+    """Components without ids, rows that repeat an id, and an id with two texts."""
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(300)) for w in "abcd")
+    lone = [(None, a, "en", "s")] * 3 + [(None, a.upper(), "en", "s")]
+    repeated = [(4, b, "en", "s"), (4, b, "de", "t"), (4, b.upper(), "en", "s"), (9, b, "en", "s"), (None, b, "en", "s")]
+    two = [(3, c, "en", "s"), (5, c, "en", "s"), (5, d, "en", "s")]
+    given = lone + repeated + two + [(5, "some text that no other row has", "en", "s")]
+    out = P.simhash_dedup(spark, documents(given), SMALL)
+    assert out.columns == documents(given).columns
+    assert sorted((r.doc_id or 0, r.text[:2].lower()) for r in out.collect()) == [(0, "a0"), (3, "c0"), (4, "b0"), (5, "d0"), (5, "so")]
+    assert Counter(rows(out)) <= Counter(given)
