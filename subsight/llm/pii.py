@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Iterator, Sequence
 from functools import cache
 
@@ -27,6 +28,18 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+# Characters of addresses beyond the base pattern: any letter, digit or mark, but not those of scripts written without
+# spaces, which only count in a word that has no address without them.
+_MARKS = "".join(c for c in map(chr, range(0x300, 0x3100)) if unicodedata.category(c)[0] == "M") + "\u200c\u200d"
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\ud7ff\uf900-\ufaff\uff66-\uffdc\U00020000-\U0003ffff"
+
+
+def _address(without: str) -> re.Pattern:
+    letter = f"(?:[A-Za-z0-9]|(?![\x00-\x7f{without}])[\\w{_MARKS}])"
+    return re.compile(f"(?<![._%+-])(?<!{letter})(?:{letter}|[._%+-])++@(?:{letter}|-)++(?:\\.(?:{letter}|-)++)+")
+
+
+_ADDRESSES = (_address(_UNSPACED), _address(""))
 _TRIGGER = re.compile(r"[0-9@]")
 _SPACE = frozenset("\x20\t\n\x0b\x0c\r")
 _EDGES = re.compile(r"[0-9A-Za-z+(].*[0-9A-Za-z]", re.S)
@@ -305,6 +318,15 @@ def segments_of(text: str) -> list[list[tuple[int, int]]]:
     return out
 
 
+def _wider_emails(text: str, start: int, end: int) -> list[Span]:
+    """Addresses in the word from ``start`` to ``end`` with characters outside the base pattern, which cuts or misses them."""
+    word = text[start:end]
+    if "@" not in word or word.isascii():
+        return []
+    found = next((f for p in _ADDRESSES if (f := [m.span() for m in p.finditer(word)])), [])
+    return [(start + a, 0, start + z) for a, z in found if not word[a:z].isascii()]
+
+
 def _added(text: str, run: Sequence[tuple[int, int]], path: np.ndarray, base: Sequence[Span]) -> list[Span]:
     """Spans of a decoded run that pass their kind's check and overlap no base span."""
     out, i = [], 0
@@ -345,6 +367,8 @@ def find_spans(texts: Sequence[str | None], field: Field) -> list[tuple[list[Spa
         for run in segments_of(text) if text else []:
             waiting.append((i, run))
             size += len(run)
+            out[i][1].extend(s for a, z in run for s in _wider_emails(text, a, z))
+        out[i][1].sort()
         if size >= BATCH_WORDS:
             settle()
             size = 0

@@ -119,3 +119,24 @@ def test_redaction(edge_documents, documents):
     assert got[1].text == "é <EMAIL>, <IP> and <PHONE> <CARD>!" and got[2].text is None and got[3].text == "nothing 12 here"
     assert got[1].score == "x" and pii.redact_pii(edge_documents).columns == edge_documents.columns
     assert pii.redacted("0123456789", [(1, 1, 4), (2, 2, 6), (7, 0, 8)]) == "0<IP>6<EMAIL>89"
+
+
+@pytest.mark.parametrize("text, want", [
+    ("mail müller@example.de now", "mail <EMAIL> now"),
+    ("mail josé@example.com, or call", "mail <EMAIL>, or call"),
+    ("write to <élan.o'@x.fr> jose\u0301@example.com today", "write to <élan.o'@x.fr> <EMAIL> today"),
+    ("send it to bob@exämple.de or ann@münchen.example.org.", "send it to <EMAIL> or <EMAIL>."),
+    ("contact иван@почта.рф please", "contact <EMAIL> please"),
+    ("请联系bob@example.com谢谢", "请联系<EMAIL>谢谢"),
+    ("contact 用户@example.com please", "contact <EMAIL> please"),
+    ("contact bob@example.com please", "contact <EMAIL> please"),
+    ("contact é@b or ü@ or @ß please", "contact é@b or ü@ or @ß please"),
+])
+def test_emails_beyond_the_base_pattern(text, want):
+    (found, all_), = pii.find_spans([text], pii.trained())
+    assert pii.redacted(text, all_) == want and found == base(text) and set(found) <= set(all_)
+
+
+def test_wider_emails_take_linear_time():
+    for text in ("é" * 300_000 + "@", "é@é." * 75_000, "é@" * 150_000, "é." * 150_000 + "@b", "a@" + "é." * 150_000 + "@"):
+        pii.find_spans([text], pii.trained())
