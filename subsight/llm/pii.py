@@ -19,6 +19,8 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 #: Words at each side of a word with a digit or @ that its segment takes in.
 CONTEXT = 2
+#: Shapes and scores of longer words are not remembered.
+LONG_WORD = 80
 #: Segments are decoded together once they hold so many words.
 BATCH_WORDS = 1 << 14
 
@@ -92,11 +94,15 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
-@cache
 def _shape(word: str) -> tuple[str, str, str]:
+    """The shapes of a whole word, remembered if it is short."""
+    return _outline(word) if len(word) > LONG_WORD else _remembered(word)
+
+
+def _outline(word: str) -> tuple[str, str, str]:
     """Detailed shape (run lengths to 4, then by range), plain shape, and range of the digit count."""
     detailed, plain = [], []
-    for run in re.finditer(r"[0-9]+|[^\W\d_]+|[\s\S]", word[:80]):
+    for run in re.finditer(r"[0-9]+|[^\W\d_]+|[\s\S]", word):
         s, n = run.group(), run.end() - run.start()
         kind = "9" if s[0].isdigit() and s.isascii() else "a" if s[0].isalpha() else s
         detailed.append(kind * n if kind == "9" and n <= 4 else kind + ("*" if n <= 11 else "+" if n <= 19 else "#") if kind == "9" else kind)
@@ -105,6 +111,9 @@ def _shape(word: str) -> tuple[str, str, str]:
     return "".join(detailed), "".join(plain), "0" if n == 0 else str(n) if n <= 4 else "5-8" if n <= 8 else "9-11" if n <= 11 else "12-15" if n <= 15 else "16-19" if n <= 19 else "20"
 
 
+_remembered = cache(_outline)
+
+
 def _own(word: str) -> list[str]:
     detailed, plain, count = _shape(word)
     bare = plain.strip(".,;:!?")
@@ -142,10 +151,13 @@ class Field:
         detailed, plain, count = _shape(word) if word else ("", "^" if kind == "l" else "$", "")
         key = (kind, f"{detailed} {count}" if kind == "o" else plain)
         if key not in self.known:
+            names = _own(word) if kind == "o" else [f"{kind} {plain}"]
+            part = self.weights[[self.features[f] for f in names if f in self.features]].sum(axis=0)
+            if len(word) > LONG_WORD:
+                return part
             if len(self.known) > 1 << 16:
                 self.known.clear()
-            names = _own(word) if kind == "o" else [f"{kind} {plain}"]
-            self.known[key] = self.weights[[self.features[f] for f in names if f in self.features]].sum(axis=0)
+            self.known[key] = part
         return self.known[key]
 
     def scores(self, words: Sequence[str]) -> np.ndarray:

@@ -137,6 +137,15 @@ def test_emails_beyond_the_base_pattern(text, want):
     assert pii.redacted(text, all_) == want and found == base(text) and set(found) <= set(all_)
 
 
+def test_shapes_are_those_of_whole_words():
+    """What begins alike and ends otherwise has another shape, on both sides of the length that is remembered."""
+    for n in (10, 79, 90, 5000):
+        assert pii._shape("a" * n + "@example.de")[1] == "a@a.a" != pii._shape("a" * n)[1]
+        assert pii._shape("-" * n + "1234 5")[:2] == ("-" * n + "9999 9", "-" * n + "9 9")
+    field, long = pii.trained(), "a" * 90 + "@example.de"
+    assert (field.scores(["mail", long, "now"]) == field.scores(["mail", "ann@example.de", "now"])).all()
+
+
 def test_wider_emails_take_linear_time():
     for text in ("é" * 300_000 + "@", "é@é." * 75_000, "é@" * 150_000, "é." * 150_000 + "@b", "a@" + "é." * 150_000 + "@"):
         pii.find_spans([text], pii.trained())
