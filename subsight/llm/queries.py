@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,7 @@ from subsight.llm.embeddings import embedding_components
 from subsight.llm.language import Identifier, fit_identifier, identify
 from subsight.llm.mixing import mix_documents
 from subsight.llm.pii import find_pii
+from subsight.llm.repair import damaged, digests, repair
 from subsight.llm.simhash import simhash_components
 from subsight.llm.tables import stored, table
 from subsight.llm.tokens import token_counts
@@ -85,6 +87,21 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
+#: Digest of the empty string.
+_NOTHING = hashlib.sha256(b"").hexdigest()
+
+
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    done = repair(damaged(given).where("copy is not null"))
+    audits, hashes = done.audits.withColumnRenamed("conv_id", "a_id"), digests(done.rows).withColumnRenamed("conv_id", "d_id")
+    every = given.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    out = every.join(audits, every.conv_id.eqNullSafe(audits.a_id), "left").join(hashes, every.conv_id.eqNullSafe(hashes.d_id), "left")
+    return out.select("conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c)
+                                   for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+                      F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(_NOTHING)).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_pii": op2_pii,
@@ -96,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_urls": op8_urls,
     "op9_chat": op9_chat,
     "op10_winnowing": op10_winnowing,
+    "op11_repair": op11_repair,
 }
 SQL: dict[str, str] = {
     "op4_mixing": mixing_sql.MIX,
