@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subsight.llm import mixing_sql, urls_sql, winnowing_sql
+from subsight.llm import collocations_sql, mixing_sql, repair_sql, urls_sql, winnowing_sql
 from subsight.llm.chat import format_windows, read_back
+from subsight.llm.collocations import collocations
 from subsight.llm.embeddings import embedding_components
 from subsight.llm.language import Identifier, fit_identifier, identify
 from subsight.llm.mixing import mix_documents
@@ -102,6 +103,10 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(_NOTHING)).alias("repaired_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_pii": op2_pii,
@@ -114,9 +119,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat": op9_chat,
     "op10_winnowing": op10_winnowing,
     "op11_repair": op11_repair,
+    "op12_collocations": op12_collocations,
 }
 SQL: dict[str, str] = {
     "op4_mixing": mixing_sql.MIX,
     "op8_urls": urls_sql.VERDICTS,
     "op10_winnowing": winnowing_sql.CONTAMINATION,
+    "op11_repair": repair_sql.REPAIR,
+    "op12_collocations": collocations_sql.COLLOCATIONS,
 }

@@ -20,6 +20,7 @@ COLUMNS = {
     "op7_tokens": (["doc_id", "n_bytes", "n_tokens", "over_limit"], "documents"),
     "op8_urls": (["page_id", "host", "path", "rule", "verdict"], "pages"),
     "op9_chat": (["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"], "conversations"),
+    "op12_collocations": (["lang", "rank", "phrase", "a", "l", "r", "n", "score"], "documents"),
     "op11_repair": (["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"], "conversations"),
     "op10_winnowing": (["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"], "documents"),
 }
@@ -36,7 +37,9 @@ def test_contract(spark, name):
     got = queries()[name](spark, SMALL)
     assert [c for c in got.columns if c in columns] == columns
     given = spark.read.parquet(f"{SMALL}/{table}.parquet")
-    if name == "op11_repair":
+    if name == "op12_collocations":
+        assert got.groupBy("lang").max("rank").where("`max(rank)` > 2000").isEmpty()
+    elif name == "op11_repair":
         assert got.count() == given.select("conv_id").distinct().count()
     elif name == "op9_chat":
         assert got.count() == given.select("conv_id").distinct().count() + 1
