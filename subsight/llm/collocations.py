@@ -21,6 +21,8 @@ SHARE = 50
 TOP = 2000
 #: Frequent words up to this number get dense ids, from a sorted array of their hashes that tasks hold; beyond it hashes are the ids.
 DENSE_WORDS = (1 << 21) - 2
+#: Parts of a language that are ranked first, each to its own top, so the last ranking sees ``SALTS * top`` rows of it at most.
+SALTS = 64
 #: Distinct words a task counts before it hands them on, or remembers the ids of.
 HELD_WORDS = 1 << 19
 #: Texts are cut into words so many bytes at a time.
@@ -264,6 +266,9 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, share: int = SHARE
     layout = Layout(id_bits, min(quotient_bits, 3 * id_bits))
     grams = stored(ngram_counts(texts, layout, spark.sparkContext.broadcast(table), clashes, min_count, hash_bits), "ngrams")
     scored = _scored(grams, vocabulary, share)
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    ranked = scored.withColumn("rank", place.cast("long")).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    salted = scored.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    some = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("rank") <= top)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")
+    ranked = some.drop("salt").withColumn("rank", place).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
