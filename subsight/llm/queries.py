@@ -16,6 +16,7 @@ from subsight.llm.language import Identifier, fit_identifier, identify
 from subsight.llm.mixing import mix_documents
 from subsight.llm.pii import find_pii
 from subsight.llm.repair import damaged, digests, repair
+from subsight.llm.sharding import balanced_shards
 from subsight.llm.simhash import simhash_components
 from subsight.llm.tables import stored, table
 from subsight.llm.tokens import token_counts
@@ -107,6 +108,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balanced_shards(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_pii": op2_pii,
@@ -120,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_winnowing": op10_winnowing,
     "op11_repair": op11_repair,
     "op12_collocations": op12_collocations,
+    "op13_sharding": op13_sharding,
 }
 SQL: dict[str, str] = {
     "op4_mixing": mixing_sql.MIX,

@@ -21,6 +21,7 @@ COLUMNS = {
     "op8_urls": (["page_id", "host", "path", "rule", "verdict"], "pages"),
     "op9_chat": (["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"], "conversations"),
     "op12_collocations": (["lang", "rank", "phrase", "a", "l", "r", "n", "score"], "documents"),
+    "op13_sharding": (["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"], "documents"),
     "op11_repair": (["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"], "conversations"),
     "op10_winnowing": (["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"], "documents"),
 }
