@@ -5,8 +5,9 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -111,7 +112,8 @@ def _outline(word: str) -> tuple[str, str, str]:
     return "".join(detailed), "".join(plain), "0" if n == 0 else str(n) if n <= 4 else "5-8" if n <= 8 else "9-11" if n <= 11 else "12-15" if n <= 15 else "16-19" if n <= 19 else "20"
 
 
-_remembered = cache(_outline)
+#: Bounded: a worker that reads ever new numbers and ids keeps no more than so many of their shapes.
+_remembered = lru_cache(1 << 16)(_outline)
 
 
 def _own(word: str) -> list[str]:
@@ -339,9 +341,23 @@ def _wider_emails(text: str, start: int, end: int) -> list[Span]:
     return [(start + a, 0, start + z) for a, z in found if not word[a:z].isascii()]
 
 
-def _added(text: str, run: Sequence[tuple[int, int]], path: np.ndarray, base: Sequence[Span]) -> list[Span]:
-    """Spans of a decoded run that pass their kind's check and overlap no base span."""
+def _covered(base: Sequence[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of what sorted spans cover, in order and apart."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, _, z in base:
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], z)
+        else:
+            starts.append(a)
+            ends.append(z)
+    return starts, ends
+
+
+def _added(text: str, run: Sequence[tuple[int, int]], path: np.ndarray, covered: tuple[list[int], list[int]]) -> list[Span]:
+    """Spans of a decoded run that pass their kind's check and overlap nothing ``covered``."""
     out, i = [], 0
+    starts, ends = covered
     while i < len(run):
         label = LABELS[path[i]]
         if label == "O":
@@ -352,8 +368,10 @@ def _added(text: str, run: Sequence[tuple[int, int]], path: np.ndarray, base: Se
             j += 1
         m = _EDGES.search(text, run[i][0], run[j - 1][1])
         kind = label[2:]
-        if m and kind != "email" and valid(kind, m.group()) and not any(a < m.end() and m.start() < z for a, _, z in base):
-            out.append((m.start(), KINDS.index(kind), m.end()))
+        if m and kind != "email" and valid(kind, m.group()):
+            k = bisect_right(ends, m.start())  # the first that ends behind the span's start
+            if k == len(starts) or starts[k] >= m.end():
+                out.append((m.start(), KINDS.index(kind), m.end()))
         i = j
     return out
 
@@ -366,11 +384,14 @@ def find_spans(texts: Sequence[str | None], field: Field) -> list[tuple[list[Spa
 
     def settle() -> None:
         paths = field.decode([[texts[i][a:z] for a, z in run] for i, run in waiting])
+        covered: dict[int, tuple[list[int], list[int]]] = {}
         for (i, run), path in zip(waiting, paths):
             if path.any():
-                base, found = out[i]
-                found += _added(texts[i], run, path, base)
-                found.sort()
+                if i not in covered:
+                    covered[i] = _covered(out[i][0])
+                out[i][1].extend(_added(texts[i], run, path, covered[i]))
+        for i in covered:
+            out[i][1].sort()
         waiting.clear()
 
     for i, text in enumerate(texts):
@@ -414,8 +435,10 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     The counts and the digest are those of the base patterns; ``spans`` has
     the base spans and those the field adds. Positions are code points, end
-    exclusive. Null counts as empty text, with no spans. Repeated rows keep a
-    row each; an empty table gives none; other columns are not read.
+    exclusive, ordered by start, then kind. Null counts as empty text, with
+    no spans. Very long texts are read whole, in time linear in their length
+    and spans. Repeated rows keep a row each; an empty table gives none;
+    other columns are not read.
     """
     field = trained()
 

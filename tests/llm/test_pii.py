@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -149,3 +150,32 @@ def test_shapes_are_those_of_whole_words():
 def test_wider_emails_take_linear_time():
     for text in ("é" * 300_000 + "@", "é@é." * 75_000, "é@" * 150_000, "é." * 150_000 + "@b", "a@" + "é." * 150_000 + "@"):
         pii.find_spans([text], pii.trained())
+
+
+def test_many_valid_spans_take_linear_time():
+    """100,000 addresses and as many phone numbers in one text: every span is found, none in time that grows with the others."""
+    text = " ".join(f"a{i}@example.com +49 30 {1000000 + i}" for i in range(100_000))
+    began = time.process_time()
+    (base, found), = pii.find_spans([text], pii.trained())
+    assert time.process_time() - began < 60
+    assert sum(k == 0 for _, k, _ in base) == 100_000 and set(base) <= set(found)
+
+
+def test_remembered_shapes_are_bounded():
+    for i in range(1 << 17):
+        pii._shape(f"x{i}")
+    assert pii._remembered.cache_info().currsize <= 1 << 16
+
+
+def test_added_spans_overlap_no_base_span():
+    """The search in the covered stretches equals a look at every base span."""
+    r = random.Random(2)
+    for _ in range(300):
+        base = sorted((a := r.randrange(60), r.randrange(4), a + r.randrange(1, 8)) for _ in range(r.randrange(6)))
+        base = sorted(set(base))
+        starts, ends = pii._covered(base)
+        assert all(z <= a for z, a in zip(ends, starts[1:]))
+        for s in range(60):
+            for e in range(s + 1, s + 6):
+                k = pii.bisect_right(ends, s)
+                assert (k < len(starts) and starts[k] < e) == any(a < e and s < z for a, _, z in base)
