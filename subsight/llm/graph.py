@@ -10,12 +10,12 @@ from subsight.llm.tables import stored
 
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(e: DataFrame) -> DataFrame:
-    least = e.groupBy("u").agg(F.min("v").alias("m"))
+    least = stored(e.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = e.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -27,9 +27,11 @@ def _mark(e: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of ``edges(u, v)``: root is the least node reachable.
 
-    Alternating large-star and small-star rounds (each a map-side combined
-    minimum and an equi-join that adaptive execution can split at hub
-    nodes), until the edge set stands still. The edge set never grows, each
+    Alternating large-star and small-star rounds, each a map-side combined
+    minimum and an equi-join, until the edge set stands still. The minima are
+    written first: both sides of the join are then plain shuffles, so where
+    the minima are not broadcast adaptive execution splits the edges of a hub
+    over several tasks. The edge set never grows, each
     round is a written table, and only an edge count and a checksum reach
     the driver. Self-loops and repeated edges are allowed, nulls are dropped.
     """

@@ -150,7 +150,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, words: int = WINDOW_WOR
     windows of items with a null id count as hits, but not as items. Rows
     that repeat an id and text get equal results, one row each; rows that
     share an id (or have none) with other texts are judged by their own
-    text, told apart by ``text_key``. Other columns are not read.
+    text, told apart by ``text_key``. Very long texts are read whole, about a
+    megabyte of words at a time or one text. Other columns are not read.
     """
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     src = src.select("id", F.xxhash64("text").alias("text_key"), "text")
@@ -160,7 +161,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, words: int = WINDOW_WOR
     rows = stored(_document_rows(src, lengths, gram, _filter(items)), "candidates")
     hits = rows.where(F.size("hits") > 0).select("id", "text_key", F.explode("hits").alias("h")) \
         .select("id", "text_key", "h.fp", "h.window", "h.start", (F.col("h.start") + F.col("h.words")).alias("end")).distinct()
-    windows = items.select("fp", "window").distinct()
+    # Written first, so that both sides of the join are plain shuffles and a window that many documents have can be split.
+    windows = stored(items.select("fp", "window").distinct(), "distinct-windows")
     spans = hits.join(windows, ["fp", "window"], "left_semi")
     mine = Window.partitionBy("id", "text_key").orderBy("start", "end")
     reach = F.max("end").over(mine.rowsBetween(Window.unboundedPreceding, -1))

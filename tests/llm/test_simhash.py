@@ -2,9 +2,11 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from subsight.llm import simhash as S
-from subsight.llm.graph import components
+from subsight.llm.graph import _large_star, _small_star, components
+from subsight.llm.tables import stored
 
 from .conftest import EDGE_ROWS
 
@@ -113,3 +115,24 @@ def test_near_copies_share_a_component(documents):
             (4, " ".join(f"x{i}" for i in range(400)), "en", "a")]
     got = {r.doc_id: r.component_id for r in S.simhash_components(documents(rows), max_bits=2).collect()}
     assert got[1] == got[2] == 1 and got[4] == 4
+
+
+def test_a_hub_is_split_over_tasks(spark):
+    """A star whose minima are not broadcast: adaptive execution splits the edges of the hub in the join."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        star = stored(spark.range(1, 400_001).select(F.col("id").alias("u"), F.lit(0).cast("long").alias("v")).repartition(8), "star")
+        turned = stored(star.select(F.col("u").alias("v"), F.lit(500_000).cast("long").alias("u")), "turned")
+        for step, edges in ((_large_star, star), (_small_star, turned)):
+            df = step(edges)
+            assert df.count() >= 399_999
+            df.collect()
+            assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
