@@ -72,6 +72,11 @@ class Identifier:
                 (far | ~known).tolist())
 
 
+def draw_bound(share: float) -> int:
+    """The signed 64-bit hash up to which ``share`` of all hashes lie. All 64 bits count, so no share is too small to be kept."""
+    return min((1 << 63) - 1, int(min(share, 1.0) * (1 << 64)) - (1 << 63))
+
+
 def learning_sample(rows: DataFrame, sample_chars: int = SAMPLE_CHARS, piece_chars: int = PIECE_CHARS) -> DataFrame:
     """``(cls, text, held)``: a hash sample of ``rows(cls, text)`` of about ``sample_chars`` characters a class.
 
@@ -81,25 +86,24 @@ def learning_sample(rows: DataFrame, sample_chars: int = SAMPLE_CHARS, piece_cha
     is left without one; equal texts are taken or left together, and callers
     collapse them by ``distinct`` (before the shuffle, within each task). Texts of over ``piece_chars`` are drawn in pieces of that
     length (a word on a border counts as two). ``held`` marks the rows kept
-    back for calibration, all pieces of a text or none. The shares, one
+    back for calibration, all pieces of a text or none. The bounds, one
     number per class as the models have one column per class, are literals
     of the filter: no text is shuffled.
     """
-    scale = 1 << 20
     usable = rows.where("cls is not null and text is not null") \
         .select("cls", "text", F.xxhash64("text", F.lit("sample")).alias("key"), F.length("text").alias("size"))
-    draw = lambda i: F.pmod(F.when(i == 0, F.col("key")).otherwise(F.xxhash64("key", i)), F.lit(scale))
+    draw = lambda i: F.when(i == 0, F.col("key")).otherwise(F.xxhash64("key", i))
     pieces = F.sequence(F.lit(0), F.greatest(F.ceil(F.col("size") / piece_chars), F.lit(1)).cast("int") - 1)
     least = F.min(F.array_min(F.transform(pieces, draw))).alias("least")
     chars = usable.select("cls", "key", "size").distinct().groupBy("cls").agg(F.sum("size").alias("chars"), least).collect()
-    shares = F.create_map(*[F.lit(x) for r in chars for x in
-                            (r["cls"], min(1.0, max(sample_chars / max(1, r["chars"]), (r["least"] + 1) / scale)))]) \
-        if chars else F.create_map().cast("map<string,double>")
-    drawn = F.filter(pieces, lambda i: draw(i) / scale < F.col("share"))
-    held = F.pmod(F.xxhash64("text", F.lit("held")), F.lit(scale)) / scale < CALIBRATION_SHARE
+    bounds = F.create_map(*[F.lit(x) for r in chars for x in
+                            (r["cls"], max(draw_bound(sample_chars / max(1, r["chars"])), r["least"]))]) \
+        if chars else F.create_map().cast("map<string,bigint>")
+    drawn = F.filter(pieces, lambda i: draw(i) <= F.col("bound"))
+    held = F.xxhash64("text", F.lit("held")) <= draw_bound(CALIBRATION_SHARE)
     piece = F.when(F.col("size") <= piece_chars, F.col("text")).otherwise(F.col("text").substr(F.col("i") * piece_chars + 1, F.lit(piece_chars)))
     # Outer, so that the optimizer does not evaluate the draws, and with them the hash of the text, once more in a filter.
-    return usable.withColumn("share", F.try_element_at(shares, F.col("cls"))) \
+    return usable.withColumn("bound", F.try_element_at(bounds, F.col("cls"))) \
         .select("cls", "text", "size", F.explode_outer(drawn).alias("i")).where("i is not null") \
         .select("cls", piece.alias("text"), held.alias("held"))
 
@@ -177,8 +181,9 @@ def identify(docs: DataFrame, identifier: Identifier, carry: Sequence[Column], t
     languages when they are equal). Null and texts without a letter are
     ``und`` with score 0 and rejected; ties go to the first language by
     name. ``rejected`` texts keep the best language as their prediction.
-    Without learned languages every text is ``und``. Repeated rows keep a
-    row each; no other column is read.
+    Without learned languages every text is ``und``. Very long texts are
+    scored whole, a megabyte at a time. Repeated rows keep a row each, an
+    empty table gives none; no other column is read.
     """
     n = len(carry)
 

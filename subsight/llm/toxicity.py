@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subsight.llm.kneser_ney import Model, train
-from subsight.llm.language import learning_counts, learning_sample
+from subsight.llm.language import draw_bound, learning_counts, learning_sample
 from subsight.llm.tables import stored
 from subsight.llm.wordscores import Memory, owners, spelled, words_of
 
@@ -85,11 +85,10 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, sample_ids: int = SAMPLE_
     marks = labels.select(F.col(id_col).cast("long").alias("mark_id"), F.col(label_col).cast("string").alias("cls")) \
         .where(F.col("mark_id").isNotNull() & F.col("cls").isin(*CLASSES)).distinct()
     count = {r["cls"]: r["n"] for r in marks.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).collect()}
-    draw = F.pmod(F.xxhash64("mark_id", F.lit("sample")), F.lit(1 << 20)) / (1 << 20)
-    share = F.when(F.col("cls") == "1", min(1.0, sample_ids / max(1, count.get("1", 0)))) \
-        .otherwise(min(1.0, sample_ids / max(1, count.get("0", 0))))
+    bound = lambda cls: F.lit(draw_bound(sample_ids / max(1, count.get(cls, 0))))
+    drawn = F.xxhash64("mark_id", F.lit("sample")) <= F.when(F.col("cls") == "1", bound("1")).otherwise(bound("0"))
     texts = docs.select(F.col(id_col).cast("long").alias("text_id"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(marks.where(draw < share)), F.col("text_id") == F.col("mark_id")).select("cls", "text")
+    return texts.join(F.broadcast(marks.where(drawn)), F.col("text_id") == F.col("mark_id")).select("cls", "text")
 
 
 def fit_scorer(rows: DataFrame, order: int = ORDER, shared_orders: int = SHARED_ORDERS,
@@ -134,8 +133,10 @@ def fit_scorer(rows: DataFrame, order: int = ORDER, shared_orders: int = SHARED_
 def score_toxicity(docs: DataFrame, scorer: Scorer, carry: Sequence[Column], text_col: str = "text") -> DataFrame:
     """``carry`` columns and ``score, predicted`` per row of ``docs``, over whole texts.
 
-    Null, empty and letterless texts have the score of no evidence. Repeated
-    rows keep a row each; no other column than the text is an input.
+    Null, empty and letterless texts have the score of no evidence; a score
+    of exactly 0.5 predicts 1. Very long texts are scored whole. Repeated
+    rows keep a row each, an empty table gives none; no other column than
+    the text is an input.
     """
     n = len(carry)
 

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from subsight.llm import language as L
 from subsight.llm.kneser_ney import train
@@ -177,3 +178,10 @@ def test_copies_neither_fill_nor_use_up_the_sample(documents, monkeypatch):
     L.fit_identifier(documents(rows).selectExpr("lang AS cls", "text"), sample_chars=40_000)
     texts = taken[0].toPandas().text
     assert texts.is_unique and 25_000 < texts.str.len().sum() < 55_000
+
+
+def test_no_share_is_too_small(documents, spark):
+    """A budget far below 2^-20 of a class still bounds its sample; bounds are those of the share."""
+    assert L.draw_bound(1.0) == L.draw_bound(7.0) == 2**63 - 1 and L.draw_bound(0.0) == -(2**63) and L.draw_bound(0.5) == 0
+    rows = spark.range(3_000_000).select(F.lit("en").alias("cls"), F.concat(F.lit("text number "), F.col("id").cast("string")).alias("text"))
+    assert 1 <= L.learning_sample(rows, sample_chars=20).count() <= 12
