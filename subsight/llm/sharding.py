@@ -25,7 +25,7 @@ OVERHEAD = 16
 #: Buckets of the order key, so that no prefix sum holds a group or a shard in one task.
 BUCKETS = 4096
 #: Ranks of a group that meet their intervals under one key.
-RANKS = 1 << 16
+RANKS = 1 << 10
 #: Rounds of propagation at most; they end when no more than one document in ``STANDSTILL`` moves.
 ROUNDS = 20
 STANDSTILL = 10_000
