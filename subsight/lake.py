@@ -10,6 +10,7 @@ layers).
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,9 +27,12 @@ DERIVED: dict[str, Callable[["Lake"], DataFrame]] = {
         lk["bronze_reading_logs"], lk["silver_articles"]),
     "silver_subscriptions": lambda lk: silver.silver_subscriptions(lk["bronze_subscriptions"]),
     ACTIVITY_TABLE: lambda lk: gold.member_month_activity(lk["silver_reading_logs"]),
-    "gold_monthly_engagement": lambda lk: gold.monthly_engagement(lk[ACTIVITY_TABLE]),
-    "gold_member_segment": lambda lk: gold.member_segment(lk["silver_members"], lk[ACTIVITY_TABLE]),
-    "gold_paywall_conversion": lambda lk: gold.paywall_conversion(lk[ACTIVITY_TABLE], lk["silver_members"]),
+    "gold_monthly_engagement": lambda lk: gold.monthly_engagement(
+        lk[ACTIVITY_TABLE] if lk.stored(ACTIVITY_TABLE) else gold.reading_activity(lk["silver_reading_logs"])),
+    "gold_member_segment": lambda lk: gold.member_segment(
+        lk["silver_members"], lk[ACTIVITY_TABLE] if lk.stored(ACTIVITY_TABLE) else gold.member_activity(lk.log_events())),
+    "gold_paywall_conversion": lambda lk: gold.paywall_conversion(
+        lk[ACTIVITY_TABLE] if lk.stored(ACTIVITY_TABLE) else gold.paywall_activity(lk.log_events()), lk["silver_members"]),
 }
 
 
@@ -37,6 +41,21 @@ class Lake:
         self.spark = spark
         self._loaders = dict(loaders)
         self._cache: dict[str, DataFrame] = {}
+        self._usage_day: Callable[[], datetime.date | None] = lambda: None
+
+    def stored(self, name: str) -> bool:
+        """Whether the table is an input or was written, not derived here."""
+        return name in self._loaders
+
+    def log_events(self) -> DataFrame:
+        """Typed logs for answers that use no article attribute: the stored logs, else the raw ones without the join."""
+        if self.stored("silver_reading_logs"):
+            return self["silver_reading_logs"]
+        return silver.log_events(self["bronze_reading_logs"])
+
+    def usage_day(self) -> datetime.date | None:
+        """The newest usage day kept with the stored usage, so date windows are literals; None if none is kept."""
+        return self._usage_day()
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
@@ -63,10 +82,11 @@ class Lake:
     def from_catalog(cls, spark: SparkSession, config, extra: dict[str, Loader] | None = None) -> "Lake":
         """Every table that exists in ``config``'s namespace is read from
         storage; missing silver/gold tables are derived."""
-        from subsight.model import BILLING_TABLES, BRONZE_TABLES, GOLD_TABLES, SILVER_TABLES
-        from subsight.sources.catalog import read_table, table_exists
+        from subsight.model import BILLING_TABLES, BRONZE_TABLES, GOLD_TABLES, MONTHS_TABLE, SILVER_TABLES, TOTALS_TABLE
+        from subsight.sources.catalog import USAGE_DAY_KEY, read_table, table_exists, table_property
 
-        names = [*(f"bronze_{t}" for t in BRONZE_TABLES), *SILVER_TABLES, ACTIVITY_TABLE, *GOLD_TABLES, *BILLING_TABLES]
+        names = [*(f"bronze_{t}" for t in BRONZE_TABLES), *SILVER_TABLES, ACTIVITY_TABLE, MONTHS_TABLE, TOTALS_TABLE,
+                 *GOLD_TABLES, *BILLING_TABLES]
         loaders: dict[str, Loader] = {}
         for name in names:
             if table_exists(spark, config, name):
@@ -75,7 +95,11 @@ class Lake:
             loaders["silver_reading_logs"] = lambda: read_table(spark, config, "silver_reading_logs").select(
                 *silver.READING_LOG_COLUMNS)
         loaders.update(extra or {})
-        return cls(spark, loaders)
+        lake = cls(spark, loaders)
+        if "usage" in loaders and "usage" not in (extra or {}):
+            day = table_property(spark, config, "usage", USAGE_DAY_KEY)
+            lake._usage_day = lambda: datetime.date.fromisoformat(day) if day else None
+        return lake
 
     @classmethod
     def from_files(cls, spark: SparkSession, paths: dict[str, str], fmt: str = "parquet", **options) -> "Lake":

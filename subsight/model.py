@@ -62,6 +62,9 @@ GOLD_TABLES = ["gold_monthly_engagement", "gold_member_segment", "gold_paywall_c
 BILLING_TABLES = ["usage", "list_prices"]
 # One row per member, month and category: what all three marts derive from.
 ACTIVITY_TABLE = "work_member_month_activity"
+# One row per month: its events and last event day. One row per member: the sums, last day and months of its events.
+MONTHS_TABLE = "work_log_months"
+TOTALS_TABLE = "work_member_totals"
 # Month of the usage day, the partition column of stored usage.
 USAGE_MONTH = "usage_ym"
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subsight import model as M
@@ -87,6 +87,22 @@ def silent_members(members: DataFrame, activity: DataFrame, subs: DataFrame, *,
     latest = last.select(F.max("last_event_date")).scalar()
     who = members.where(F.col("plan_type").isin(M.PAID_PLANS)).select("member_id", "plan_type", "age_group")
     seen = who.join(last, (who.member_id == last.of_id) & (F.isnull(who.member_id) == last.of_none), "left")
+    return _silent(seen, latest, subs, days, inclusive, exclude_churned, include_never_active)
+
+
+def silent_from_segment(segment: DataFrame, months: DataFrame, subs: DataFrame, *, days: int = M.SILENT_DAYS, inclusive: bool = True,
+                        exclude_churned: bool = True, include_never_active: bool = False) -> DataFrame:
+    """:func:`silent_members` from the stored segment mart (Q6), which holds
+    each member's plan, band and last day, and the stored months, which hold
+    the latest day of all logs: one row per member and one per month are
+    read, no logs and no activity."""
+    latest = months.select(F.max("last_event_date")).scalar()
+    seen = segment.where(F.col("plan_type").isin(M.PAID_PLANS))
+    return _silent(seen, latest, subs, days, inclusive, exclude_churned, include_never_active)
+
+
+def _silent(seen: DataFrame, latest: Column, subs: DataFrame, days: int, inclusive: bool, exclude_churned: bool,
+            include_never_active: bool) -> DataFrame:
     idle = F.datediff(latest, F.col("last_event_date"))
     over = idle >= days if inclusive else idle > days
     if include_never_active:

@@ -12,6 +12,9 @@ subquery: nothing runs before the result is asked for. A caller with
 several questions resolves it once (:func:`latest_usage_day`) and passes
 the date, which is then a literal in the scan's pushed filters.
 
+The ingest keeps the newest day with the stored table
+(:meth:`subsight.lake.Lake.usage_day`); the registered queries pass it.
+
 Stored usage is partitioned by month (``usage_ym``). Where that column is
 there, the window also bounds it, so files of other months are not opened,
 and the greatest day is looked for in the last month only.
@@ -55,7 +58,12 @@ def recent(usage: DataFrame, days: int | None = 30, as_of: str | _dt.date | None
     last = _as_of(usage, as_of)
     first = F.date_sub(last, days)
     if USAGE_MONTH in usage.columns:
-        usage = usage.where(F.col(USAGE_MONTH).between(month_of(first), month_of(last)))
+        if as_of in (None, "today"):
+            months = month_of(first), month_of(last)
+        else:  # literals, so partitions are pruned while planning
+            day = _dt.date.fromisoformat(str(as_of))
+            months = f"{day - _dt.timedelta(days):%Y-%m}", f"{day:%Y-%m}"
+        usage = usage.where(F.col(USAGE_MONTH).between(*months))
     return usage.where(F.col("usage_date").between(first, last))
 
 

@@ -39,6 +39,17 @@ def silver_articles(bronze_articles: DataFrame) -> DataFrame:
     return bronze_articles.withColumn("publish_date", parse_date("publish_date"))
 
 
+def log_events(bronze_logs: DataFrame) -> DataFrame:
+    """Logs with their time parsed, day and month, without article attributes:
+    what answers that do not use the article need, with no join."""
+    return (
+        bronze_logs
+        .withColumn("event_time", parse_timestamp("event_time"))
+        .withColumn("event_date", F.to_date("event_time"))
+        .withColumn("ym", month_of("event_time"))
+    )
+
+
 def silver_reading_logs(bronze_logs: DataFrame, articles: DataFrame) -> DataFrame:
     """Q3: event time parsed, day and month added, article category and
     premium flag attached by a left join (unknown articles keep the row with
@@ -51,12 +62,7 @@ def silver_reading_logs(bronze_logs: DataFrame, articles: DataFrame) -> DataFram
     splits (``spark.sql.adaptive.skewJoin.enabled``). Articles must be unique
     on ``article_id`` or log rows multiply (checked by the tests).
     """
-    logs = (
-        bronze_logs
-        .withColumn("event_time", parse_timestamp("event_time"))
-        .withColumn("event_date", F.to_date("event_time"))
-        .withColumn("ym", month_of("event_time"))
-    )
+    logs = log_events(bronze_logs)
     attrs = articles.select("article_id", "category", "is_premium")
     return logs.join(attrs, on="article_id", how="left").select(*READING_LOG_COLUMNS)
 

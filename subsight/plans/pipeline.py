@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 
 from subsight.functions import month_of
 from subsight.lake import Lake
-from subsight.model import ACTIVITY_TABLE, GOLD_TABLES, USAGE_MONTH
-from subsight.operators import gold, silver
+from subsight.model import ACTIVITY_TABLE, GOLD_TABLES, MONTHS_TABLE, TOTALS_TABLE, USAGE_MONTH
+from subsight.operators import cost, gold, silver
+from subsight.plans import refresh
 from subsight.plans.metadata import apply_comments
-from subsight.sources.bronze import register_bronze, replace_partitions, write_table
-from subsight.sources.catalog import LakeConfig, read_table, table_exists, use_schema
+from subsight.sources.bronze import register_bronze, write_table
+from subsight.sources.catalog import USAGE_DAY_KEY, LakeConfig, read_table, set_table_property, table_exists, use_schema
 
 ACTIVITY = ACTIVITY_TABLE
 MARTS = GOLD_TABLES
@@ -43,14 +44,20 @@ def ingest_billing(spark: SparkSession, config: LakeConfig, inputs: Lake,
                    max_records_per_file: int | None = None) -> dict[str, int]:
     """Store the billing inputs of ``inputs``: ``usage``, partitioned by the
     month of its day and clustered by day, and ``list_prices``. A window of
-    days opens the files of its months only and skips pages within them."""
+    days opens the files of its months only and skips pages within them.
+    The newest day is kept as a table property, so that such windows are
+    literals."""
     use_schema(spark, config)
     usage = inputs["usage"].withColumn(USAGE_MONTH, month_of("usage_date"))
-    return {
+    counts = {
         "usage": write_table(usage, config, "usage", max_records_per_file,
                              cluster_by=["usage_date"], partition_by=[USAGE_MONTH]),
         "list_prices": write_table(inputs["list_prices"], config, "list_prices"),
     }
+    newest = cost.latest_usage_day(read_table(spark, config, "usage"))
+    if newest is not None:  # set by whoever writes the table; a table written without it is asked for its newest day
+        set_table_property(spark, config, "usage", USAGE_DAY_KEY, newest.isoformat())
+    return counts
 
 
 def run_silver(spark: SparkSession, config: LakeConfig, inputs: Lake | None = None,
@@ -92,31 +99,27 @@ def run_silver(spark: SparkSession, config: LakeConfig, inputs: Lake | None = No
     return counts
 
 
-def _write_marts(spark: SparkSession, config: LakeConfig) -> dict[str, int]:
-    """The three marts from the stored activity table and members."""
+def run_gold(spark: SparkSession, config: LakeConfig) -> dict[str, int]:
+    """Silver -> gold, from the stored silver tables: the logs are read once,
+    into the activity table (partitioned by month), everything else from it:
+    a row per month, the members' totals, the marts."""
+    use_schema(spark, config)
+    logs = read_table(spark, config, "silver_reading_logs")
+    counts = {ACTIVITY: write_table(gold.member_month_activity(logs), config, ACTIVITY, partition_by=["ym"])}
     activity = read_table(spark, config, ACTIVITY)
     members = read_table(spark, config, "silver_members")
+    write_table(gold.log_months(activity), config, MONTHS_TABLE)
+    counts[TOTALS_TABLE] = write_table(gold.member_totals(activity), config, TOTALS_TABLE)
     marts = {
         "gold_monthly_engagement": gold.monthly_engagement(activity),
-        "gold_member_segment": gold.member_segment(members, activity),
+        "gold_member_segment": gold.member_segment(members, read_table(spark, config, TOTALS_TABLE)),
         "gold_paywall_conversion": gold.paywall_conversion(activity, members),
     }
-    counts = {name: write_table(mart, config, name) for name, mart in marts.items()}
+    counts.update({name: write_table(mart, config, name) for name, mart in marts.items()})
     apply_comments(spark, config, MARTS)
     return counts
 
 
-def run_gold(spark: SparkSession, config: LakeConfig) -> dict[str, int]:
-    """Silver -> gold, from the stored silver tables: the logs are read once,
-    into the activity table (partitioned by month), the marts from it."""
-    use_schema(spark, config)
-    logs = read_table(spark, config, "silver_reading_logs")
-    counts = {ACTIVITY: write_table(gold.member_month_activity(logs), config, ACTIVITY,
-                                    partition_by=["ym"])}
-    counts.update(_write_marts(spark, config))
-    return counts
-
-
 def run_pipeline(spark: SparkSession, config: LakeConfig, inputs: Lake | None = None,
                  log_files: str | None = None) -> dict[str, int]:
     """silver, then gold; gold does not start when silver raises.
@@ -135,39 +138,39 @@ def run_pipeline(spark: SparkSession, config: LakeConfig, inputs: Lake | None =
 
 def grown_months(spark: SparkSession, config: LakeConfig) -> list[str]:
     """Months of which the logs hold another number of events than the
-    activity table.
+    activity, months that only one of them has included.
 
     Found from the stored tables themselves, so a run that stopped between
     silver and gold is made up for by the next. Logs are counted from file
-    footers (the month is their partition); of the activity one column is
-    read. The result has at most one text per month.
+    footers (the month is their partition), the activity's events are kept a
+    row per month. The result has at most one text per month.
     """
     logs = read_table(spark, config, "silver_reading_logs").groupBy("ym").agg(F.count(F.lit(1)).alias("n"))
-    done = read_table(spark, config, ACTIVITY).groupBy("ym").agg(F.sum("events").alias("n"))
-    both = logs.alias("l").join(done.alias("d"), "ym", "left").where("NOT l.n <=> d.n AND ym IS NOT NULL")
+    done = read_table(spark, config, MONTHS_TABLE).select("ym", F.col("events").alias("m"))
+    both = logs.join(done, "ym", "full").where("NOT n <=> m AND ym IS NOT NULL")
     return sorted(r["ym"] for r in both.select("ym").collect())
 
 
-def _month_logs(logs: DataFrame, months: list[str]) -> DataFrame:
-    """Logs of ``months`` and those without a month."""
-    return logs.where(F.col("ym").isin(months) | F.col("ym").isNull())
-
-
 def refresh_months(spark: SparkSession, config: LakeConfig, months: list[str]) -> dict[str, int]:
-    """Bring the marts up to date after new logs arrived in ``months``.
-
-    The activity of those months, and always that of the logs whose time
-    does not parse (they have no month, and any file may bring some), is
-    recomputed from their partitions of the silver logs and replaces their
-    partitions of the activity table; no other partition of either is read
-    or written. A replacement, not an addition: running it twice gives the
-    same result, and it equals ``run_gold`` over all logs (checked by the
-    tests). The marts are then rebuilt from the whole activity table, which
-    is smaller than the logs only as far as members read several articles
-    per month and category.
+    """Bring the marts up to date after the logs of ``months`` changed.
+
+    Of logs and activity only those months are read (and always the logs
+    whose time does not parse: they have no month, and any file may bring
+    some), plus, for members whose last day fell, their latest other month;
+    see :mod:`subsight.plans.refresh`. Months that lost all their logs and
+    members whose age band changed are followed as well. Running it twice
+    changes nothing, and the result equals ``run_gold`` over all logs (both
+    checked by the tests). A run that was killed is finished first. Without
+    the tables it needs (a lake written before them) it is ``run_gold``.
     """
     use_schema(spark, config)
-    logs = _month_logs(read_table(spark, config, "silver_reading_logs"), list(months))
-    counts = {ACTIVITY: replace_partitions(gold.member_month_activity(logs), config, ACTIVITY, ["ym"])}
-    counts.update(_write_marts(spark, config))
+    if not all(table_exists(spark, config, t) for t in (ACTIVITY, MONTHS_TABLE, TOTALS_TABLE, *MARTS)):
+        return run_gold(spark, config)
+    counts: dict[str, int] = {}
+    left = refresh.pending(spark, config)
+    if left:
+        counts = refresh.apply(spark, config, *left)
+    months = sorted({m for m in months if m is not None})
+    counts.update(refresh.apply(spark, config, refresh.stage(spark, config, months), months))
+    apply_comments(spark, config, MARTS)
     return counts

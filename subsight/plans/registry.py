@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from subsight.lake import Lake
-from subsight.model import ACTIVITY_TABLE
-from subsight.operators import churn, conversion, cost, explore, profile
+from subsight.model import ACTIVITY_TABLE, MONTHS_TABLE
+from subsight.operators import churn, conversion, cost, explore, gold, profile
 
 # Parameters of the registered queries on the driver's test tables (which
 # span 1995-2001 and have part types as article categories).
@@ -34,8 +34,11 @@ PROFILED_TABLES = ["documents", "conversations", "pages", "benchmark", "labels",
 
 
 def _silent(lk: Lake, **rule) -> DataFrame:
-    return churn.silent_members(lk["silver_members"], lk[ACTIVITY_TABLE], lk["silver_subscriptions"],
-                                days=TEST_PARAMS["silent_days"], **rule)
+    rule = {"days": TEST_PARAMS["silent_days"], **rule}
+    if lk.stored("gold_member_segment") and lk.stored(MONTHS_TABLE):
+        return churn.silent_from_segment(lk["gold_member_segment"], lk[MONTHS_TABLE], lk["silver_subscriptions"], **rule)
+    seen = lk[ACTIVITY_TABLE] if lk.stored(ACTIVITY_TABLE) else gold.member_activity(lk.log_events())
+    return churn.silent_members(lk["silver_members"], seen, lk["silver_subscriptions"], **rule)
 
 
 # The hint's steps: more than 90 days, churn not tested. The default rule is the glossary's.
@@ -83,15 +86,15 @@ QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
     "churn_period_shift": lambda lk: churn.churn_period_shift(
         lk["silver_subscriptions"], lk["silver_members"], P["split_ym"]),
     # cost (Q26-Q31)
-    "daily_usage": lambda lk: cost.daily_usage(lk["usage"], P["usage_days"]),
-    "usage_by_sku": lambda lk: cost.usage_by_sku(lk["usage"], P["usage_days"]),
+    "daily_usage": lambda lk: cost.daily_usage(lk["usage"], P["usage_days"], lk.usage_day()),
+    "usage_by_sku": lambda lk: cost.usage_by_sku(lk["usage"], P["usage_days"], lk.usage_day()),
     "estimated_cost_by_sku": lambda lk: cost.estimated_cost_by_sku(
-        lk["usage"], lk["list_prices"], P["usage_days"]),
+        lk["usage"], lk["list_prices"], P["usage_days"], lk.usage_day()),
     "my_usage_by_job": lambda lk: cost.my_usage_by_job(
-        lk["usage"], P["user"], P["usage_days"], k=P["top_k"]),
-    "top_sku_recent": lambda lk: cost.top_sku_recent(lk["usage"], P["recent_days"]),
+        lk["usage"], P["user"], P["usage_days"], lk.usage_day(), k=P["top_k"]),
+    "top_sku_recent": lambda lk: cost.top_sku_recent(lk["usage"], P["recent_days"], lk.usage_day()),
     "estimated_cost_by_job": lambda lk: cost.estimated_cost_by_job(
-        lk["usage"], lk["list_prices"], P["usage_days"]),
+        lk["usage"], lk["list_prices"], P["usage_days"], lk.usage_day()),
     # profile (Q32)
     "table_profile": lambda lk: profile.table_profile(lk["silver_reading_logs"], distinct="exact"),
     # second check of Q12 on the given event log; profiles of the other given tables

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from subsight.model import BRONZE_SCHEMAS
-from subsight.sources.catalog import LakeConfig
+from subsight.sources.catalog import LakeConfig, set_table_property
 
 
 def read_raw(spark: SparkSession, name: str, path: str, fmt: str = "parquet", **options) -> DataFrame:
@@ -27,12 +27,18 @@ FILE_FORMATS = {"parquet", "orc", "json", "csv", "avro"}
 def write_table(df: DataFrame, config: LakeConfig, table: str,
                 max_records_per_file: int | None = None,
                 cluster_by: list[str] | None = None,
-                partition_by: list[str] | None = None) -> int:
+                partition_by: list[str] | None = None,
+                properties: dict[str, str] | None = None) -> int:
     """Full-refresh write of a managed table; returns the row count.
 
-    The new version is written in full as ``<table>__next`` and takes the
-    table's name only then, so a write that fails or is killed leaves the
-    old version readable, and ``df`` may read the table it replaces.
+    The new version is written in full as ``<table>__next``; then the old one
+    is dropped and the new one takes its name. A write that fails or is
+    killed leaves the old version readable, and ``df`` may read the table it
+    replaces. Between drop and rename the name is missing for a moment, and
+    readers fail then (a transactional format has no such moment); a driver
+    killed right there leaves the new version whole under ``<table>__next``,
+    and ``recover_tables``, which every run starts with, gives it its name.
+    Table ``properties`` come with the new version.
 
     The count is an observed metric of the write job itself, so the plan is
     not run a second time to report it. ``max_records_per_file`` splits the
@@ -60,21 +66,34 @@ def write_table(df: DataFrame, config: LakeConfig, table: str,
     spark = df.sparkSession
     if config.fmt in FILE_FORMATS:
         writer.saveAsTable(config.fqn(f"{table}__next"))
+        _set_properties(df, config, f"{table}__next", properties)
         spark.sql(f"DROP TABLE IF EXISTS {config.fqn(table)}")
         spark.sql(f"ALTER TABLE {config.fqn(f'{table}__next')} RENAME TO {config.schema}.{table}")
         if partition_by:  # catalogs that keep partition folders by path learn the new ones
             spark.sql(f"MSCK REPAIR TABLE {config.fqn(table)} SYNC PARTITIONS")
     else:
         writer.saveAsTable(config.fqn(table))
+        _set_properties(df, config, table, properties)
     return int(obs.get["rows"])
 
 
-def replace_partitions(df: DataFrame, config: LakeConfig, table: str, partition_by: list[str]) -> int:
+def _set_properties(df: DataFrame, config: LakeConfig, table: str, properties: dict[str, str] | None) -> None:
+    for key, value in (properties or {}).items():
+        set_table_property(df.sparkSession, config, table, key, value)
+
+
+def replace_partitions(df: DataFrame, config: LakeConfig, table: str, partition_by: list[str],
+                       emptied: list[str | None] = ()) -> int:
     """Write ``df`` over the partitions of ``table`` that it has rows for; the
     others are not touched or read. Returns the row count. Files move into
-    place when the job commits, so a failed write changes nothing."""
+    place when the job commits, so a failed write changes nothing. Partitions
+    ``emptied`` (values of the one partition column) have no rows any more
+    and are dropped."""
     spark = df.sparkSession
     columns = spark.table(config.fqn(table)).columns
+    for value in emptied:
+        text = "null" if value is None else "'" + value.replace("'", "\\'") + "'"
+        spark.sql(f"ALTER TABLE {config.fqn(table)} DROP IF EXISTS PARTITION ({partition_by[0]} = {text})")
     obs = Observation(f"rows_{table}")
     rows = (df.select(*columns).hint("rebalance", *partition_by).sortWithinPartitions(*partition_by)
             .observe(obs, F.count(F.lit(1)).alias("rows")))

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Table property of stored usage: its newest day, set by the ingest that writes the table.
+USAGE_DAY_KEY = "subsight.latest_usage_day"
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
@@ -44,6 +46,25 @@ def use_schema(spark: SparkSession, config: LakeConfig) -> None:
     spark.catalog.setCurrentCatalog(config.catalog)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {config.namespace}")
     spark.catalog.setCurrentDatabase(config.schema)
+    recover_tables(spark, config)
+
+
+def recover_tables(spark: SparkSession, config: LakeConfig) -> list[str]:
+    """Finishes replacements that a killed driver left between drop and rename.
+
+    A new version is listed as ``<table>__next`` only when it is whole. Where
+    the table itself is missing, the version takes its name; a version beside
+    an existing table is left for the next write to overwrite.
+    """
+    names = {r.tableName for r in show_tables(spark, config).collect()}
+    done = []
+    for name in sorted(n[:-len("__next")] for n in names if n.endswith("__next")):
+        if name not in names:
+            spark.sql(f"ALTER TABLE {config.fqn(f'{name}__next')} RENAME TO {config.schema}.{name}")
+            if any(c.isPartition for c in spark.catalog.listColumns(config.fqn(name))):
+                spark.sql(f"MSCK REPAIR TABLE {config.fqn(name)} SYNC PARTITIONS")
+            done.append(name)
+    return done
 
 
 def show_tables(spark: SparkSession, config: LakeConfig) -> DataFrame:

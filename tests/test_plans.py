@@ -65,13 +65,26 @@ def _final_plan(spark, df):
 
 @pytest.mark.parametrize("name", ["silent_members", "silent_members_strict", "silent_member_count", "silent_by_age_plan"])
 def test_silent_members_do_not_scan_stored_logs(spark, name):
-    """With the activity table stored, the latest day and the last days come from it."""
+    """From stored tables the last days come from the segment mart, the latest day from the months: no logs, no activity."""
     config = LakeConfig(schema="plan_silent")
     if not spark.catalog.databaseExists("plan_silent"):
         pipeline.ingest_bronze(spark, config, Lake.from_testdata(spark, SF_SMALL))
         pipeline.run_pipeline(spark, config)
     plan = _final_plan(spark, QUERIES[name](Lake.from_catalog(spark, config)))
-    assert "reading_logs" not in plan and "work_member_month_activity" in plan
+    assert "reading_logs" not in plan and "work_member_month_activity" not in plan
+    assert "gold_member_segment" in plan and "work_log_months" in plan
+
+
+def test_stored_usage_windows_are_literals(spark):
+    """The newest day is kept with stored usage: months are pruned while planning, no subquery runs before the scan."""
+    config = LakeConfig(schema="plan_usage_day")
+    pipeline.ingest_billing(spark, config, Lake.from_testdata(spark, SF_SMALL))
+    lake = Lake.from_catalog(spark, config)
+    newest = lake["usage"].agg({"usage_date": "max"}).first()[0]
+    assert lake.usage_day() == newest
+    for name in ("daily_usage", "usage_by_sku", "estimated_cost_by_sku", "my_usage_by_job", "top_sku_recent", "estimated_cost_by_job"):
+        plan = plan_of(QUERIES[name](lake))
+        assert "ubquery" not in plan and f"usage_ym#" in plan and f"{newest:%Y-%m}" in plan, name
 
 
 def test_silent_members_reuse_the_aggregate(spark):
