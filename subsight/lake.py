@@ -15,8 +15,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from subsight.model import ACTIVITY_TABLE
-from subsight.operators import gold, silver
+from subsight.model import ACTIVITY_TABLE, READERS_TABLE
+from subsight.operators import gold, silver, sketches
 
 Loader = Callable[[], DataFrame]
 
@@ -27,6 +27,8 @@ DERIVED: dict[str, Callable[["Lake"], DataFrame]] = {
         lk["bronze_reading_logs"], lk["silver_articles"]),
     "silver_subscriptions": lambda lk: silver.silver_subscriptions(lk["bronze_subscriptions"]),
     ACTIVITY_TABLE: lambda lk: gold.member_month_activity(lk["silver_reading_logs"]),
+    READERS_TABLE: lambda lk: sketches.reader_sketches(
+        lk[ACTIVITY_TABLE] if lk.stored(ACTIVITY_TABLE) else gold.reading_activity(lk["silver_reading_logs"])),
     "gold_monthly_engagement": lambda lk: gold.monthly_engagement(
         lk[ACTIVITY_TABLE] if lk.stored(ACTIVITY_TABLE) else gold.reading_activity(lk["silver_reading_logs"])),
     "gold_member_segment": lambda lk: gold.member_segment(
@@ -82,10 +84,10 @@ class Lake:
     def from_catalog(cls, spark: SparkSession, config, extra: dict[str, Loader] | None = None) -> "Lake":
         """Every table that exists in ``config``'s namespace is read from
         storage; missing silver/gold tables are derived."""
-        from subsight.model import BILLING_TABLES, BRONZE_TABLES, GOLD_TABLES, MONTHS_TABLE, SILVER_TABLES, TOTALS_TABLE
+        from subsight.model import BILLING_TABLES, BRONZE_TABLES, GOLD_TABLES, MONTHS_TABLE, SILVER_TABLES, SKETCH_TABLE, TOTALS_TABLE
         from subsight.sources.catalog import USAGE_DAY_KEY, read_table, table_exists, table_property
 
-        names = [*(f"bronze_{t}" for t in BRONZE_TABLES), *SILVER_TABLES, ACTIVITY_TABLE, MONTHS_TABLE, TOTALS_TABLE,
+        names = [*(f"bronze_{t}" for t in BRONZE_TABLES), *SILVER_TABLES, ACTIVITY_TABLE, MONTHS_TABLE, TOTALS_TABLE, SKETCH_TABLE, READERS_TABLE,
                  *GOLD_TABLES, *BILLING_TABLES]
         loaders: dict[str, Loader] = {}
         for name in names:

@@ -65,6 +65,9 @@ ACTIVITY_TABLE = "work_member_month_activity"
 # One row per month: its events and last event day. One row per member: the sums, last day and months of its events.
 MONTHS_TABLE = "work_log_months"
 TOTALS_TABLE = "work_member_totals"
+# Per month: sketches of the logs' columns, and of the readers of each category.
+SKETCH_TABLE = "work_log_sketches"
+READERS_TABLE = "work_reader_sketches"
 # Month of the usage day, the partition column of stored usage.
 USAGE_MONTH = "usage_ym"
 

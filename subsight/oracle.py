@@ -396,6 +396,37 @@ for _t in ["documents", "conversations", "pages", "benchmark", "labels", "region
     FINAL[f"table_profile_{_t}"] = _profile_sql(_t)
 
 
+def _nth(col: str, share: float) -> str:
+    """The least value with at least ``share`` of the values up to it."""
+    return (f"(SELECT CAST(v AS VARCHAR) FROM (SELECT \"{col}\" AS v, ROW_NUMBER() OVER (ORDER BY \"{col}\") AS i, COUNT(*) OVER () AS n "
+            f"FROM silver_reading_logs WHERE \"{col}\" IS NOT NULL) WHERE i = CAST(CEIL({share} * n) AS BIGINT))")
+
+
+def _distribution_sql() -> str:
+    """Exact quartiles and top values, which the sketches give as long as they hold every value."""
+    numbers = {"int", "bigint", "date", "timestamp"}
+    top = ["event_type", "device", "category", "is_premium", "ym", "member_id", "article_id"]
+    parts = []
+    for pos, (col, dtype) in enumerate(_PROFILE_COLUMNS["silver_reading_logs"], start=1):
+        quartiles = [_nth(col, q) if dtype in numbers else "CAST(NULL AS VARCHAR)" for q in (0.25, 0.5, 0.75)]
+        values = (f"(SELECT string_agg(v || ': ' || n, ', ' ORDER BY n DESC, v) FROM (SELECT CAST(\"{col}\" AS VARCHAR) AS v, COUNT(*) AS n "
+                  f"FROM silver_reading_logs WHERE \"{col}\" IS NOT NULL GROUP BY 1 ORDER BY n DESC, v LIMIT 5))"
+                  if col in top else "CAST(NULL AS VARCHAR)")
+        parts.append(f"""
+        SELECT p.*, {quartiles[0]} AS p25, {quartiles[1]} AS median, {quartiles[2]} AS p75, {values} AS top_values
+        FROM profile p WHERE p.position = {pos}""")
+    return f", profile AS ({_profile_sql('silver_reading_logs')})" + "\nUNION ALL".join(parts)
+
+
+FINAL["log_distribution"] = _distribution_sql()
+FINAL["readers_in_period"] = """
+        , read AS (SELECT DISTINCT category, member_id FROM silver_reading_logs
+                      WHERE event_type IN ('read_start', 'read_complete') AND ym BETWEEN '1996-03' AND '1997-08')
+        SELECT 'category' AS scope, category, COUNT(member_id) AS unique_readers FROM read GROUP BY category
+        UNION ALL
+        SELECT 'all' AS scope, CAST(NULL AS VARCHAR) AS category, COUNT(DISTINCT member_id) AS unique_readers FROM read"""
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, final in FINAL.items():

@@ -120,6 +120,14 @@ def run_gold(spark: SparkSession, config: LakeConfig) -> dict[str, int]:
     return counts
 
 
+def run_sketches(spark: SparkSession, config: LakeConfig) -> dict[str, int]:
+    """Stores the sketches of the logs' columns and of the readers, a partition
+    per month. From then on a refresh makes those of its months anew; after a
+    full refresh (``run_gold``) they are made anew by this step."""
+    use_schema(spark, config)
+    return refresh.write_sketches(spark, config)
+
+
 def run_pipeline(spark: SparkSession, config: LakeConfig, inputs: Lake | None = None,
                  log_files: str | None = None) -> dict[str, int]:
     """silver, then gold; gold does not start when silver raises.

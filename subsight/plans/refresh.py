@@ -31,10 +31,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subsight.functions import month_of
-from subsight.model import ACTIVITY_TABLE, MONTHS_TABLE, TOTALS_TABLE
-from subsight.operators import gold
+from subsight.model import ACTIVITY_TABLE, MONTHS_TABLE, READERS_TABLE, SKETCH_TABLE, TOTALS_TABLE
+from subsight.operators import gold, sketches
 from subsight.sources.bronze import replace_partitions, write_table
-from subsight.sources.catalog import LakeConfig, read_table, set_table_property, table_property
+from subsight.sources.catalog import LakeConfig, read_table, set_table_property, table_exists, table_property
 
 STAGE, DELTA = "work_refresh_activity", "work_refresh_members"
 PENDING_KEY, APPLIED_KEY = "subsight.pending_refresh", "subsight.applied_refresh"
@@ -128,6 +128,21 @@ def pending(spark: SparkSession, config: LakeConfig) -> tuple[str, list[str]] |
     return found["id"], found["months"]
 
 
+def write_sketches(spark: SparkSession, config: LakeConfig, months: list[str] | None = None) -> dict[str, int]:
+    """The sketches of all months, or anew those of ``months`` where the tables exist: other months are not read."""
+    counts = {}
+    for table, source, make in ((SKETCH_TABLE, "silver_reading_logs", lambda df: sketches.log_sketches(df, by=["ym"])),
+                                (READERS_TABLE, ACTIVITY_TABLE, sketches.reader_sketches)):
+        rows = read_table(spark, config, source)
+        if months is None:
+            counts[table] = write_table(make(rows), config, table, partition_by=["ym"])
+        elif table_exists(spark, config, table):
+            some = rows.where(in_months(months))
+            here = {r[0] for r in (some if table == SKETCH_TABLE else some.where("views > 0")).select("ym").distinct().collect()}
+            counts[table] = replace_partitions(make(some), config, table, ["ym"], emptied=[m for m in [None, *months] if m not in here])
+    return counts
+
+
 def apply(spark: SparkSession, config: LakeConfig, run: str, months: list[str]) -> dict[str, int]:
     """Takes a staged refresh in; each step may have been done before."""
     counts = {}
@@ -152,5 +167,6 @@ def apply(spark: SparkSession, config: LakeConfig, run: str, months: list[str])
                         gold.paywall_conversion(activity.where(in_months(also)), members), also)
     counts["gold_paywall_conversion"] = write_table(paywall, config, "gold_paywall_conversion")
     counts["gold_member_segment"] = write_table(gold.member_segment(members, totals), config, "gold_member_segment")
+    counts.update(write_sketches(spark, config, months))
     spark.sql(f"ALTER TABLE {config.fqn(ACTIVITY_TABLE)} UNSET TBLPROPERTIES IF EXISTS ('{PENDING_KEY}')")
     return counts
