@@ -94,8 +94,8 @@ def priced(usage: DataFrame, prices: DataFrame) -> DataFrame:
     Planned as an equi-join on the SKU with the validity interval as a
     residual condition. The price list is as small as the SKU catalogue,
     so the size-checked broadcast applies; since a few SKUs carry all the
-    usage, a shuffled join on sku_name would be skewed, and AQE's skew
-    split covers that fallback.
+    usage, a shuffled join on sku_name would be skewed: for price lists
+    beyond the broadcast threshold there is :func:`priced_by_time`.
     """
     u, p = usage.alias("u"), prices.alias("p")
     cond = (
@@ -103,7 +103,42 @@ def priced(usage: DataFrame, prices: DataFrame) -> DataFrame:
         & (F.col("u.usage_end_time") >= F.col("p.price_start_time"))
         & ((F.col("u.usage_end_time") < F.col("p.price_end_time")) | F.col("p.price_end_time").isNull())
     )
-    return u.join(p, cond, "inner").select(
+    return _priced_columns(u.join(p, cond, "inner"))
+
+
+def priced_by_time(usage: DataFrame, prices: DataFrame, bucket_days: int = 1) -> DataFrame:
+    """:func:`priced` for price lists too large to broadcast.
+
+    Validity intervals are cut at time buckets, so (SKU, bucket) is an equi
+    key, and the usage of a SKU that carries most of all is spread over as
+    many keys as it has buckets instead of meeting its prices in one task.
+    The interval itself stays as a condition, for the buckets in which a
+    price changes; a usage row lies in one bucket, so it meets a price once.
+
+    The first and last time of the usage bound the buckets of open and long
+    intervals: one aggregate, two values. A price is repeated once a bucket
+    it is valid in, which depends on the time span, not on the usage.
+    """
+    span = usage.agg(F.min("usage_end_time"), F.max("usage_end_time")).first()
+    if span[0] is None:
+        return priced(usage, prices)
+    width = bucket_days * 86_400_000_000
+    bucket = lambda c: F.floor(F.unix_micros(c) / F.lit(width)).cast("long")
+    first, last = (F.lit(t).cast("timestamp") for t in span)
+    end = F.coalesce("price_end_time", last)
+    cut = prices.where((F.col("price_start_time") <= last) & (end >= first)) \
+        .withColumn("bucket", F.explode(F.sequence(bucket(F.greatest("price_start_time", first)), bucket(F.least(end, last)))))
+    u, p = usage.withColumn("bucket", bucket(F.col("usage_end_time"))).alias("u"), cut.alias("p")
+    cond = (
+        (F.col("u.sku_name") == F.col("p.sku_name")) & (F.col("u.bucket") == F.col("p.bucket"))
+        & (F.col("u.usage_end_time") >= F.col("p.price_start_time"))
+        & ((F.col("u.usage_end_time") < F.col("p.price_end_time")) | F.col("p.price_end_time").isNull())
+    )
+    return _priced_columns(u.join(p, cond, "inner"))
+
+
+def _priced_columns(joined: DataFrame) -> DataFrame:
+    return joined.select(
         F.col("u.usage_date").alias("usage_date"),
         F.col("u.sku_name").alias("sku_name"),
         F.col("u.usage_quantity").alias("usage_quantity"),
@@ -132,9 +167,13 @@ def _cost_by(priced_usage: DataFrame, key: str) -> DataFrame:
     )
 
 
-def estimated_cost_by_sku(usage: DataFrame, prices: DataFrame, days: int | None = 30, as_of=None) -> DataFrame:
-    """Q28: usage x price in force, per SKU, with the currency."""
-    return (_cost_by(priced(recent(usage, days, as_of), prices), "sku_name")
+def estimated_cost_by_sku(usage: DataFrame, prices: DataFrame, days: int | None = 30, as_of=None,
+                          bucket_days: int | None = None) -> DataFrame:
+    """Q28: usage x price in force, per SKU, with the currency. With
+    ``bucket_days`` the join is :func:`priced_by_time`."""
+    some = recent(usage, days, as_of)
+    found = priced(some, prices) if bucket_days is None else priced_by_time(some, prices, bucket_days)
+    return (_cost_by(found, "sku_name")
             .orderBy(F.desc("estimated_cost"), "sku_name"))
 
 

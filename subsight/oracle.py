@@ -427,6 +427,96 @@ FINAL["readers_in_period"] = """
         SELECT 'all' AS scope, CAST(NULL AS VARCHAR) AS category, COUNT(DISTINCT member_id) AS unique_readers FROM read"""
 
 
+FINAL["estimated_cost_by_sku_over_time"] = """
+        SELECT u.sku_name, CAST(ROUND(SUM(usage_quantity), 2) AS DOUBLE) AS dbus,
+               CAST(ROUND(SUM(usage_quantity * lp.pricing.effective_list."default"), 2) AS DOUBLE) AS estimated_cost,
+               MAX(currency_code) AS currency
+        FROM usage u JOIN list_prices lp ON u.sku_name = lp.sku_name AND u.usage_end_time >= lp.price_start_time
+         AND (u.usage_end_time < lp.price_end_time OR lp.price_end_time IS NULL)
+        GROUP BY u.sku_name ORDER BY estimated_cost DESC, u.sku_name"""
+
+
+def _turning_sql(monthly: str, group: str, value: str, weight: str) -> str:
+    """Every month of a group tried as the split, both sides summed anew each time."""
+    return f"""
+        , monthly AS ({monthly})
+        , tried AS (
+            SELECT s.{group}, s.ym,
+                   CAST(SUM(CASE WHEN m.ym < s.ym THEN m.{value} ELSE 0 END) AS DOUBLE) AS v1,
+                   CAST(SUM(CASE WHEN m.ym < s.ym THEN m.{weight} ELSE 0 END) AS DOUBLE) AS w1,
+                   CAST(SUM(CASE WHEN m.ym >= s.ym THEN m.{value} ELSE 0 END) AS DOUBLE) AS v2,
+                   CAST(SUM(CASE WHEN m.ym >= s.ym THEN m.{weight} ELSE 0 END) AS DOUBLE) AS w2
+            FROM monthly s JOIN monthly m ON s.{group} IS NOT DISTINCT FROM m.{group}
+            WHERE s.ym IS NOT NULL AND m.ym IS NOT NULL GROUP BY s.{group}, s.ym)
+        , gains AS (
+            SELECT {group}, ym, v1 / w1 AS r1, v2 / w2 AS r2,
+                   ROUND(w1 * w2 / (w1 + w2) * (v2 / w2 - v1 / w1) * (v2 / w2 - v1 / w1), 6) AS gain
+            FROM tried WHERE w1 > 0 AND w2 > 0)
+        , placed AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY {group} ORDER BY gain DESC, ym) AS place FROM gains)
+        SELECT {group}, ym AS turning_ym, ROUND(r1, 6) AS rate_before, ROUND(r2, 6) AS rate_since, gain FROM placed WHERE place = 1"""
+
+
+FINAL["completion_turning_month"] = _turning_sql(
+    "SELECT category, ym, article_views, reads_completed FROM gold_monthly_engagement", "category", "reads_completed", "article_views")
+FINAL["churn_turning_month"] = _turning_sql("""
+            WITH churned AS (SELECT m.age_group, s.churn_ym AS ym FROM silver_subscriptions s JOIN silver_members m USING (member_id)
+                             WHERE s.status = 'churned' AND s.churn_ym IS NOT NULL),
+            span AS (SELECT MIN(ym) AS lo, MAX(ym) AS hi FROM churned),
+            months AS (SELECT strftime(d, '%Y-%m') AS ym FROM (
+                SELECT unnest(generate_series(CAST(lo || '-01' AS TIMESTAMP), CAST(hi || '-01' AS TIMESTAMP), INTERVAL 1 MONTH)) AS d FROM span))
+            SELECT a.age_group, t.ym, (SELECT COUNT(*) FROM churned c WHERE c.age_group = a.age_group AND c.ym = t.ym) AS churned, 1 AS months
+            FROM (SELECT DISTINCT age_group FROM churned) a, months t""", "age_group", "churned", "months")
+
+
+def _drivers_sql(rows: str, keys: list[str]) -> str:
+    names = ", ".join(keys)
+    return f"""
+        , cells AS (
+            SELECT {names},
+                   CAST(SUM(CASE WHEN ym < '{SPLIT}' THEN w ELSE 0 END) AS BIGINT) AS weight_before,
+                   CAST(SUM(CASE WHEN ym >= '{SPLIT}' THEN w ELSE 0 END) AS BIGINT) AS weight_since,
+                   SUM(CASE WHEN ym < '{SPLIT}' THEN v ELSE 0 END) AS v1, SUM(CASE WHEN ym >= '{SPLIT}' THEN v ELSE 0 END) AS v2
+            FROM ({rows}) WHERE ym IS NOT NULL GROUP BY {names})
+        , rates AS (
+            SELECT *, COALESCE(CAST(weight_before AS DOUBLE) / NULLIF((SELECT SUM(weight_before) FROM cells), 0), 0) AS s1,
+                   COALESCE(CAST(weight_since AS DOUBLE) / NULLIF((SELECT SUM(weight_since) FROM cells), 0), 0) AS s2,
+                   CAST(v1 AS DOUBLE) / NULLIF(weight_before, 0) AS q1, CAST(v2 AS DOUBLE) / NULLIF(weight_since, 0) AS q2 FROM cells)
+        SELECT {names}, weight_before, weight_since, ROUND(q1 * 100, 6) AS rate_before, ROUND(q2 * 100, 6) AS rate_since,
+               ROUND((s2 - s1) * (COALESCE(q1, q2, 0) + COALESCE(q2, q1, 0)) / 2 * 100, 9) AS mix_effect,
+               ROUND((s1 + s2) / 2 * (COALESCE(q2, q1, 0) - COALESCE(q1, q2, 0)) * 100, 9) AS rate_effect
+        FROM rates WHERE weight_before > 0 OR weight_since > 0"""
+
+
+FINAL["completion_drivers"] = _drivers_sql("""
+            SELECT m.age_group, m.plan_type, l.category, l.ym, 1 AS w, CASE WHEN l.event_type = 'read_complete' THEN 1 ELSE 0 END AS v
+            FROM silver_reading_logs l LEFT JOIN silver_members m USING (member_id)
+            WHERE l.event_type IN ('read_start', 'read_complete')""", ["age_group", "plan_type", "category"])
+FINAL["conversion_drivers"] = _drivers_sql("""
+            SELECT m.age_group, m.plan_type, l.ym, CASE WHEN l.event_type = 'paywall_hit' THEN 1 ELSE 0 END AS w,
+                   CASE WHEN l.event_type = 'subscribe' THEN 1 ELSE 0 END AS v
+            FROM silver_reading_logs l LEFT JOIN silver_members m USING (member_id)
+            WHERE l.event_type IN ('paywall_hit', 'subscribe')""", ["age_group", "plan_type"])
+_REFUSED = {"members": [("registration_date", "DATE", "")], "articles": [("publish_date", "DATE", "")],
+            "reading_logs": [("event_time", "TIMESTAMP", "")],
+            "subscriptions": [("start_date", "DATE", ""), ("end_date", "DATE", " AND NOT (trim(end_date) = '' AND status IS DISTINCT FROM 'churned')")]}
+
+
+def _refused_sql() -> str:
+    parts = []
+    for name, columns in _REFUSED.items():
+        bad = {c: f"({c} IS NOT NULL AND TRY_CAST({c} AS {kind}) IS NULL{but})" for c, kind, but in columns}
+        good = " AND ".join(f"NOT {b}" for b in bad.values())
+        parts += [f"""
+        SELECT '{name}' AS table_name, '{c}' AS column_name, CASE WHEN trim({c}) = '' THEN 'empty' ELSE 'no {kind.lower()}' END AS reason,
+               COUNT(*) AS refused, (SELECT COUNT(*) FROM bronze_{name}) AS rows_read,
+               (SELECT COUNT(*) FROM bronze_{name} WHERE COALESCE({good}, TRUE)) AS rows_kept
+        FROM bronze_{name} WHERE {bad[c]} GROUP BY 3""" for c, kind, _ in columns]
+    return "\nUNION ALL".join(parts)
+
+
+FINAL["refused_values"] = _refused_sql()
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, final in FINAL.items():

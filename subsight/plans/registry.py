@@ -7,13 +7,15 @@ for the test tables in :data:`TEST_PARAMS`.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
 from subsight.lake import Lake
 from subsight.model import ACTIVITY_TABLE, MONTHS_TABLE, READERS_TABLE, SKETCH_TABLE
-from subsight.operators import churn, conversion, cost, explore, gold, profile, sketches
+from subsight.operators import churn, conversion, cost, explore, gold, profile, shifts, sketches
+from subsight.sources import sift
 
 # Parameters of the registered queries on the driver's test tables (which
 # span 1995-2001 and have part types as article categories).
@@ -43,7 +45,20 @@ def _silent(lk: Lake, **rule) -> DataFrame:
 
 
 #: Queries beyond the 32 named ones and their checks; the benchmark lists them apart from its sums.
-ADDED = ["log_distribution", "readers_in_period"]
+ADDED = ["log_distribution", "readers_in_period", "estimated_cost_by_sku_over_time", "completion_turning_month", "churn_turning_month",
+         "completion_drivers", "conversion_drivers", "refused_values"]
+
+
+def _reading(lk: Lake) -> DataFrame:
+    return lk[ACTIVITY_TABLE] if lk.stored(ACTIVITY_TABLE) else gold.reading_activity(lk["silver_reading_logs"])
+
+
+def _paywall(lk: Lake) -> DataFrame:
+    return lk[ACTIVITY_TABLE] if lk.stored(ACTIVITY_TABLE) else gold.paywall_activity(lk.log_events())
+
+
+def _refused(lk: Lake) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, [sift.refused_values(lk[f"bronze_{name}"], name) for name in sift.PARSED])
 
 
 def _log_distribution(lk: Lake) -> DataFrame:
@@ -110,6 +125,14 @@ QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
     # distribution per column and readers of a period, from sketches (stored per month where they were written)
     "log_distribution": _log_distribution,
     "readers_in_period": lambda lk: sketches.readers(lk[READERS_TABLE], *P["period"]),
+    # usage x price with the price intervals cut by day, all days: no broadcast, no hot SKU
+    "estimated_cost_by_sku_over_time": lambda lk: cost.estimated_cost_by_sku(lk["usage"], lk["list_prices"], None, bucket_days=1),
+    # when a rate turned and what drove the change; values that silver would blank
+    "completion_turning_month": lambda lk: shifts.completion_turning_month(lk["gold_monthly_engagement"]),
+    "churn_turning_month": lambda lk: shifts.churn_turning_month(lk["silver_subscriptions"], lk["silver_members"]),
+    "completion_drivers": lambda lk: shifts.completion_drivers(_reading(lk), lk["silver_members"], P["split_ym"]),
+    "conversion_drivers": lambda lk: shifts.conversion_drivers(_paywall(lk), lk["silver_members"], P["split_ym"]),
+    "refused_values": _refused,
     # second check of Q12 on the given event log; profiles of the other given tables
     "events_by_type_events": lambda lk: explore.events_by_type(lk["events"]),
     **{f"table_profile_{t}": (lambda lk, t=t: profile.table_profile(lk[t], distinct="exact"))

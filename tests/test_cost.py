@@ -86,3 +86,47 @@ def test_no_job_before_the_result_is_asked_for(spark, frames):
         assert list(tracker.getJobIdsForGroup("building")) == []
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_prices_cut_at_time_buckets(spark, frames):
+    """Equal to the plain join for open, touching, overlapping and foreign intervals, at any bucket width."""
+    import random
+
+    r = random.Random(4)
+    at = lambda h: dt.datetime(2025, 1, 1) + dt.timedelta(hours=h)
+    usage = [(at(h).date(), at(h), r.choice(["A", "B", "C", None]), Decimal(r.randint(1, 9)), (f"j{h % 3}", None), ("u",))
+             for h in (r.randrange(400) for _ in range(120))] + [(None, None, "A", Decimal(1), None, None)]
+    prices = [(s, "USD", at(a), None if z is None else at(z), ((Decimal(p),),))
+              for s, a, z, p in [("A", -500, 48, 1), ("A", 48, 120, 2), ("A", 100, None, 3), ("B", 24, 24, 4), ("B", 30, 31, 5),
+                                 ("C", 900, None, 6), ("C", -90, -50, 7), ("B", 200, 350, 8)]]
+    u, p = frames("usage", usage), frames("prices", prices)
+    want = sorted(map(str, cost.priced(u, p).collect()))
+    for days in (1, 3, 30):
+        assert sorted(map(str, cost.priced_by_time(u, p, days).collect())) == want
+    assert cost.priced_by_time(u.limit(0), p).count() == 0
+    assert cost.estimated_cost_by_sku(u, p, None, bucket_days=2).collect() == cost.estimated_cost_by_sku(u, p, None).collect()
+
+
+def test_a_hot_sku_is_spread_without_broadcast(spark):
+    """90 % of the usage on one SKU and no broadcast: no task joins over three times the median."""
+    from pyspark.sql import functions as F
+
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        time = F.timestamp_add("MINUTE", (F.col("id") * 13).cast("int"), F.lit("2024-01-01").cast("timestamp"))
+        usage = spark.range(60_000).select(
+            F.to_date(time).alias("usage_date"), time.alias("usage_end_time"), F.when(F.col("id") % 10 > 0, "HOT").otherwise(F.concat(F.lit("S"), (F.col("id") % 70).cast("string"))).alias("sku_name"),
+            F.lit(1).cast("decimal(18,6)").alias("usage_quantity"), F.struct(F.lit("j").alias("job_id")).alias("usage_metadata"))
+        prices = usage.select("sku_name").distinct().select(
+            "sku_name", F.lit("USD").alias("currency_code"), F.lit("2020-01-01").cast("timestamp").alias("price_start_time"), F.lit(None).cast("timestamp").alias("price_end_time"),
+            F.struct(F.struct(F.lit(2).cast("decimal(18,6)").alias("default")).alias("effective_list")).alias("pricing"))
+        per_task = lambda df: sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        spread, plain = per_task(cost.priced_by_time(usage, prices)), per_task(cost.priced(usage, prices))
+        assert sum(spread) == sum(plain) == 60_000 and max(plain) >= 54_000
+        assert max(spread) <= 3 * spread[len(spread) // 2]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

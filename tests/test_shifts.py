@@ -1,0 +1,79 @@
+"""Turning months by trying every split; effects that add up to the whole."""
+
+import random
+
+import pytest
+from conftest import SF_SMALL, member, sub
+
+from subsight.lake import Lake
+from subsight.operators import shifts, silver
+from subsight.plans.registry import QUERIES, TEST_PARAMS
+
+
+def brute_turn(months):
+    """(ym, gain) of the best split of sorted ``(ym, value, weight)``."""
+    best = None
+    for i in range(1, len(months)):
+        (v1, w1), (v2, w2) = ([sum(m[k] for m in part) for k in (1, 2)] for part in (months[:i], months[i:]))
+        if w1 and w2:
+            gain = round(w1 * w2 / (w1 + w2) * (v2 / w2 - v1 / w1) ** 2, 6)
+            if best is None or gain > best[1] + 1e-9:
+                best = (months[i][0], gain)
+    return best
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_turning_month_equals_every_split(spark, seed):
+    r = random.Random(seed)
+    rows = [(g, f"2025-{m:02d}", r.randint(0, 9), r.choice([0, 5, 9, 12])) for g in ("a", "b", None) for m in r.sample(range(1, 13), 9)]
+    rows += [("a", None, 5, 7), ("one", "2025-01", 3, 4), ("flat", "2025-01", 1, 2), ("flat", "2025-02", 1, 2), ("flat", "2025-03", 1, 2)]
+    df = spark.createDataFrame(rows, "g string, ym string, v long, w long")
+    got = {r.g: (r.turning_ym, r.gain) for r in shifts.turning_month(df, "g", "v", "w").collect()}
+    want = {}
+    for g in {r[0] for r in rows}:
+        found = brute_turn(sorted(r[1:] for r in rows if r[0] == g and r[1] is not None))
+        if found:
+            want[g] = found
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    assert all(abs(got[k][1] - want[k][1]) < 1e-5 for k in want) and "one" not in got and got["flat"] == ("2025-02", 0.0)
+    assert shifts.turning_month(df.limit(0), "g", "v", "w").count() == 0
+
+
+def test_churn_turns_where_months_without_churn_end(spark, frames):
+    subs = [sub(i, 1, "churned", end=f"2025-0{m}-10") for i, m in enumerate([1, 6, 6, 7, 7, 8])] + [sub(50, 2, "churned", end="2025-02-01"), sub(51, 1, "active")]
+    got = {r.age_group: r for r in shifts.churn_turning_month(silver.silver_subscriptions(frames("subs", subs)),
+                                                               silver.silver_members(frames("members", [member(1, age=25), member(2, age=45)]))).collect()}
+    assert (got["20代以下"].turning_ym, got["20代以下"].rate_before, got["20代以下"].rate_since) == ("2025-06", 0.2, round(5 / 3, 6))
+    assert got["40代"].turning_ym == "2025-03"
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_effects_add_up_to_the_change(spark, seed):
+    """Cells that come, go or have no weight included."""
+    r = random.Random(seed)
+    rows = [(r.choice("abc"), r.choice(["x", None]), r.choice(["2025-01", "2025-02", "2025-03", "2025-04", None]), r.randint(0, 5), r.randint(0, 9))
+            for _ in range(60)] + [("new", "x", "2025-04", 2, 5), ("gone", "x", "2025-01", 1, 8), ("void", "x", "2025-01", 0, 0)]
+    out = shifts.drivers(spark.createDataFrame(rows, "a string, b string, ym string, v long, w long"), ["a", "b"], "v", "w", "2025-03").collect()
+
+    def rate(keep):
+        some = [x for x in rows if x[2] and keep(x[2])]
+        return sum(x[3] for x in some if x[4] or True) / sum(x[4] for x in some) * 100
+
+    # a cell with value but no weight has no rate and no part: leave its value out of the whole as well
+    none = {(x.a, x.b): (x.weight_before == 0, x.weight_since == 0) for x in out}
+    lost = [sum(x[3] for x in rows if x[2] and (x[2] < "2025-03") == first and none.get((x[0], x[1]), (True, True))[k]) for k, first in ((0, True), (1, False))]
+    whole = [sum(x[4] for x in rows if x[2] and (x[2] < "2025-03") == first) for first in (True, False)]
+    change = rate(lambda m: m >= "2025-03") - lost[1] / whole[1] * 100 - (rate(lambda m: m < "2025-03") - lost[0] / whole[0] * 100)
+    assert abs(sum(x.mix_effect + x.rate_effect for x in out) - change) < 1e-6
+    cells = {x.a: x for x in out if x.a in ("new", "gone")}
+    assert cells["new"].rate_effect == 0 and cells["gone"].rate_effect == 0 and "void" not in {x.a for x in out}
+
+
+def test_drivers_of_the_given_tables_sum_to_the_overall_change(spark):
+    lake = Lake.from_testdata(spark, SF_SMALL)
+    split = TEST_PARAMS["split_ym"]
+    months = [r for r in lake["gold_monthly_engagement"].collect() if r.ym]
+    rates = [100 * sum(r.reads_completed for r in part) / sum(r.article_views for r in part)
+             for part in ([r for r in months if r.ym < split], [r for r in months if r.ym >= split])]
+    out = QUERIES["completion_drivers"](lake).collect()
+    assert abs(sum(r.mix_effect + r.rate_effect for r in out) - (rates[1] - rates[0])) < 1e-6 and len(out) > 50
