@@ -21,7 +21,10 @@ from subsight.llm.winnowing import contamination
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the language models, learned from the labelled ones among them, do not reject."""
+    """Documents that the language models, learned from the labelled ones among them, do not reject.
+
+    Rows without a letter (null or blank texts, numbers) have no language and go.
+    """
     return keep_identified(docs, learned_identifier(docs))
 
 
@@ -29,7 +32,9 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """One document of each component of near copies stays: the one with the least ``doc_id``, nulls last.
 
     Of several texts with that id in the component, the one of least hash
-    stays; of several rows with that id and text, the least by its columns.
+    stays; of several rows with that id and text, the least by the JSON form
+    of its columns (maps included). Null texts are one component with the
+    empty ones.
     """
     kept, again = kept_copies(docs)
     of = lambda keys: docs.doc_id.eqNullSafe(keys.kept_id) & (F.xxhash64(docs.text) == keys.kept_key)
@@ -37,15 +42,21 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
         return docs.join(kept, of(kept), "left_semi")
     once = kept.join(again.select(F.col("kept_id").alias("id"), F.col("kept_key").alias("key")),
                      F.col("kept_id").eqNullSafe(F.col("id")) & (F.col("kept_key") == F.col("key")), "left_anti")
+    whole = F.struct(*docs.columns)
     repeated = docs.join(again, of(again), "left_semi")
-    least = repeated.groupBy(repeated.doc_id, F.xxhash64(repeated.text)).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    least = repeated.groupBy(repeated.doc_id, F.xxhash64(repeated.text)).agg(F.min_by(whole, F.to_json(whole)).alias("row"))
     return docs.join(once, of(once), "left_semi").unionByName(least.select("row.*"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of a benchmark item."""
+    """Documents without any window of a benchmark item; null texts have none and stay.
+
+    The ids to drop are written first, so that their size is known when the
+    join is planned: where they are few no text is shuffled.
+    """
     found = contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated") \
         .select(F.col("doc_id").alias("hit_id"), "text_key").distinct()
+    found = stored(found, "contaminated")
     return docs.join(found, docs.doc_id.eqNullSafe(found.hit_id) & (F.xxhash64(docs.text) == found.text_key), "left_anti")
 
 
@@ -59,7 +70,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each time the mix takes a document, in training order."""
+    """A row for each time the mix takes a document, in training order; documents without words (null texts) are not taken."""
     return training_order(docs)
 
 
