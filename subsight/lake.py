@@ -85,6 +85,7 @@ class Lake:
         """Every table that exists in ``config``'s namespace is read from
         storage; missing silver/gold tables are derived."""
         from subsight.model import BILLING_TABLES, BRONZE_TABLES, GOLD_TABLES, MONTHS_TABLE, SILVER_TABLES, SKETCH_TABLE, TOTALS_TABLE
+        from subsight.plans import articles
         from subsight.sources.catalog import USAGE_DAY_KEY, read_table, table_exists, table_property
 
         names = [*(f"bronze_{t}" for t in BRONZE_TABLES), *SILVER_TABLES, ACTIVITY_TABLE, MONTHS_TABLE, TOTALS_TABLE, SKETCH_TABLE, READERS_TABLE,
@@ -94,8 +95,7 @@ class Lake:
             if table_exists(spark, config, name):
                 loaders[name] = (lambda n=name: read_table(spark, config, n))
         if "silver_reading_logs" in loaders:  # stored with the partition column last
-            loaders["silver_reading_logs"] = lambda: read_table(spark, config, "silver_reading_logs").select(
-                *silver.READING_LOG_COLUMNS)
+            loaders["silver_reading_logs"] = lambda: articles.current_logs(spark, config).select(*silver.READING_LOG_COLUMNS)
         loaders.update(extra or {})
         lake = cls(spark, loaders)
         if "usage" in loaders and "usage" not in (extra or {}):

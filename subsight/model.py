@@ -68,6 +68,9 @@ TOTALS_TABLE = "work_member_totals"
 # Per month: sketches of the logs' columns, and of the readers of each category.
 SKETCH_TABLE = "work_log_sketches"
 READERS_TABLE = "work_reader_sketches"
+# Articles of each month's logs with their attributes, and attributes that changed after logs were taken.
+ARTICLE_INDEX = "work_month_articles"
+OVERRIDES_TABLE = "work_article_overrides"
 # Month of the usage day, the partition column of stored usage.
 USAGE_MONTH = "usage_ym"
 

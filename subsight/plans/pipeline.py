@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from subsight.functions import month_of
 from subsight.lake import Lake
-from subsight.model import ACTIVITY_TABLE, GOLD_TABLES, MONTHS_TABLE, TOTALS_TABLE, USAGE_MONTH
+from subsight.model import ACTIVITY_TABLE, ARTICLE_INDEX, GOLD_TABLES, MONTHS_TABLE, OVERRIDES_TABLE, TOTALS_TABLE, USAGE_MONTH
 from subsight.operators import cost, gold, silver
-from subsight.plans import refresh
+from subsight.plans import articles, refresh
 from subsight.plans.metadata import apply_comments
 from subsight.sources.bronze import register_bronze, write_table
 from subsight.sources.catalog import USAGE_DAY_KEY, LakeConfig, read_table, set_table_property, table_exists, use_schema
@@ -89,10 +89,12 @@ def run_silver(spark: SparkSession, config: LakeConfig, inputs: Lake | None = No
         run_incremental(spark, config, log_files)
         counts["silver_reading_logs"] = read_table(spark, config, "silver_reading_logs").count()
     else:
-        articles = read_table(spark, config, "silver_articles")
+        stored_articles = read_table(spark, config, "silver_articles")
         counts["silver_reading_logs"] = write_table(
-            silver.silver_reading_logs(src["bronze_reading_logs"], articles), config,
+            silver.silver_reading_logs(src["bronze_reading_logs"], stored_articles), config,
             "silver_reading_logs", partition_by=["ym"])
+        for table in (OVERRIDES_TABLE, ARTICLE_INDEX):  # the logs are of today's articles
+            spark.sql(f"DROP TABLE IF EXISTS {config.fqn(table)}")
     counts["silver_subscriptions"] = write_table(
         silver.silver_subscriptions(src["bronze_subscriptions"]), config, "silver_subscriptions")
     apply_comments(spark, config, ["silver_subscriptions"])
@@ -104,7 +106,7 @@ def run_gold(spark: SparkSession, config: LakeConfig) -> dict[str, int]:
     into the activity table (partitioned by month), everything else from it:
     a row per month, the members' totals, the marts."""
     use_schema(spark, config)
-    logs = read_table(spark, config, "silver_reading_logs")
+    logs = articles.current_logs(spark, config)
     counts = {ACTIVITY: write_table(gold.member_month_activity(logs), config, ACTIVITY, partition_by=["ym"])}
     activity = read_table(spark, config, ACTIVITY)
     members = read_table(spark, config, "silver_members")
@@ -128,6 +130,22 @@ def run_sketches(spark: SparkSession, config: LakeConfig) -> dict[str, int]:
     return refresh.write_sketches(spark, config)
 
 
+def index_articles(spark: SparkSession, config: LakeConfig) -> None:
+    """Stores which articles each month's logs have, so that later changes of
+    their attributes reach the marts (:func:`refresh_articles`)."""
+    use_schema(spark, config)
+    articles.write_index(spark, config, articles.current_logs(spark, config))
+
+
+def refresh_articles(spark: SparkSession, config: LakeConfig, months: list[str] = ()) -> dict[str, int]:
+    """Puts changed article attributes into force in the months that have
+    logs of those articles, beside ``months``; see
+    :mod:`subsight.plans.articles`."""
+    use_schema(spark, config)
+    found = articles.propagate(spark, config)
+    return refresh_months(spark, config, sorted({*months, *(found or ())})) if found is not None or months else {}
+
+
 def run_pipeline(spark: SparkSession, config: LakeConfig, inputs: Lake | None = None,
                  log_files: str | None = None) -> dict[str, int]:
     """silver, then gold; gold does not start when silver raises.
@@ -138,7 +156,10 @@ def run_pipeline(spark: SparkSession, config: LakeConfig, inputs: Lake | None =
     """
     counts = run_silver(spark, config, inputs, log_files)
     if log_files is not None and table_exists(spark, config, ACTIVITY):
-        counts.update(refresh_months(spark, config, grown_months(spark, config)))
+        months = grown_months(spark, config)
+        if table_exists(spark, config, ARTICLE_INDEX):
+            months = sorted({*months, *(articles.propagate(spark, config) or ())})
+        counts.update(refresh_months(spark, config, months))
         return counts
     counts.update(run_gold(spark, config))
     return counts

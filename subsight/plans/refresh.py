@@ -31,8 +31,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subsight.functions import month_of
-from subsight.model import ACTIVITY_TABLE, MONTHS_TABLE, READERS_TABLE, SKETCH_TABLE, TOTALS_TABLE
+from subsight.model import ACTIVITY_TABLE, ARTICLE_INDEX, MONTHS_TABLE, READERS_TABLE, SKETCH_TABLE, TOTALS_TABLE
 from subsight.operators import gold, sketches
+from subsight.plans import articles
 from subsight.sources.bronze import replace_partitions, write_table
 from subsight.sources.catalog import LakeConfig, read_table, set_table_property, table_exists, table_property
 
@@ -110,7 +111,7 @@ def _replaced(mart: DataFrame, new: DataFrame, months: list[str]) -> DataFrame:
 
 def stage(spark: SparkSession, config: LakeConfig, months: list[str]) -> str:
     """Writes the new activity of ``months`` and the delta of their members, and marks the refresh as pending."""
-    logs = read_table(spark, config, "silver_reading_logs").where(in_months(months))
+    logs = articles.current_logs(spark, config).where(in_months(months))
     write_table(gold.member_month_activity(logs), config, STAGE, partition_by=["ym"])
     old = read_table(spark, config, ACTIVITY_TABLE).where(in_months(months))
     write_table(member_deltas(old, read_table(spark, config, STAGE)), config, DELTA)
@@ -131,9 +132,9 @@ def pending(spark: SparkSession, config: LakeConfig) -> tuple[str, list[str]] |
 def write_sketches(spark: SparkSession, config: LakeConfig, months: list[str] | None = None) -> dict[str, int]:
     """The sketches of all months, or anew those of ``months`` where the tables exist: other months are not read."""
     counts = {}
-    for table, source, make in ((SKETCH_TABLE, "silver_reading_logs", lambda df: sketches.log_sketches(df, by=["ym"])),
+    for table, source, make in ((SKETCH_TABLE, "", lambda df: sketches.log_sketches(df, by=["ym"])),
                                 (READERS_TABLE, ACTIVITY_TABLE, sketches.reader_sketches)):
-        rows = read_table(spark, config, source)
+        rows = articles.current_logs(spark, config) if table == SKETCH_TABLE else read_table(spark, config, source)
         if months is None:
             counts[table] = write_table(make(rows), config, table, partition_by=["ym"])
         elif table_exists(spark, config, table):
@@ -168,5 +169,7 @@ def apply(spark: SparkSession, config: LakeConfig, run: str, months: list[str])
     counts["gold_paywall_conversion"] = write_table(paywall, config, "gold_paywall_conversion")
     counts["gold_member_segment"] = write_table(gold.member_segment(members, totals), config, "gold_member_segment")
     counts.update(write_sketches(spark, config, months))
+    if table_exists(spark, config, ARTICLE_INDEX):  # last: until then the next propagation finds the same months
+        articles.write_index(spark, config, articles.current_logs(spark, config).where(in_months(months)), months)
     spark.sql(f"ALTER TABLE {config.fqn(ACTIVITY_TABLE)} UNSET TBLPROPERTIES IF EXISTS ('{PENDING_KEY}')")
     return counts

@@ -10,9 +10,9 @@ checkpoint in the cluster's checkpoint folder records which files were
 done, so a rerun after a lost executor or driver repeats no file and skips
 none (exactly-once file sink).
 
-The result equals the full refresh as long as the article attributes of
-old logs do not change (a log is joined once, with the articles of the
-day it arrives).
+A log is joined once, with the articles of the day it arrives; attributes
+that change later are put into force by :mod:`subsight.plans.articles`,
+after which the result equals the full refresh.
 
 The stream owns its target table. The file sink lists the files it
 committed in ``_spark_metadata`` inside the table folder, and readers then
