@@ -110,3 +110,12 @@ def test_one_document_of_each_component(spark, documents):
     assert out.columns == documents(given).columns
     assert sorted((r.doc_id or 0, r.text[:2].lower()) for r in out.collect()) == [(0, "a0"), (3, "c0"), (4, "b0"), (5, "d0"), (5, "so")]
     assert Counter(rows(out)) <= Counter(given)
+
+
+def test_rows_with_maps_are_deduplicated(spark):
+    """A column that has no order: of rows equal in id and text one stays, the same one each time."""
+    text = " ".join(f"w{i}" for i in range(50))
+    given = spark.createDataFrame([(1, text, {"a": 2}), (1, text, {"a": 1}), (2, text, {}), (3, "other words " * 9, None)],
+                                  "doc_id long, text string, tags map<string,int>")
+    out = sorted((r.doc_id, r.tags) for r in P.simhash_dedup(spark, given, SMALL).collect())
+    assert out == [(1, {"a": 1}), (3, None)]
