@@ -81,7 +81,7 @@ class Model:
 
 
 def train(codes: np.ndarray, place: np.ndarray, owner: np.ndarray, counts: np.ndarray, classes: list[str], order: int,
-          shared_orders: int = 0) -> Model:
+          shared_orders: int = 0, least_count: int = 1) -> Model:
     """A model from sequences: code i belongs to sequence ``owner[i]``, which occurs ``counts[owner[i], c]`` times in class c.
 
     Below the highest order an n-gram counts by its distinct left
@@ -90,7 +90,9 @@ def train(codes: np.ndarray, place: np.ndarray, owner: np.ndarray, counts: np.nd
     a uniform distribution over the symbols seen and one more. The counts of
     the lowest ``shared_orders`` orders are those of all classes pooled, so
     what is rare in one class is smoothed by what all classes know of it.
-    The first place of a sequence is a start mark and no prediction.
+    Of two and more symbols only n-grams that occur ``least_count`` times in
+    all classes together are kept; the mass of the others goes to the
+    context's backoff weight, so probabilities still sum to one. The first place of a sequence is a start mark and no prediction.
     """
     each = range(len(classes))
     model = Model(classes, order, np.zeros(len(classes), np.float32))
@@ -128,6 +130,14 @@ def train(codes: np.ndarray, place: np.ndarray, owner: np.ndarray, counts: np.nd
             total = np.stack([np.bincount(ctx, seen[:, c], len(ctx_keys)) for c in each], axis=1)
             kinds = np.stack([np.bincount(ctx, seen[:, c] > 0, len(ctx_keys)) for c in each], axis=1)
             weight = np.where(total > 0, d * kinds / np.maximum(total, 1e-12), 1.0)
+            kept = raw[n].sum(axis=1) >= least_count
+            if not kept.all():  # a suffix occurs as often as its n-gram at least, so it was kept as well
+                cut = np.stack([np.bincount(ctx[~kept], np.maximum(seen - d, 0)[~kept, c], len(ctx_keys)) for c in each], axis=1)
+                weight += np.where(total > 0, cut / np.maximum(total, 1e-12), 0)
+                used = np.bincount(ctx[kept], minlength=len(ctx_keys)) > 0  # elsewhere the weight is one
+                ctx_keys, weight, total = ctx_keys[used], weight[used], total[used]
+                ctx = (np.cumsum(used) - 1)[ctx[kept]]
+                uniq[n], seen, suffix[n] = uniq[n][kept], seen[kept], suffix[n][kept]
             lower = below[_find(uniq[n - 1], suffix[n])]
             p = np.where(total[ctx] > 0, np.maximum(seen - d, 0) / np.maximum(total[ctx], 1e-12), 0) + weight[ctx] * lower
             model.contexts.append(ctx_keys)
