@@ -8,7 +8,7 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subsight.llm.graph import components
@@ -55,26 +55,57 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return src.mapInArrow(run, "id long, fp long" + (", text_key long" if keyed else ""))
 
 
-def _probes(fps: DataFrame) -> DataFrame:
+#: Per number of segments: the bits of each key (first, end; one or two segments) and the bits its ball flips.
+SEGMENTATIONS = {2: (([(32, 64)], (32, 64)), ([(0, 32)], None)),
+                 3: (([(21, 64)], (21, 64)), ([(42, 64), (0, 21)], (42, 64)), ([(0, 42)], None))}
+#: Up to so many fingerprints two segments are used: a key of 32 bits then meets at most a few others by chance.
+TWO_SEGMENTS_UP_TO = 1 << 30
+
+
+def segments_for(fps: DataFrame) -> int:
+    """The segmentation for the (approximate) number of different ``fps(fp)``; one pass, no shuffle of fingerprints."""
+    n = fps.agg(F.approx_count_distinct("fp")).first()[0]
+    return 2 if n <= TWO_SEGMENTS_UP_TO else 3
+
+
+def _mask(ranges: list[tuple[int, int]]) -> int:
+    bits = sum((1 << z) - (1 << a) for a, z in ranges)
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
+def _one_more(key: Column, first: int, end: int) -> Column:
+    """``key`` with one more of the bits from ``first`` to ``end`` set, each in turn."""
+    flips = F.transform(F.sequence(F.lit(first), F.lit(end - 1)),
+                        lambda i: key.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), i)))
+    return F.filter(flips, lambda k: k != key)
+
+
+def _probes(fps: DataFrame, segments: int) -> DataFrame:
     """Keys each fingerprint looks up: ``(seg, key, fp, own)``.
 
     With two 32-bit segments and at most two differing bits, the high
     segments differ in at most one bit or the low segments are equal. So the
     high segment is looked up with its ball of radius one, the low one as it
-    is. Of the ball only the keys with one more bit set are needed: a pair
-    one bit apart is then met once, from the side without the bit.
+    is. With three segments A, B, C of 22, 21 and 21 bits the keys are
+    joined segments of 42 and 43 bits: two bits that differ both in A leave
+    BC equal, one each in A and B differ by A's bit in AC, and all others
+    leave at most one bit in AB. So AB is looked up with its ball, AC with
+    the flips of A, BC as it is: twice the probes, but a key of 42 bits
+    meets others by chance only from about 10^12 fingerprints on. Of a ball
+    only the keys with one more bit set are needed: a pair one bit apart is
+    then met once, from the side without the bit.
     """
-    hi = F.shiftrightunsigned("fp", 32)
-    lo = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))
-    one_more = F.filter(F.transform(F.sequence(F.lit(0), F.lit(31)),
-                                    lambda i: hi.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))),
-                        lambda k: k != hi)
     as_key = lambda seg, own: lambda k: F.struct(F.lit(seg).alias("seg"), k.alias("key"), F.lit(own).alias("own"))
-    keys = F.concat(F.array(as_key(0, True)(hi), as_key(1, True)(lo)), F.transform(one_more, as_key(0, False)))
-    return fps.select("fp", F.explode(keys).alias("p")).select("p.seg", "p.key", "p.own", "fp")
+    keys = []
+    for seg, (ranges, ball) in enumerate(SEGMENTATIONS[segments]):
+        key = F.col("fp").bitwiseAND(F.lit(_mask(ranges)))
+        keys.append(F.array(as_key(seg, True)(key)))
+        if ball:
+            keys.append(F.transform(_one_more(key, *ball), as_key(seg, False)))
+    return fps.select("fp", F.explode(F.concat(*keys)).alias("p")).select("p.seg", "p.key", "p.own", "fp")
 
 
-def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> DataFrame:
+def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET, segments: int = 2) -> DataFrame:
     """Edges ``(u, v)`` that connect exactly the distinct ``fps(fp)`` within ``max_bits`` (0 to 2) bits, transitively.
 
     Segment buckets of up to ``bucket`` fingerprints give candidate pairs,
@@ -83,11 +114,12 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BU
     fingerprint that meets one emits its own ball of radius one instead: two
     fingerprints are within two bits exactly if their balls share a point, a
     point has at most 65 fingerprints, and one edge each to the least of
-    them connects them. Nothing is capped or dropped.
+    them connects them. Nothing is capped or dropped. ``segments`` changes the
+    candidates, not the links.
     """
     if not 0 <= max_bits <= 2:
         raise ValueError("max_bits must be 0, 1 or 2")
-    probes = stored(_probes(fps), "probes")
+    probes = stored(_probes(fps, segments), "probes")
     rows = probes.where("own").select("seg", "key", F.col("fp").alias("other"))
     large = stored(rows.groupBy("seg", "key").count().where(F.col("count") > bucket).select("seg", "key"), "large")
     cold = probes.join(large, ["seg", "key"], "left_anti").join(rows, ["seg", "key"]) \
@@ -129,7 +161,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
     fps = rows.groupBy("fp").agg(F.min("id").alias("rep"))
-    nodes = components(fingerprint_links(fps.select("fp"), max_bits, bucket))
+    nodes = components(fingerprint_links(fps.select("fp"), max_bits, bucket, segments_for(rows)))
     linked = fps.join(nodes, fps.fp == nodes.node)
     least = linked.groupBy("root").agg(F.min("rep").alias("least"))
     of = nodes.join(least, "root").select(F.col("node").alias("fp"), "least")
@@ -149,7 +181,7 @@ def kept_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = stored(fingerprints(docs, id_col, text_col, words, keyed=True), "fingerprints")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key"))
     fps = rows.groupBy("fp").agg(first.alias("first"))
-    nodes = components(fingerprint_links(fps.select("fp"), max_bits, bucket))
+    nodes = components(fingerprint_links(fps.select("fp"), max_bits, bucket, segments_for(rows)))
     of = fps.join(nodes, fps.fp == nodes.node, "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
     kept = stored(of.select(F.col("first.id").alias("kept_id"), F.col("first.text_key").alias("kept_key")), "kept")
     many = rows.groupBy("id", "text_key").count().where("count > 1")

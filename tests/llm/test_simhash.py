@@ -91,6 +91,34 @@ def test_links_equal_brute_force(spark, bits, bucket):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
+@pytest.mark.parametrize("segments", [2, 3])
+def test_every_pair_within_two_bits_is_met(spark, segments):
+    """All one- and two-bit neighbours of a fingerprint, and nothing farther, whatever the segments."""
+    f = random.Random(3).getrandbits(64)
+    near = {signed(f ^ (1 << i) ^ (1 << j)) for i in range(64) for j in range(64)}
+    for fps in ({signed(f)} | {x for k, x in enumerate(sorted(near)) if k % 7 == segments}, {signed(f), signed(f ^ 7)}):
+        want = {frozenset((a, b)) for a in fps for b in fps if a != b and ((a ^ b) & (2**64 - 1)).bit_count() <= 2}
+        links = S.fingerprint_links(spark.createDataFrame([(x,) for x in fps], "fp long"), 2, 1 << 20, segments).collect()
+        assert {frozenset(e) for e in links} == want
+
+
+@pytest.mark.parametrize("bits", [0, 1, 2])
+@pytest.mark.parametrize("bucket", [0, 256])
+def test_three_segments_equal_two(spark, documents, monkeypatch, bits, bucket):
+    r = random.Random(bits)
+    rows, words = [], [f"w{i}" for i in range(300)]
+    for i in range(120):
+        text = list(words)
+        for _ in range(r.randint(0, 3)):
+            text[r.randrange(300)] = f"x{r.randrange(5)}"
+        rows.append((i, " ".join(text), "en", "a"))
+    want = brute([(i, S.fingerprint(t)) for i, t, _, _ in rows], bits)
+    assert S.segments_for(spark.createDataFrame([(1,), (2,)], "fp long")) == 2
+    monkeypatch.setattr(S, "TWO_SEGMENTS_UP_TO", 1)
+    assert S.segments_for(spark.createDataFrame([(1,), (2,)], "fp long")) == 3
+    assert Counter(map(tuple, S.simhash_components(documents(rows), max_bits=bits, bucket=bucket).collect())) == want
+
+
 def test_components_of_a_long_path_and_a_hub(spark):
     path = [(i, i + 1) for i in range(200)]
     hub = [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 5000), (None, 3)]
