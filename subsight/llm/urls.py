@@ -22,6 +22,33 @@ SOFT_DISTINCT = 2
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block"))
 
+#: A vocabulary table may hold so many characters of terms: it is read to the driver and sent to every task.
+VOCABULARY_CHARS = 8_000_000
+
+
+def vocabulary_from(terms: DataFrame, term_col: str = "term", weight_col: str = "weight",
+                    max_chars: int = VOCABULARY_CHARS) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """Strict and soft terms, for ``judge_urls``, from a table with a term and its weight (``strict`` or ``soft``) per row.
+
+    Terms are trimmed and A-Z lower-cased; nulls and empty terms are
+    skipped, repeated ones count once, a term with both weights is strict.
+    An empty table gives no terms. Another weight, or more than
+    ``max_chars`` characters of terms, measured before anything is read to
+    the driver, is an error.
+    """
+    weight = F.lower(F.trim(F.col(weight_col).cast("string")))
+    term = F.translate(F.trim(F.col(term_col).cast("string")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    rows = terms.select(term.alias("term"), weight.alias("weight")).where("term <> ''").groupBy("term") \
+        .agg(F.max((F.col("weight") == "strict").cast("int")).alias("strict"),
+             F.count_if(~F.coalesce(F.col("weight").isin("strict", "soft"), F.lit(False))).alias("other"))
+    chars, other = rows.agg(F.coalesce(F.sum(F.length("term")), F.lit(0)), F.coalesce(F.sum("other"), F.lit(0))).first()
+    if other:
+        raise ValueError(f"{other} terms have a weight that is neither strict nor soft")
+    if chars > max_chars:
+        raise ValueError(f"the vocabulary has {chars} characters, over {max_chars}")
+    got = [(r["term"], r["strict"]) for r in rows.select("term", "strict").collect()]
+    return tuple(sorted(t for t, strict in got if strict)), tuple(sorted(t for t, strict in got if not strict))
+
 
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; empty if there is none."""
@@ -58,11 +85,13 @@ def _word(c: str) -> bool:
 
 def vocabulary_hits(url: str | None, strict: tuple[str, ...] = STRICT, soft: tuple[str, ...] = SOFT) -> tuple[list[str], list[str]]:
     """Distinct strict and soft terms of ``url``, A-Z lower-cased, that stand between characters other than letters and digits."""
+    return _hits(url, _automaton(strict, soft)) if strict or soft else ([], [])
+
+
+def _hits(url: str | None, automaton: ahocorasick.Automaton) -> tuple[list[str], list[str]]:
     text = (url or "").encode("utf-8", "replace").lower().decode("utf-8", "replace")
     found = {"strict": set(), "soft": set()}
-    if not strict and not soft:
-        return [], []
-    for end, (term, weight) in _automaton(strict, soft).iter(text):
+    for end, (term, weight) in automaton.iter(text):
         start = end - len(term)
         if (start < 0 or not _word(text[start])) and (end + 1 == len(text) or not _word(text[end + 1])):
             found[weight].add(term)
@@ -86,8 +115,9 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     strict_terms, soft_terms = tuple(sorted(set(strict))), tuple(sorted(set(soft)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = _automaton(strict_terms, soft_terms) if strict_terms or soft_terms else None
         for b in batches:
-            hits = [vocabulary_hits(u.as_py(), strict_terms, soft_terms) for u in b.column(1)]
+            hits = [_hits(u.as_py(), automaton) if automaton else ([], []) for u in b.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([len(s) for s, _ in hits], pa.int32()), pa.array([len(s) for _, s in hits], pa.int32())],
                 ["id", "url", "n_strict", "n_soft"])

@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from subsight.llm import urls as U
 
 
@@ -69,3 +71,31 @@ def test_own_vocabulary_and_empty(spark):
     assert got == {1: "block", 2: "block"}
     assert {r.verdict for r in U.judge_urls(df, rules=(), strict=[], soft=[]).collect()} == {"allow"}
     assert U.judge_urls(df.limit(0)).count() == 0
+
+
+def test_vocabulary_from_a_table(spark):
+    rows = [(" Bad-Word ", "STRICT", 1), ("one", "soft", 2), ("one", "soft", 3), ("two", "soft", 4), ("two", "strict", 5),
+            (None, "soft", 6), ("", None, 7), ("É", "soft", 8)]
+    table = spark.createDataFrame(rows, "term string, weight string, url long")
+    strict, soft = U.vocabulary_from(table)
+    assert (strict, soft) == (("bad-word", "two"), ("one", "É"))
+    urls = spark.createDataFrame([(1, "http://a.org/BAD-word"), (2, "http://a.org/one"), (3, "http://a.org/one/two"), (4, None)],
+                                 "page_id long, url string")
+    got = {r.page_id: r.verdict for r in U.judge_urls(urls, rules=(), strict=strict, soft=soft).collect()}
+    assert got == {1: "block", 2: "allow", 3: "block", 4: "allow"}
+    assert U.vocabulary_from(table.limit(0)) == ((), ())
+    with pytest.raises(ValueError, match="neither"):
+        U.vocabulary_from(spark.createDataFrame([("a", "hard"), ("b", None)], "term string, weight string"))
+    with pytest.raises(ValueError, match="characters"):
+        U.vocabulary_from(table, max_chars=10)
+
+
+def test_a_long_vocabulary_equals_brute_force(spark):
+    r = random.Random(4)
+    terms = sorted({"".join(r.choice("abc-") for _ in range(r.randint(1, 6))) for _ in range(1500)})
+    strict, soft = U.vocabulary_from(spark.createDataFrame([(t, "strict" if i % 9 == 0 else "soft") for i, t in enumerate(terms)],
+                                                           "term string, weight string"))
+    assert len(strict) + len(soft) == len(terms)
+    urls = ["http://" + "".join(r.choice("abc-/.") for _ in range(30)) for _ in range(60)]
+    got = U.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules=(), strict=strict, soft=soft)
+    assert {r.page_id: (r.n_strict, r.n_soft) for r in got.collect()} == {i: (hits(u, strict), hits(u, soft)) for i, u in enumerate(urls)}
