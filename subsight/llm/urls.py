@@ -61,9 +61,12 @@ def path_of(url: Column) -> Column:
 
 
 def rule_columns(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> tuple[Column, Column]:
-    """The longest rule that fits (host or a subdomain of it, path start) as text, and its verdict; else nulls."""
+    """The longest rule that fits (host or a subdomain of it, path start) as text, and its verdict; else nulls.
+
+    Of several of equal length the first of ``rules`` decides.
+    """
     name = verdict = F.lit(None).cast("string")
-    for h, p, v in sorted(rules, key=lambda r: len(r[0] + r[1])):
+    for h, p, v in sorted(reversed(rules), key=lambda r: len(r[0] + r[1])):
         fits = ((host == h) | host.endswith("." + h)) & path.startswith(p)
         name, verdict = F.when(fits, h + p).otherwise(name), F.when(fits, v).otherwise(verdict)
     return name, verdict
@@ -103,11 +106,13 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
                url_col: str = "url") -> DataFrame:
     """``(id_col, host, path, rule, verdict, n_strict, n_soft)``, one row per row of ``pages``.
 
-    The longest fitting rule decides; where none fits, the vocabulary does:
+    The longest fitting rule decides, of equally long ones the first given;
+    where none fits, the vocabulary does:
     block on one strict term or ``soft_distinct`` distinct soft terms, allow
     otherwise. A term counts only between characters that are no ASCII
     letters or digits. Null, empty and scheme-less urls have empty host and
-    path, so only the vocabulary judges them, and null is allowed. Rows that
+    path, so only the vocabulary judges them, and null is allowed. Very long
+    urls are read whole, in time linear in their length. Rows that
     repeat keep a row each; an empty table gives none; other columns are not
     read. The vocabulary travels with the code, so its size is that of the
     parameters.

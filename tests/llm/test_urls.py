@@ -73,6 +73,18 @@ def test_own_vocabulary_and_empty(spark):
     assert U.judge_urls(df.limit(0)).count() == 0
 
 
+def test_rules_of_equal_length(spark):
+    """The first given decides, as in the SQL."""
+    rules = [("b.org", "/", "block"), ("org", "/xy", "allow"), ("org", "/xyz", "block"), ("b.org", "/x", "allow")]
+    urls = ["http://b.org/xy", "http://b.org/xyz", "http://a.b.org/a", "http://c.org/xyz"]
+    got = U.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules=rules).collect()
+    assert [(r.rule, r.verdict) for r in sorted(got)] == [("b.org/x", "allow"), ("org/xyz", "block"), ("b.org/", "block"), ("org/xyz", "block")]
+    tied = spark.createDataFrame([(1, "http://b.org/x")], "page_id long, url string")
+    for first, second in (("allow", "block"), ("block", "allow")):
+        got = U.judge_urls(tied, rules=[("b.org", "/", first), ("b.org", "/", second), ("org", "/", second)]).first()
+        assert (got.rule, got.verdict) == ("b.org/", first)
+
+
 def test_vocabulary_from_a_table(spark):
     rows = [(" Bad-Word ", "STRICT", 1), ("one", "soft", 2), ("one", "soft", 3), ("two", "soft", 4), ("two", "strict", 5),
             (None, "soft", 6), ("", None, 7), ("É", "soft", 8)]
