@@ -113,7 +113,8 @@ def mix_documents(docs: DataFrame, schedules: Sequence[tuple[float, float]] = SC
     Size is the number of words, 0 for null or empty text (such rows take 0
     words). Null is a source of its own, the last one. Rows that repeat an id
     are rows of their own; rows equal in id and text are interchangeable. An
-    empty table gives an empty result. Other columns are not read.
+    empty table gives an empty result. Very long texts count whole, so one may
+    be more than a source's whole target: it is taken if its middle is. Other columns are not read.
     ``first_position`` is null for rows not taken.
     """
     rows = stored(sized(docs, [id_col], id_col, text_col, source_col), "sizes")

@@ -120,8 +120,9 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = LIM
 
     ``vocabulary`` is the name of a byte-level BPE file among the installed
     public tokenizers, or a path that every worker can open. Whole texts of
-    any length; null is the empty text with 0 bytes and tokens. Repeated rows
-    keep a row each; other columns are not read.
+    any length; null is the empty text with 0 bytes and tokens; a text of
+    exactly ``limit`` tokens is not over it. Repeated rows keep a row each, an
+    empty table gives none; other columns are not read.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(vocabulary) if "/" in vocabulary else named(vocabulary)

@@ -151,7 +151,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, words: int = WINDOW_WOR
     that repeat an id and text get equal results, one row each; rows that
     share an id (or have none) with other texts are judged by their own
     text, told apart by ``text_key``. Very long texts are read whole, about a
-    megabyte of words at a time or one text. Other columns are not read.
+    megabyte of words at a time or one text. An empty table of documents
+    gives an empty result. Other columns are not read.
     """
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     src = src.select("id", F.xxhash64("text").alias("text_key"), "text")
