@@ -43,6 +43,7 @@ def _address(without: str) -> re.Pattern:
 
 
 _ADDRESSES = (_address(_UNSPACED), _address(""))
+_NAMED = re.compile(r"[^@]@[^@.][^@]*\.[^@.]")  #: of shapes: something at a dotted domain
 _TRIGGER = re.compile(r"[0-9@]")
 _SPACE = frozenset("\x20\t\n\x0b\x0c\r")
 _EDGES = re.compile(r"[0-9A-Za-z+(].*[0-9A-Za-z]", re.S)
@@ -119,7 +120,7 @@ _remembered = lru_cache(1 << 16)(_outline)
 def _own(word: str) -> list[str]:
     detailed, plain, count = _shape(word)
     bare = plain.strip(".,;:!?")
-    return ["d " + detailed.rstrip(".,;:!?"), "p " + plain, "b " + bare, "n " + count, "f " + plain[:1], "@ " + str("@" in plain)]
+    return ["d " + detailed.rstrip(".,;:!?"), "p " + plain, "b " + bare, "n " + count, "f " + plain[:1], "@ " + str("@" in plain), "e " + str(_NAMED.search(plain) is not None)]
 
 
 class Field:
@@ -258,10 +259,10 @@ def labelled(rows: str = ROWS) -> tuple[list[list[str]], list[list[int]]]:
     segments, gold = [], []
     for row in rows.strip().splitlines():
         words, labels = [], []
-        for part in re.finditer(r"\[(\w+)\|([^\]]+)\](\S*)|\S+", row):
-            if part.group(1):
-                inside = (part.group(2) + part.group(3)).split()
-                labels += [LABELS.index(("I-" if i else "B-") + part.group(1)) for i in range(len(inside))]
+        for part in re.finditer(r"([^\s\[]*)\[(\w+)\|([^\]]+)\](\S*)|\S+", row):
+            if part.group(2):  # what touches a mark, a second mark too, is of the same words
+                inside = (part.group(1) + part.group(3) + re.sub(r"\[\w+\|([^\]]+)\]", r"\1", part.group(4))).split()
+                labels += [LABELS.index(("I-" if i else "B-") + part.group(2)) for i in range(len(inside))]
             else:
                 inside = [part.group()]
                 labels.append(0)
@@ -355,7 +356,7 @@ def _covered(base: Sequence[Span]) -> tuple[list[int], list[int]]:
 
 
 def _added(text: str, run: Sequence[tuple[int, int]], path: np.ndarray, covered: tuple[list[int], list[int]]) -> list[Span]:
-    """Spans of a decoded run that pass their kind's check and overlap nothing ``covered``."""
+    """Spans of a decoded run that pass their kind's check and overlap nothing ``covered``, and wider addresses, which may."""
     out, i = [], 0
     starts, ends = covered
     while i < len(run):
@@ -368,7 +369,9 @@ def _added(text: str, run: Sequence[tuple[int, int]], path: np.ndarray, covered:
             j += 1
         m = _EDGES.search(text, run[i][0], run[j - 1][1])
         kind = label[2:]
-        if m and kind != "email" and valid(kind, m.group()):
+        if kind == "email":  # the base has what its pattern accepts; what it cuts or misses is added beside it
+            out.extend(s for a, z in run[i:j] for s in _wider_emails(text, a, z))
+        elif m and valid(kind, m.group()):
             k = bisect_right(ends, m.start())  # the first that ends behind the span's start
             if k == len(starts) or starts[k] >= m.end():
                 out.append((m.start(), KINDS.index(kind), m.end()))
@@ -400,8 +403,6 @@ def find_spans(texts: Sequence[str | None], field: Field) -> list[tuple[list[Spa
         for run in segments_of(text) if text else []:
             waiting.append((i, run))
             size += len(run)
-            out[i][1].extend(s for a, z in run for s in _wider_emails(text, a, z))
-        out[i][1].sort()
         if size >= BATCH_WORDS:
             settle()
             size = 0
@@ -434,8 +435,11 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``(id_col, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added)``, one row per row of ``docs``.
 
     The counts and the digest are those of the base patterns; ``spans`` has
-    the base spans and those the field adds. Positions are code points, end
-    exclusive, ordered by start, then kind. Null counts as empty text, with
+    the base spans and those the field adds: what the patterns lose to each
+    other, and, beside the cut base match if there is one, the whole of an
+    address beyond the base pattern in a word that the field decodes as
+    email. Positions are code points, end exclusive, ordered by start, then
+    kind, then end. Null counts as empty text, with
     no spans. Very long texts are read whole, in time linear in their length
     and spans. Repeated rows keep a row each; an empty table gives none;
     other columns are not read.

@@ -54,6 +54,15 @@ write to [email|carol@example.com], please
 [email|fay.31@mail9.example.com] [card|4111111111111111]
 [card|4111111111111111] [email|gus.80@mail9.example.com] [ip|10.1.2.3]
 mail [email|h_k+news@sub.example.co.uk] today
+mail [email|jörg.4@mail.example.de] now
+to [email|bjørn@example.no] or [email|renée@bücher.example.fr].
+write to <[email|andré@example.com]> please
+([email|łukasz@example.pl])
+"[email|óscar_7@example.es]", she wrote
+mail:[email|şeyma@example.com.tr], or call
+to=[email|анна@пример.рф];[email|zoé@example.fr]
+see é@home or ñ@ for it
+the sign @ß and é@x here
 in 1999 the price was 45 or so
 version 2.10.4 of the tool
 version 1.2.3.4.5 is not an address

@@ -138,6 +138,29 @@ def test_emails_beyond_the_base_pattern(text, want):
     assert pii.redacted(text, all_) == want and found == base(text) and set(found) <= set(all_)
 
 
+@pytest.mark.parametrize("text, want", [
+    ("(élodie.b@mail.fr)", ["élodie.b@mail.fr"]), ("“zoë@x.nl”", ["zoë@x.nl"]), ("name=ærø@x.dk,", ["ærø@x.dk"]),
+    ("jürgen.3@mail.de;øle@mail.no", ["jürgen.3@mail.de", "øle@mail.no"]), ("email: søren_9@fjord.dk.", ["søren_9@fjord.dk"]),
+    ("müller@example.de 4111111111111111 ok", ["müller@example.de"]), ("mailto:zoë@x.nl?subject=hi", ["zoë@x.nl"]),
+    ("مرحبا@موقع.وزارة اكتب", ["مرحبا@موقع.وزارة"]), ("josé@example.com " * 3, ["josé@example.com"] * 3),
+])
+def test_the_field_decides_on_wider_emails(text, want):
+    (found, all_), = pii.find_spans([text], pii.trained())
+    wider = [(a, k, z) for a, k, z in all_ if k == 0 and (a, k, z) not in found]
+    assert [text[a:z] for a, _, z in wider] == want
+
+    class Silent:  # a field that decodes nothing as personal data adds nothing
+        def decode(self, segments):
+            return [pii.np.zeros(len(s), int) for s in segments]
+
+    assert pii.find_spans([text], Silent()) == [(found, found)]
+
+
+def test_marks_touch_other_characters():
+    (words,), (labels,) = pii.labelled("to <[email|a b@c.d]>;[email|é@f.g], now")
+    assert words == ["to", "<a", "b@c.d>;é@f.g,", "now"] and [pii.LABELS[i] for i in labels] == ["O", "B-email", "I-email", "O"]
+
+
 def test_shapes_are_those_of_whole_words():
     """What begins alike and ends otherwise has another shape, on both sides of the length that is remembered."""
     for n in (10, 79, 90, 5000):
