@@ -15,6 +15,8 @@ from subsight.llm.tables import stored
 THRESHOLD = 0.93
 #: Vectors of a tile, about; a pair of tiles is one unit of work.
 TILE = 2048
+#: Tiles of a block, at most. A tile is sent to a block pair once, whatever the number of its partners there.
+BLOCK = 8
 #: The principal axes and tile borders are fitted on about so many vectors; results do not depend on them.
 SAMPLE = 16384
 #: Axes whose ranges bound a tile.
@@ -90,6 +92,20 @@ def _pack(rows: DataFrame, dtype: str) -> DataFrame:
     return rows.select("tile", "cid", "copies", "v").groupBy("tile").applyInArrow(run, "tile string, cids binary, copies binary, data binary")
 
 
+def _sends(pairs: DataFrame) -> DataFrame:
+    """What each pair of blocks needs: ``(g1, g2, dim, side, tile, ones)`` from ``pairs(g1, g2, dim, one, two)``.
+
+    On side 0 the tiles of the first block, on side 1 those of the second
+    with their partners in the first. A block has at most ``BLOCK`` tiles, so
+    with all pairs of tiles to be compared a pair costs 2 / ``BLOCK`` tiles
+    sent, not two.
+    """
+    first = pairs.select("g1", "g2", "dim", F.lit(0).alias("side"), F.col("one").alias("tile")).distinct() \
+        .withColumn("ones", F.array().cast("array<string>"))
+    second = pairs.groupBy("g1", "g2", "dim", F.lit(1).alias("side"), F.col("two").alias("tile")).agg(F.collect_list("one").alias("ones"))
+    return first.unionByName(second)
+
+
 def _projector(axes: dict[int, np.ndarray], k: int, dtype: str):
     """Adds the first ``k`` principal coordinates of each vector, as ``p``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +133,9 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, tile:
     class with a multiplicity. Classes are cut into tiles along the first
     principal axis (crowded stretches are split by hash, so no tile grows
     with a group), and pairs of tiles whose boxes over the leading axes are
-    near enough are compared, a pair a row, wherever Spark puts it. A pair
+    near enough are compared. Tiles form blocks of at most ``BLOCK``; a task
+    that compares two blocks holds the tiles of the first and reads those of
+    the second one by one. A pair
     gives back at most one row per class: its number of links and the least
     class it reaches within the pair. So links are counted without being
     listed, and components follow from these edges.
@@ -169,47 +187,59 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, tile:
         "bin", F.coalesce(F.size(F.filter("cuts", lambda c: c <= F.col("p")[0])), F.lit(0))).drop("cuts")
     binned = stored(binned, "vector-bins")
     crowd = binned.groupBy("label", "dim", "bin").agg(F.count(F.lit(1)).alias("n"))
-    name = F.concat_ws("/", F.col("label").cast("string"), "dim", "bin", F.pmod(F.xxhash64("cid"), F.ceil(F.col("n") / tile)))
-    tiled = binned.join(crowd, ["label", "dim", "bin"]).withColumn("tile", name)
-    boxes = tiled.groupBy("label", "dim", "bin", "tile").agg(
+    tiles, part = F.ceil(F.col("n") / tile), F.pmod(F.xxhash64("cid"), F.ceil(F.col("n") / tile))
+    several = max(1, BLOCK // 2)  # bins of up to two tiles share a block, others have blocks of their own
+    block = F.when(tiles <= 2, F.concat(F.lit("b"), F.floor(F.col("bin") / several))) \
+        .otherwise(F.concat_ws("c", "bin", F.floor(part / BLOCK).cast("string")))
+    tiled = binned.join(crowd, ["label", "dim", "bin"]) \
+        .withColumn("tile", F.concat_ws("/", F.col("label").cast("string"), "dim", "bin", part)) \
+        .withColumn("block", F.concat_ws("/", F.col("label").cast("string"), "dim", block))
+    boxes = tiled.groupBy("label", "dim", "bin", "block", "tile").agg(
         F.array(*[F.min(F.coalesce(F.get("p", F.lit(i)), F.lit(0.0))) for i in range(k)]).alias("low"),
         F.array(*[F.max(F.coalesce(F.get("p", F.lit(i)), F.lit(0.0))) for i in range(k)]).alias("high"))
     boxes = stored(boxes, "tiles")
     near = boxes.join(upto, ["label", "dim", "bin"]).select(
-        "label", "dim", F.col("tile").alias("one"), F.col("low").alias("low1"), F.col("high").alias("high1"),
+        "label", "dim", F.col("block").alias("g1"), F.col("tile").alias("one"), F.col("low").alias("low1"), F.col("high").alias("high1"),
         F.col("bin").alias("bin1"), F.explode(F.sequence("bin", "last")).alias("bin"))
     gap = sum((F.pow(F.greatest(F.lit(0.0), F.col("low")[i] - F.col("high1")[i], F.col("low1")[i] - F.col("high")[i]), F.lit(2.0))
                for i in range(k)), F.lit(0.0))
     pairs = near.join(boxes, ["label", "dim", "bin"]).where((F.col("bin1") < F.col("bin")) | (F.col("one") <= F.col("tile"))) \
-        .where(gap <= far * far).select("dim", "one", F.col("tile").alias("two"))
+        .where(gap <= far * far).select("g1", F.col("block").alias("g2"), "dim", "one", F.col("tile").alias("two"))
     packs = stored(_pack(tiled, dtype), "packs")
-    side = lambda n, c: packs.select(F.col("tile").alias(n), F.col("cids").alias(f"cids{c}"), F.col("copies").alias(f"copies{c}"),
-                                     F.col("data").alias(f"data{c}"))
-    work = pairs.join(side("one", 1), "one").join(side("two", 2), "two")
+    work = _sends(stored(pairs, "tile-pairs")).join(packs, "tile").repartition("g1", "g2").sortWithinPartitions("g1", "g2", "side")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, {}
         for b in batches:
+            column = {name: b.column(i) for i, name in enumerate(b.schema.names)}
             for r in range(b.num_rows):
-                get = lambda c: b.column(b.schema.get_field_index(c))[r].as_py()
-                d, same = get("dim"), get("one") == get("two")
-                cid1, n1 = np.frombuffer(get("cids1"), "<i8"), np.frombuffer(get("copies1"), "<i8")
-                cid2, n2 = np.frombuffer(get("cids2"), "<i8"), np.frombuffer(get("copies2"), "<i8")
-                x1 = unit_rows(np.frombuffer(get("data1"), dtype).reshape(-1, d))
-                x2 = x1 if same else unit_rows(np.frombuffer(get("data2"), dtype).reshape(-1, d))
-                hit = linked(x1, x2, axes[d], threshold)
-                if same:
-                    np.fill_diagonal(hit, False)
-                    hit &= hit.T
-                    cid, links = cid1, hit @ n1
-                    i, j = np.nonzero(hit)
-                else:
-                    cid, links = np.concatenate([cid1, cid2]), np.concatenate([hit @ n2, hit.T @ n1])
-                    i, j = np.nonzero(hit)
-                    j = j + len(cid1)
-                root = _roots(i, j, len(cid))
-                at = np.flatnonzero(links)
-                yield pa.RecordBatch.from_arrays([pa.array(cid[at]), pa.array(links[at].astype(np.int64)), pa.array(cid[root[at]])],
-                                                 ["cid", "links", "root"])
+                get = lambda c: column[c][r].as_py()
+                if (get("g1"), get("g2")) != key:
+                    key, held = (get("g1"), get("g2")), {}
+                d, two = get("dim"), get("tile")
+                mine = (np.frombuffer(get("cids"), "<i8"), np.frombuffer(get("copies"), "<i8"),
+                        np.frombuffer(get("data"), dtype).reshape(-1, d))
+                if get("side") == 0:
+                    held[two] = mine
+                    continue
+                cid2, n2, x2 = *mine[:2], unit_rows(mine[2])
+                for one in get("ones"):
+                    same, (cid1, n1, data1) = one == two, held[one]
+                    x1 = x2 if same else unit_rows(data1)
+                    hit = linked(x1, x2, axes[d], threshold)
+                    if same:
+                        np.fill_diagonal(hit, False)
+                        hit &= hit.T
+                        cid, links = cid1, hit @ n1
+                        i, j = np.nonzero(hit)
+                    else:
+                        cid, links = np.concatenate([cid1, cid2]), np.concatenate([hit @ n2, hit.T @ n1])
+                        i, j = np.nonzero(hit)
+                        j = j + len(cid1)
+                    root = _roots(i, j, len(cid))
+                    at = np.flatnonzero(links)
+                    yield pa.RecordBatch.from_arrays([pa.array(cid[at]), pa.array(links[at].astype(np.int64)), pa.array(cid[root[at]])],
+                                                     ["cid", "links", "root"])
 
     found = stored(work.mapInArrow(compare, "cid long, links long, root long"), "vector-links")
     nodes = components(found.select(F.col("cid").alias("u"), F.col("root").alias("v")))

@@ -98,3 +98,22 @@ def test_bounds_drop_no_link():
     axes = np.linalg.eigh(a.T @ a)[1][:, ::-1]
     for t in (0.3, 0.8, 0.93, 0.99):
         assert (E.linked(a, b, axes, t) == (a @ b.T >= t)).all()
+
+
+@pytest.mark.parametrize("block", [1, 2, 5])
+def test_blocks_change_no_link(spark, monkeypatch, block):
+    monkeypatch.setattr(E, "BLOCK", block)
+    rows = clusters(block) + [(900 + i, np.float32(np.eye(24)[0] + 1e-4 * i).tolist(), 1) for i in range(60)]  # one crowded bin
+    assert Counter(map(tuple, E.embedding_components(frame(spark, rows), 0.6, 3).collect())) == brute(rows, 0.6)
+
+
+def test_a_tile_is_sent_once_per_block_pair(spark):
+    """All pairs of 64 tiles, 8 a block: a sixth of the sends that two tiles a pair would take, and every pair among them."""
+    n, block = 64, E.BLOCK
+    pairs = [(f"b{i // block}", f"b{j // block}", 4, f"t{i}", f"t{j}") for i in range(n) for j in range(i, n)]
+    sends = E._sends(spark.createDataFrame(pairs, "g1 string, g2 string, dim int, one string, two string")).collect()
+    assert len(sends) == len({(r.g1, r.g2, r.side, r.tile) for r in sends}) <= 2 * len(pairs) / 6
+    held = {(r.g1, r.g2, r.tile) for r in sends if r.side == 0}
+    met = [(r.g1, r.g2, 4, one, r.tile) for r in sends if r.side == 1 for one in r.ones]
+    assert sorted(met) == sorted(pairs) and all((g1, g2, one) in held for g1, g2, _, one, _ in met)
+    assert max(len(r.ones) for r in sends) <= block
