@@ -151,7 +151,7 @@ def test_a_class_without_words_to_learn_from_changes_no_other(spark, monkeypatch
     # toxicity: a class that has learned from its held rows calibrates no weights
     few = spark.createDataFrame([("0", "fine words", False), ("0", "other fine words", True), ("1", "grobian", True)], sample.schema)
     monkeypatch.setattr(X, "learning_sample", lambda *a, **k: few)
-    assert X.fit_scorer(few).weights.tolist() == [4.0, 0.0, 0.0, 0.0]
+    assert X.fit_scorer(few).weights.tolist() == [4.0] + [0.0] * X.Scorer.FEATURES
 
 
 def test_long_texts_are_learned_from(spark, documents):
