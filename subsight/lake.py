@@ -34,7 +34,7 @@ DERIVED: dict[str, Callable[["Lake"], DataFrame]] = {
     "gold_member_segment": lambda lk: gold.member_segment(
         lk["silver_members"], lk[ACTIVITY_TABLE] if lk.stored(ACTIVITY_TABLE) else gold.member_activity(lk.log_events())),
     "gold_paywall_conversion": lambda lk: gold.paywall_conversion(
-        lk[ACTIVITY_TABLE] if lk.stored(ACTIVITY_TABLE) else gold.paywall_activity(lk.log_events()), lk["silver_members"]),
+        lk[ACTIVITY_TABLE] if lk.stored(ACTIVITY_TABLE) else lk.log_events(), lk["silver_members"]),
 }
 
 

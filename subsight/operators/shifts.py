@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from subsight import model as M
+from subsight.operators import gold
 
 
 def turning_month(monthly: DataFrame, group: str, value: str, weight: str) -> DataFrame:
@@ -97,17 +98,29 @@ def drivers(cells: DataFrame, keys: Sequence[str], value: str, weight: str, spli
         F.round((F.col("s1") + F.col("s2")) / 2 * (r2 - r1) * 100, 9).alias("rate_effect"))
 
 
+def _of_members(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """``rows`` with age band and plan of their member; members that are not known have NULLs."""
+    return rows.join(members.select("member_id", "age_group", "plan_type"), "member_id", "left")
+
+
 def completion_drivers(activity: DataFrame, members: DataFrame, split_ym: str) -> DataFrame:
     """:func:`drivers` of the completion rate over age band x plan x category; members that are not known have NULLs.
 
-    Scale: activity is summed per member, month and category before the join."""
-    read = activity.where("views > 0").groupBy("member_id", "ym", "category").agg(F.sum("views").alias("views"), F.sum("reads").alias("reads"))
-    cells = read.join(members.select("member_id", "age_group", "plan_type"), "member_id", "left")
-    return drivers(cells, ["age_group", "plan_type", "category"], "reads", "views", split_ym)
+    ``activity`` is the activity or the logs themselves.
+
+    Scale: the members are joined first and the rows are summed per cell and
+    month, so no task holds a group per member. Members too large for a
+    broadcast are joined by a sort-merge join, whose sorts spill and whose
+    hot members AQE splits."""
+    keys, known = ["age_group", "plan_type", "category"], _of_members(activity, members)
+    read = gold.reading_activity(known, [*keys, "ym"]) if "event_type" in activity.columns else known.where("views > 0")
+    return drivers(read, keys, "reads", "views", split_ym)
 
 
 def conversion_drivers(activity: DataFrame, members: DataFrame, split_ym: str) -> DataFrame:
-    """:func:`drivers` of the paywall conversion rate over age band x plan; months with conversions only have no hits to weigh."""
-    met = activity.where("hits > 0 OR subscribes > 0").groupBy("member_id", "ym").agg(F.sum("hits").alias("hits"), F.sum("subscribes").alias("subscribes"))
-    cells = met.join(members.select("member_id", "age_group", "plan_type"), "member_id", "left")
-    return drivers(cells, ["age_group", "plan_type"], "subscribes", "hits", split_ym)
+    """:func:`drivers` of the paywall conversion rate over age band x plan; months with conversions only have no hits to weigh.
+
+    ``activity`` and scale as in :func:`completion_drivers`."""
+    keys, known = ["age_group", "plan_type"], _of_members(activity, members)
+    met = gold.paywall_activity(known, [*keys, "ym"]) if "event_type" in activity.columns else known.where("hits > 0 OR subscribes > 0")
+    return drivers(met, keys, "subscribes", "hits", split_ym)

@@ -50,11 +50,11 @@ ADDED = ["log_distribution", "readers_in_period", "estimated_cost_by_sku_over_ti
 
 
 def _reading(lk: Lake) -> DataFrame:
-    return lk[ACTIVITY_TABLE] if lk.stored(ACTIVITY_TABLE) else gold.reading_activity(lk["silver_reading_logs"])
+    return lk[ACTIVITY_TABLE] if lk.stored(ACTIVITY_TABLE) else lk["silver_reading_logs"]
 
 
 def _paywall(lk: Lake) -> DataFrame:
-    return lk[ACTIVITY_TABLE] if lk.stored(ACTIVITY_TABLE) else gold.paywall_activity(lk.log_events())
+    return lk[ACTIVITY_TABLE] if lk.stored(ACTIVITY_TABLE) else lk.log_events()
 
 
 def _refused(lk: Lake) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from conftest import SF_SMALL, member, sub
 
 from subsight.lake import Lake
-from subsight.operators import shifts, silver
+from subsight.operators import gold, shifts, silver
 from subsight.plans.registry import QUERIES, TEST_PARAMS
 
 
@@ -77,3 +77,45 @@ def test_drivers_of_the_given_tables_sum_to_the_overall_change(spark):
              for part in ([r for r in months if r.ym < split], [r for r in months if r.ym >= split])]
     out = QUERIES["completion_drivers"](lake).collect()
     assert abs(sum(r.mix_effect + r.rate_effect for r in out) - (rates[1] - rates[0])) < 1e-6 and len(out) > 50
+
+
+@pytest.mark.parametrize("name", ["completion_drivers", "conversion_drivers", "gold_paywall_conversion"])
+def test_no_group_per_member_where_members_do_not_count(spark, name):
+    """A task's hash maps hold cells and months, which do not grow with the members."""
+    plan = QUERIES[name](Lake.from_testdata(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[" in plan and "HashAggregate(keys=[member_id" not in plan
+
+
+@pytest.mark.parametrize("of", ["logs", "activity"])
+def test_drivers_and_conversion_equal_a_count_row_by_row(spark, of):
+    """Members that are missing, NULL or given twice; months and categories that are NULL; logs given twice."""
+    r = random.Random(7)
+    kinds = ["read_start", "read_complete", "paywall_hit", "subscribe", "share", None]
+    logs = [(r.choice([1, 2, 3, 4, 9, None]), r.choice(["2025-01", "2025-02", "2025-03", None]), r.choice(["a", "b", None]), r.choice(kinds), None) for _ in range(400)]
+    logs += logs[:40]
+    people = [(1, "x", "free"), (2, "x", "paid"), (3, "y", "free"), (4, "y", None), (4, "z", "paid"), (None, "z", "free")]
+    members = spark.createDataFrame(people, "member_id long, age_group string, plan_type string")
+    rows = spark.createDataFrame(logs, "member_id long, ym string, category string, event_type string, event_date date")
+    given = rows if of == "logs" else gold.member_month_activity(rows)
+    joined = [(m, *p, *log[1:]) for log in logs for m, *p in [x for x in people if x[0] is not None and x[0] == log[0]] or [(None, None, None)]]
+
+    def sums(weigh, value, cell):
+        want = {}
+        for _, age, plan, ym, category, kind, _ in joined:
+            if ym and (kind in weigh or kind in value):
+                at = want.setdefault(cell(age, plan, category), [0, 0, 0, 0])
+                at[ym >= "2025-03"] += kind in weigh
+                at[2 + (ym >= "2025-03")] += kind in value
+        return {k: (w1, w2, round(100 * v1 / w1, 6) if w1 else None, round(100 * v2 / w2, 6) if w2 else None) for k, (w1, w2, v1, v2) in want.items() if w1 or w2}
+
+    got = {(x.age_group, x.plan_type, x.category): (x.weight_before, x.weight_since, x.rate_before, x.rate_since)
+           for x in shifts.completion_drivers(given, members, "2025-03").collect()}
+    assert got == sums({"read_start", "read_complete"}, {"read_complete"}, lambda *cell: cell)
+    got = {(x.age_group, x.plan_type): (x.weight_before, x.weight_since, x.rate_before, x.rate_since)
+           for x in shifts.conversion_drivers(given, members, "2025-03").collect()}
+    assert got == sums({"paywall_hit"}, {"subscribe"}, lambda age, plan, _: (age, plan))
+    want = {}
+    for _, age, _, ym, _, kind, _ in joined:
+        if kind in ("paywall_hit", "subscribe"):
+            want.setdefault((ym, age), [0, 0])[kind == "subscribe"] += 1
+    assert {(x.ym, x.age_group): [x.paywall_hits, x.conversions] for x in gold.paywall_conversion(given, members).collect()} == want
